@@ -16,6 +16,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from lapsewise.operators import skew
 from lapsewise.operators.quantiles import overall_percentiles, summarise
+from lapsewise.operators.skew import DEFAULT_LIMITS, Limits
 
 _QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -81,6 +82,7 @@ def histogram(
     x: str,
     hue: str | None = None,
     bins: str | int | Sequence[float] = "auto",
+    limits: Limits | None = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Counts per bin as ``bin``, ``bin_start``, ``bin_end``, ``count``; empty bins are absent.
 
@@ -114,7 +116,7 @@ def histogram(
 
     if bins == "auto":
         points = {"lo": 0.0, "q1": 0.25, "q3": 0.75, "hi": 1.0}
-        stats = overall_percentiles(rows, "__v", points, count_as="n").select(
+        stats = overall_percentiles(rows, "__v", points, "n", limits).select(
             "lo",
             "hi",
             _auto_bins(F.col("n"), F.col("lo"), F.col("hi"), F.col("q3") - F.col("q1")).alias("k"),
@@ -151,21 +153,29 @@ def histogram(
     ).withColumnsRenamed(back)
 
 
-def _quartiles(rows: DataFrame, by: Sequence[str], hot: DataFrame | None) -> DataFrame:
+def _quartiles(
+    rows: DataFrame, by: Sequence[str], hot: DataFrame | None, limits: Limits | None
+) -> DataFrame:
     if by:
         return summarise(rows, by, {"n": F.count("__v")}, {"__v": _QUARTILES}, hot)
-    return overall_percentiles(rows, "__v", _QUARTILES, count_as="n")
+    return overall_percentiles(rows, "__v", _QUARTILES, "n", limits)
 
 
-def box(df: DataFrame, x: str, y: str | None = None, hue: str | None = None) -> DataFrame:
+def box(
+    df: DataFrame,
+    x: str,
+    y: str | None = None,
+    hue: str | None = None,
+    limits: Limits | None = DEFAULT_LIMITS,
+) -> DataFrame:
     """Quartiles, whiskers and outliers of ``y`` per ``x``, or of ``x`` itself without ``y``.
 
     Whiskers end at the most extreme values within 1.5 interquartile ranges of the box; the
     values beyond are counted, not listed.
     """
     rows, by, back = _values(df, y or x, _groups(x, hue) if y else _groups(hue))
-    hot = skew.hot_groups(rows, by) if by else None
-    quartiles = _quartiles(rows, by, hot)
+    hot = skew.find_hot_groups(rows, by, limits) if by else None
+    quartiles = _quartiles(rows, by, hot, limits)
     v, reach = F.col("__v"), (F.col("q3") - F.col("q1")) * F.lit(1.5)
     low, high = F.col("q1") - reach, F.col("q3") + reach
     inside = (v >= low) & (v <= high)
@@ -257,6 +267,7 @@ def kde(
     gridsize: int = 200,
     cut: float = 3.0,
     common_norm: bool = True,
+    limits: Limits | None = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Gaussian kernel density of ``x`` with Scott's bandwidth.
 
@@ -264,7 +275,7 @@ def kde(
     areas of all curves together are one, otherwise each is one.
     """
     rows, by, back = _values(df, x, _groups(hue))
-    hot = skew.hot_groups(rows, by) if by else None
+    hot = skew.find_hot_groups(rows, by, limits) if by else None
     return _density(rows, by, hot, gridsize, cut, common_norm).withColumnsRenamed(back)
 
 
@@ -275,13 +286,15 @@ def violin(
     hue: str | None = None,
     gridsize: int = 100,
     cut: float = 2.0,
+    limits: Limits | None = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Density of ``y`` per ``x`` (or of ``x`` itself) with the group's quartiles in each row."""
     rows, by, back = _values(df, y or x, _groups(x, hue) if y else _groups(hue))
-    hot = skew.hot_groups(rows, by) if by else None
+    hot = skew.find_hot_groups(rows, by, limits) if by else None
     curve = _density(rows, by, hot, gridsize, cut, common_norm=False)
-    quartiles = _quartiles(rows, by, hot)
-    return _with_stats(curve, quartiles, by, hot).withColumnsRenamed(back)
+    quartiles = _quartiles(rows, by, hot, limits)
+    # The curve has at most ``gridsize`` rows per group: none of its groups is hot.
+    return _with_stats(curve, quartiles, by, None).withColumnsRenamed(back)
 
 
 KINDS = ("count", "line", "box", "hist", "kde", "violin")

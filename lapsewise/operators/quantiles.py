@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lapsewise.operators import skew
-from lapsewise.operators.skew import as_names
+from lapsewise.operators.skew import DEFAULT_LIMITS, Limits, as_names
 
 _BUCKETS_PER_OCTAVE = 64
 _OFFSET = 80_000  # keeps the magnitude part of a coarse bucket positive for every double
@@ -153,14 +153,26 @@ def _semi(rows: DataFrame, picks: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def overall_percentiles(
-    df: DataFrame, value: str, probs: Mapping[str, float], count_as: str | None = None
+    df: DataFrame,
+    value: str,
+    probs: Mapping[str, float],
+    count_as: str | None = None,
+    limits: Limits | None = DEFAULT_LIMITS,
 ) -> DataFrame:
     """One row of exact percentiles of a whole column; nulls are skipped.
 
-    An empty or all-null column gives no row.
+    An empty or all-null column gives no row. Whether one buffer holds the column is settled
+    by counting it now.
     """
     rows = df.select(F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    return _narrowed_percentiles(rows, [], probs, count_as)
+    if limits is not None and rows.count() > limits.min_rows:
+        return _narrowed_percentiles(rows, [], probs, count_as)
+    count = [F.col("__n").alias(count_as)] if count_as else []
+    return (
+        rows.agg(F.count("__v").alias("__n"), F.percentile("__v", list(probs.values())).alias("__q"))
+        .where(F.col("__n") > 0)
+        .select(*count, *[F.col("__q")[i].alias(a) for i, a in enumerate(probs)])
+    )
 
 
 def summarise(
@@ -168,7 +180,8 @@ def summarise(
     key: str | Sequence[str],
     plain: Mapping[str, Column],
     percentiles: Mapping[str, Mapping[str, float]],
-    hot: DataFrame | None = None,
+    hot: DataFrame | None,
+    few_valued: Sequence[str] = (),
     exact: bool = True,
     accuracy: int = 10_000,
 ) -> DataFrame:
@@ -176,42 +189,41 @@ def summarise(
 
     ``plain`` maps output names to aggregate expressions that combine on the map side (mean,
     sum, count, min, max). ``percentiles`` maps an input column to ``{output name: p}``; nulls
-    are skipped and a group without values gives null. ``exact=False`` trades exactness for
-    Spark's bounded sketch, in one pass for every group.
+    are skipped and a group without values gives null. ``hot`` are the groups that need the
+    long way (see :func:`lapsewise.operators.skew.find_hot_groups`); columns in
+    ``few_valued`` never do, their distinct values being few by nature, such as days.
+    ``exact=False`` trades exactness for Spark's bounded sketch, in one pass for every group.
     """
     by = as_names(key)
-    plain_aggs = [c.alias(a) for a, c in plain.items()]
     outputs = [*plain, *[a for probs in percentiles.values() for a in probs]]
 
-    def in_one_buffer(rows: DataFrame) -> DataFrame:
-        aggs, reads = [], {}
-        for i, (name, probs) in enumerate(percentiles.items()):
-            points = [float(p) for p in probs.values()]
-            aggs.append(
-                F.percentile(name, points).alias(f"__q{i}")
-                if exact
-                else F.percentile_approx(F.col(name).cast("double"), points, accuracy).alias(
-                    f"__q{i}"
-                )
-            )
+    def in_one_pass(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+        aggs = [c.alias(a) for a, c in plain.items()]
+        reads = {}
+        for i, name in enumerate(columns):
+            probs = {a: float(p) for a, p in percentiles[name].items()}
+            points = list(probs.values())
+            if exact:
+                found = F.percentile(name, points)
+            else:
+                found = F.percentile_approx(F.col(name).cast("double"), points, accuracy)
+            aggs.append(found.alias(f"__q{i}"))
             reads.update({a: F.col(f"__q{i}")[j] for j, a in enumerate(probs)})
-        grouped = rows.groupBy(*by).agg(*plain_aggs, *aggs)
+        grouped = rows.groupBy(*by).agg(*aggs) if aggs else rows.select(*by).distinct()
         return grouped.select(*by, *plain, *[c.alias(a) for a, c in reads.items()])
 
-    if not exact:
-        return in_one_buffer(df)
-    if hot is None:
-        hot = skew.hot_groups(df, by)
+    if hot is None or not exact:
+        return in_one_pass(df, list(percentiles)).select(*by, *outputs)
 
-    cold = in_one_buffer(skew.without_groups(df, by, hot))
+    cold = in_one_pass(skew.without_groups(df, by, hot), list(percentiles))
     hot_rows = skew.only_groups(df, by, hot)
-    wide = hot_rows.groupBy(*by).agg(
-        *(plain_aggs or [F.count(F.lit(1)).alias("__any")])
-    )
+    wide = in_one_pass(hot_rows, [c for c in percentiles if c in few_valued])
     for i, (name, probs) in enumerate(percentiles.items()):
+        if name in few_valued:
+            continue
         rows = hot_rows.select(*by, F.col(name).cast("double").alias("__v")).where(
             F.col("__v").isNotNull()
         )
         found = skew.prefixed(_narrowed_percentiles(rows, by, probs), by, f"__p{i}_")
         wide = wide.join(found, skew.same_key(by, f"__p{i}_"), "left")
-    return cold.unionByName(wide.select(*by, *outputs))
+    return cold.select(*by, *outputs).unionByName(wide.select(*by, *outputs))

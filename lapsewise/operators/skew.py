@@ -4,24 +4,33 @@ Sums, counts, minima and maxima never need this: Spark combines them on the map
 hot key arrives at its reducer as one row per task. What does need it is work that must see
 all rows of a group together: exact percentiles, and joins that fan a group out.
 
-``hot_groups`` finds those groups with a scan of the key columns alone. A group is hot if it
-holds more than ``min_rows`` rows *and* more than one ``max_groups``-th of all rows, so there
-can be at most ``max_groups`` of them whatever the data looks like. That bound is what makes
-it safe to broadcast the list of hot keys. When the list turns out to be empty, adaptive
-execution drops the whole hot branch of a plan and the anti join of the other one.
+``find_hot_groups`` looks for such groups with one aggregation over the key columns alone,
+run when the operator is called, as ``pivot`` does to learn its values. Usually there is none
+and the plain plan follows. A group is hot if it holds more than ``min_rows`` rows *and* more
+than one ``max_groups``-th of all rows, so there can be at most ``max_groups`` of them
+whatever the data looks like. That bound is what makes it safe to broadcast their keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_MIN_ROWS = 200_000
-HOT_MAX_GROUPS = 250_000
-SALTS = 64
+
+@dataclass(frozen=True)
+class Limits:
+    """When a group counts as hot, and over how many buckets a fanned-out one is dealt."""
+
+    min_rows: int = 200_000
+    max_groups: int = 250_000
+    salts: int = 64
+
+
+DEFAULT_LIMITS = Limits()
 
 _HOT = "__hot_"
 
@@ -43,20 +52,23 @@ def prefixed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     return df.withColumnsRenamed({k: f"{prefix}{k}" for k in keys})
 
 
-def hot_groups(
-    df: DataFrame,
-    key: str | Sequence[str],
-    min_rows: int = HOT_MIN_ROWS,
-    max_groups: int = HOT_MAX_GROUPS,
-) -> DataFrame:
-    """Keys of the groups too large for one task: at most ``max_groups`` rows."""
+def find_hot_groups(
+    df: DataFrame, key: str | Sequence[str], limits: Limits | None = DEFAULT_LIMITS
+) -> DataFrame | None:
+    """Keys of the groups too large for one task, at most ``limits.max_groups`` of them.
+
+    ``None`` if there is no such group, or if ``limits`` is ``None``, by which a caller says
+    that no group is large; then nothing is run.
+    """
+    if limits is None:
+        return None
     keys = as_names(key)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    total = sizes.agg(F.sum("__rows")).scalar()
-    is_hot = (F.col("__rows") > F.lit(min_rows)) & (
-        F.col("__rows") > total / F.lit(max_groups)
-    )
-    return prefixed(sizes.where(is_hot).select(*keys), keys, _HOT)
+    largest, total = sizes.agg(F.max("__rows"), F.sum("__rows")).first()
+    bound = max(limits.min_rows, (total or 0) // limits.max_groups)
+    if largest is None or largest <= bound:
+        return None
+    return prefixed(sizes.where(F.col("__rows") > bound).select(*keys), keys, _HOT)
 
 
 def without_groups(df: DataFrame, key: str | Sequence[str], hot: DataFrame) -> DataFrame:
@@ -70,7 +82,7 @@ def only_groups(df: DataFrame, key: str | Sequence[str], hot: DataFrame) -> Data
 
 
 def attach_group_values(
-    df: DataFrame, values: DataFrame, key: str | Sequence[str], hot: DataFrame
+    df: DataFrame, values: DataFrame, key: str | Sequence[str], hot: DataFrame | None
 ) -> DataFrame:
     """Add per-group ``values`` (one row per group) to every row of ``df``.
 
@@ -79,38 +91,43 @@ def attach_group_values(
     ``values`` are left out.
     """
     keys = as_names(key)
-    right = prefixed(values, keys, "__val_")
-    match = same_key(keys, "__val_")
-    drop = [f"__val_{k}" for k in keys]
-    cold = without_groups(df, keys, hot).join(right, match)
-    hot_values = prefixed(only_groups(values, keys, hot), keys, "__val_")
-    warm = only_groups(df, keys, hot).join(F.broadcast(hot_values), match)
-    return cold.unionByName(warm).drop(*drop)
+
+    def meet(rows: DataFrame, right: DataFrame, small: bool) -> DataFrame:
+        right = prefixed(right, keys, "__val_")
+        joined = rows.join(F.broadcast(right) if small else right, same_key(keys, "__val_"))
+        return joined.drop(*[f"__val_{k}" for k in keys])
+
+    if hot is None:
+        return meet(df, values, small=False)
+    cold = meet(without_groups(df, keys, hot), values, small=False)
+    warm = meet(only_groups(df, keys, hot), only_groups(values, keys, hot), small=True)
+    return cold.unionByName(warm)
 
 
 def left_join_many(
     left: DataFrame,
     many: DataFrame,
     key: str | Sequence[str],
-    min_rows: int = HOT_MIN_ROWS,
-    max_groups: int = HOT_MAX_GROUPS,
-    salts: int = SALTS,
+    limits: Limits | None = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Left equi-join whose right side may repeat a key any number of times.
 
     Spark cannot split the right side of a left outer join, so a key that fills it would end
-    in one task. Here the right rows of a hot key are dealt over ``salts`` buckets and the
-    left rows of that key are copied to each bucket; other keys take the plain left join.
-    A hot key occurs on the right by definition, so none of its left rows can go unmatched.
+    in one task. Here the right rows of a hot key are dealt over buckets and the left rows of
+    that key are copied to each bucket; other keys take the plain left join. A hot key occurs
+    on the right by definition, so none of its left rows can go unmatched.
     """
     keys = as_names(key)
     many = many.dropna(subset=keys)  # a null key never matches
-    hot = hot_groups(many, keys, min_rows, max_groups)
+    hot = find_hot_groups(many, keys, limits)
+    if hot is None:
+        return left.join(many, keys, "left")
     cold = without_groups(left, keys, hot).join(without_groups(many, keys, hot), keys, "left")
+    salts = limits.salts
     dealt = only_groups(many, keys, hot).withColumn(
         "__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts))
     )
     copied = only_groups(left, keys, hot).withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
+        "__salt", F.explode(F.array(*[F.lit(i).cast("long") for i in range(salts)]))
     )
     return cold.unionByName(copied.join(dealt, [*keys, "__salt"]).drop("__salt"))
