@@ -203,9 +203,10 @@ def _density(
 ) -> DataFrame:
     """Gaussian density on an even grid per group: ``by``, ``grid``, ``x``, ``density``.
 
-    A value contributes only to the grid points its kernel can reach before it underflows to
-    zero, so the sum is complete, and the more rows there are (the narrower the kernel), the
-    fewer points each one touches. Contributions are summed per grid point on the map side.
+    Equal values are counted first, so that each distinct one is evaluated once. A value
+    contributes only to the grid points its kernel can reach before it underflows to zero:
+    the sum is complete, and the more rows there are (the narrower the kernel), the fewer
+    points each one touches. Contributions are summed per grid point on the map side.
     Groups of one value or without spread have no density.
     """
     v, x = F.col("__v"), F.col("x")
@@ -230,6 +231,7 @@ def _density(
             (F.lit(1.0) / (total * F.col("bw") * F.lit(math.sqrt(2 * math.pi)))).alias("weight"),
         )
     )
+    distinct = rows.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__rows"))
     reach = F.lit(_KERNEL_REACH) * F.col("bw")
 
     def grid_index(at: Column, rounded) -> Column:
@@ -240,24 +242,27 @@ def _density(
     furthest = F.least(F.lit(gridsize - 1), grid_index(v + reach, F.ceil))
     at_grid = (F.col("first") + F.col("grid") * F.col("step")).alias("x")
     z = (x - v) / F.col("bw")
-    touched = (
-        _with_stats(rows, stats, by, hot)
+    mass = (
+        _with_stats(distinct, stats, by, hot)
         .where(F.col("bw").isNotNull())
         .select(
-            *by, "__v", "bw", "first", "step", "weight",
+            *by,
+            "__v",
+            "bw",
+            "first",
+            "step",
+            (F.col("weight") * F.col("__rows")).alias("weight"),
             F.explode(F.sequence(nearest, furthest)).alias("grid"),
         )
         .select(*by, "grid", at_grid, "__v", "bw", "weight")
-        .select(*by, "grid", "x", (F.exp(z * z * F.lit(-0.5)) * F.col("weight")).alias("part"))
-    )
-    empty_grid = stats.select(
-        *by, "first", "step", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("grid")
-    ).select(*by, "grid", at_grid, F.lit(0.0).alias("part"))
-    return (
-        touched.unionByName(empty_grid)
         .groupBy(*by, "grid")
-        .agg(F.max("x").alias("x"), F.sum("part").alias("density"))
+        .agg(F.sum(F.exp(z * z * F.lit(-0.5)) * F.col("weight")).alias("mass"))
     )
+    grid = stats.select(
+        *by, "first", "step", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("grid")
+    ).select(*by, "grid", at_grid)
+    density = F.coalesce(F.col("mass"), F.lit(0.0)).alias("density")
+    return grid.join(mass, [*by, "grid"], "left").select(*by, "grid", "x", density)
 
 
 def kde(

@@ -212,10 +212,17 @@ def summarise(
         grouped = rows.groupBy(*by).agg(*aggs) if aggs else rows.select(*by).distinct()
         return grouped.select(*by, *plain, *[c.alias(a) for a, c in reads.items()])
 
-    if hot is None or not exact:
+    def together(rows: DataFrame) -> DataFrame:
+        # Buffers of single values hardly shrink on the map side, and are dearer to sort and
+        # ship than the rows. So groups known to be small are brought together first.
+        return in_one_pass(rows.repartition(*by), list(percentiles)).select(*by, *outputs)
+
+    if not exact:
         return in_one_pass(df, list(percentiles)).select(*by, *outputs)
+    if hot is None:
+        return together(df)
 
-    cold = in_one_pass(skew.without_groups(df, by, hot), list(percentiles))
+    cold = together(skew.without_groups(df, by, hot))
     hot_rows = skew.only_groups(df, by, hot)
     wide = in_one_pass(hot_rows, [c for c in percentiles if c in few_valued])
     for i, (name, probs) in enumerate(percentiles.items()):
@@ -226,4 +233,4 @@ def summarise(
         )
         found = skew.prefixed(_narrowed_percentiles(rows, by, probs), by, f"__p{i}_")
         wide = wide.join(found, skew.same_key(by, f"__p{i}_"), "left")
-    return cold.select(*by, *outputs).unionByName(wide.select(*by, *outputs))
+    return cold.unionByName(wide.select(*by, *outputs))

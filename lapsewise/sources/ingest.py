@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation
@@ -100,11 +101,26 @@ def ingest(
     keys: Sequence[str] | None = None,
     months: Sequence[str] | None = None,
     aliases: Mapping[str, Mapping[str, str]] | None = None,
+    parallel: int = 4,
 ) -> list[IngestCount]:
-    """Store every wanted (table, month). The first failure ends the sweep; what was stored
-    before stays, and what was not reached keeps its old state."""
-    return [
-        ingest_month(catalog, key, month, (aliases or {}).get(key))
+    """Store every wanted (table, month), each as a job of its own, ``parallel`` at a time so
+    that small tables do not wait for the last task of a large one.
+
+    After a failure no further one is started and the failure is raised; what was stored
+    stays, and what was not reached keeps its old state.
+    """
+    wanted = [
+        (key, month)
         for key in (catalog.keys if keys is None else keys)
         for month in (catalog.months if months is None else months)
     ]
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        jobs = [
+            pool.submit(ingest_month, catalog, key, month, (aliases or {}).get(key))
+            for key, month in wanted
+        ]
+        try:
+            return [job.result() for job in jobs]
+        finally:
+            for job in jobs:
+                job.cancel()

@@ -50,6 +50,15 @@ class Domain:
             F.col("l_shipdate").alias("date_timestamp"),
         )
 
+    def loan_payments(self) -> DataFrame:
+        """``loan_recovery`` without the subscriber: every line has its order, so the join
+        with orders adds nothing else."""
+        return self.table("lineitem").select(
+            F.col("l_orderkey").alias("loan_id"),
+            F.col("l_extendedprice").alias("loan_amount"),
+            (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("hsdp_recovery"),
+        )
+
     def package(self) -> DataFrame:
         parts = self.table("part")
         return (

@@ -171,19 +171,19 @@ def value_counts(d: Domain) -> DataFrame:
 
 
 def common_loans(d: Domain) -> DataFrame:
-    return ops.common_loans(d.loan_assign(), d.loan_recovery())
+    return ops.common_loans(d.loan_assign(), d.loan_payments())
 
 
 def loan_recovery_by_loan(d: Domain) -> DataFrame:
-    return ops.recovery_by_loan(d.loan_assign(), d.loan_recovery())
+    return ops.recovery_by_loan(d.loan_assign(), d.loan_payments())
 
 
 def loan_recovery_ratio(d: Domain) -> DataFrame:
-    return ops.loan_recovery_ratio(d.loan_assign(), d.loan_recovery())
+    return ops.loan_recovery_ratio(d.loan_assign(), d.loan_payments())
 
 
 def loan_recovery_ratio_of_assigned(d: Domain) -> DataFrame:
-    return ops.loan_recovery_ratio(d.loan_assign(), d.loan_recovery(), base="assign")
+    return ops.loan_recovery_ratio(d.loan_assign(), d.loan_payments(), base="assign")
 
 
 # --- distributions ---------------------------------------------------------------------------
