@@ -4,14 +4,17 @@ Spark's ``percentile`` keeps every distinct value of a group in one buffer. That
 ordinary groups and wrong for a group that holds a third of the table. Hot groups therefore
 take another exact way: find the wanted ranks by narrowing.
 
-1. Count rows per (group, coarse bucket); keep the buckets that contain a wanted rank.
-2. Count rows of those buckets per fine bucket; keep the fine buckets that contain a rank.
-3. Count rows of those per distinct value; read off the values at the wanted ranks.
-
-A bucket is an order-preserving function of the value alone (a 64th of a power of two, then
-4,096 slices of that), so no sampling is involved, counts combine on the map side, and what
-is shuffled per group is bounded by the number of buckets rather than by the rows. The data
-is read once per step instead of being sorted.
+1. Count rows per (group, bucket) and keep the buckets that contain a wanted rank.
+2. Count the rows of those buckets per slice of the bucket; keep slices in the same way.
+3. Again per thinner slice of those.
+4. Count the rows left per distinct value, and read off the values at the wanted ranks.
+
+Buckets and slices are order-preserving functions of the value alone: a 64th of a power of
+two, then 2**16 slices of that, then 2**16 slices of each. So no sampling is involved and
+counts combine on the map side. Their fineness also bounds every running sum: a step sorts at
+most about 2**16 counts of one group and parent together (in step 1 the buckets of all
+doubles, some 260,000), and what two doubles of one thinnest slice can still differ in is
+their last 15 bits. The data is read once per step; it is never sorted.
 """
 
 from __future__ import annotations
@@ -26,12 +29,13 @@ from lapsewise.operators import skew
 from lapsewise.operators.skew import DEFAULT_LIMITS, Limits, as_names
 
 _BUCKETS_PER_OCTAVE = 64
-_OFFSET = 80_000  # keeps the magnitude part of a coarse bucket positive for every double
+_OFFSET = 80_000  # keeps the magnitude part of a bucket positive for every double
 _SPECIAL = 300_000  # beyond every finite bucket
-_SLICES = 372_000  # about 4,096 slices over a relative width of 2 ** (1 / 64) - 1
+_THIN_SLICES = 2**32 / (2 ** (1 / _BUCKETS_PER_OCTAVE) - 1)  # per relative width of a bucket
+_STEPS = ("__bucket", "__slice", "__thin_slice", "__v")
 
 
-def _coarse_bucket(v: Column) -> Column:
+def _bucket(v: Column) -> Column:
     size = F.floor(F.log2(F.abs(v)) * _BUCKETS_PER_OCTAVE) + F.lit(_OFFSET)
     inf = F.lit(float("inf"))
     return (
@@ -44,12 +48,13 @@ def _coarse_bucket(v: Column) -> Column:
     ).cast("long")
 
 
-def _fine_bucket(v: Column, coarse: Column) -> Column:
-    floor_of_bucket = F.pow(F.lit(2.0), (F.abs(coarse) - _OFFSET) / _BUCKETS_PER_OCTAVE)
-    part = F.floor((F.abs(v) / floor_of_bucket - 1) * _SLICES)
+def _thin_slice(v: Column, bucket: Column) -> Column:
+    """Number of the thinnest slice within a bucket."""
+    start = F.pow(F.lit(2.0), (F.abs(bucket) - _OFFSET) / _BUCKETS_PER_OCTAVE)
+    part = F.floor((F.abs(v) / start - 1) * F.lit(_THIN_SLICES))
     return (
-        F.when((coarse == 0) | (F.abs(coarse) >= _SPECIAL), F.lit(0))
-        .when(coarse > 0, part)
+        F.when((bucket == 0) | (F.abs(bucket) >= _SPECIAL), F.lit(0))
+        .when(bucket > 0, part)
         .otherwise(-part)
     ).cast("long")
 
@@ -82,50 +87,36 @@ def _narrowed_percentiles(
     by = list(by)
     wanted = sorted(set(probs.values()))
     whole = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-    rows = rows.withColumn("__b", _coarse_bucket(F.col("__v")))
-
-    coarse = (
-        rows.groupBy(*by, "__b")
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .withColumns({"__n": F.sum("__rows").over(whole), "__until": _running(by, "__b")})
-        .where(_holds_a_rank(wanted))
-        .select(*by, "__b", "__n", (F.col("__until") - F.col("__rows")).alias("__base"))
+    rows = (
+        rows.withColumn("__bucket", _bucket(F.col("__v")))
+        .withColumn("__thin_slice", _thin_slice(F.col("__v"), F.col("__bucket")))
+        .withColumn("__slice", F.shiftright("__thin_slice", 16))
     )
-    fine = (
-        _semi(rows.withColumn("__s", _fine_bucket(F.col("__v"), F.col("__b"))), coarse, [*by, "__b"])
-        .groupBy(*by, "__b", "__s")
-        .agg(
-            F.count(F.lit(1)).alias("__rows"),
-            F.max("__n").alias("__n"),
-            F.max("__base").alias("__base"),
+    found = None
+    for i, step in enumerate(_STEPS):
+        parents = [*by, *_STEPS[:i]]
+        count = F.count(F.lit(1)).alias("__rows")
+        if found is None:
+            counted = rows.groupBy(*parents, step).agg(count)
+            counted = counted.withColumns({"__n": F.sum("__rows").over(whole), "__base": F.lit(0)})
+        else:
+            kept = found.select(
+                *parents, "__n", (F.col("__until") - F.col("__rows")).alias("__base")
+            )
+            counted = (
+                _of_picked(rows, kept, parents)
+                .groupBy(*parents, step)
+                .agg(count, F.max("__n").alias("__n"), F.max("__base").alias("__base"))
+            )
+        found = counted.withColumn("__until", F.col("__base") + _running(parents, step)).where(
+            _holds_a_rank(wanted)
         )
-        .withColumn("__until", F.col("__base") + _running([*by, "__b"], "__s"))
-        .where(_holds_a_rank(wanted))
-        .select(
-            *by, "__b", "__s", "__n", (F.col("__until") - F.col("__rows")).alias("__base")
-        )
-    )
-    values = (
-        _semi(
-            rows.withColumn("__s", _fine_bucket(F.col("__v"), F.col("__b"))),
-            fine,
-            [*by, "__b", "__s"],
-        )
-        .groupBy(*by, "__b", "__s", "__v")
-        .agg(
-            F.count(F.lit(1)).alias("__rows"),
-            F.max("__n").alias("__n"),
-            F.max("__base").alias("__base"),
-        )
-        .withColumn("__until", F.col("__base") + _running([*by, "__b", "__s"], "__v"))
-        .where(_holds_a_rank(wanted))
-    )
 
     def value_at(rank: Column) -> Column:
         start = F.col("__until") - F.col("__rows")
         return F.max(F.when((rank >= start) & (rank < F.col("__until")), F.col("__v")))
 
-    picked = values.groupBy(*by).agg(
+    picked = found.groupBy(*by).agg(
         F.max("__n").alias("__n"),
         *[value_at(F.floor(_position(p))).alias(f"__lo_{i}") for i, p in enumerate(wanted)],
         *[value_at(F.ceil(_position(p))).alias(f"__hi_{i}") for i, p in enumerate(wanted)],
@@ -141,8 +132,8 @@ def _narrowed_percentiles(
     return picked.select(*by, *count, *[interpolated(p).alias(a) for a, p in probs.items()])
 
 
-def _semi(rows: DataFrame, picks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of the picked buckets, with the pick's columns.
+def _of_picked(rows: DataFrame, picks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of the picked buckets or slices, with the pick's columns.
 
     Broadcast: per hot group at most two buckets per percentile, and hot groups are bounded.
     """

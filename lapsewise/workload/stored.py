@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,8 +20,11 @@ MONTHS = ["0", "1", "2"]
 def scratch(spark: SparkSession) -> str:
     """A new folder every executor can reach: below the cluster's shared one if it names
     one, else (a single machine) a temporary one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared or tempfile.mkdtemp(prefix='lapsewise-')}/extracts-{uuid.uuid4().hex}"
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="lapsewise-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"{folder}/extracts-{uuid.uuid4().hex}"
 
 
 def _catalog(spark: SparkSession, keys: list[str]) -> Catalog:

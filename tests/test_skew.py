@@ -23,6 +23,7 @@ def _values(rng, n):
         lambda: 10 ** rng.uniform(-300, 300) * rng.choice([-1, 1]),
         lambda: 0.0,
         lambda: 99.5,
+        lambda: -1.7e9 - rng.random() * 1e-3,  # all in one slice
     ]
     kind = rng.choice(kinds)
     return [kind() for _ in range(n)]
