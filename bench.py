@@ -65,6 +65,24 @@ def plain_shapes(spark: SparkSession) -> dict:
         flag = F.when(F.col("t1").isNull() | (F.datediff("t1", "t0") > 2), 1).otherwise(0)
         return sides[0].join(sides[1], "bib_id", "left").select("bib_id", flag.alias("label"))
 
+    def package():
+        days = F.datediff("deactivation_date", "activation_date")
+        return d.package().withColumn("days", days).groupBy("bib_id").agg(
+            F.mean("offer_amount"), F.median("offer_amount"), F.mean("days"), F.median("days"),
+            F.count("*"),
+        )
+
+    def recharge():
+        return d.recharge().groupBy("bib_id").agg(
+            F.mean("recharge_value_amt"), F.median("recharge_value_amt"), F.count("*")
+        )
+
+    def training():
+        wide = label().join(package(), "bib_id", "left")
+        return wide.join(
+            recharge().withColumnsRenamed({"count(1)": "n"}), "bib_id", "left"
+        ).join(d.user(), "bib_id", "left")
+
     def profile():
         loans = d.loan_assign()
         for part in (F.hour, F.dayofweek, F.dayofmonth):
@@ -84,6 +102,9 @@ def plain_shapes(spark: SparkSession) -> dict:
 
     return {
         "churn_label": lambda: run(label()),
+        "package_features": lambda: run(package()),
+        "recharge_features": lambda: run(recharge()),
+        "training_table": lambda: run(training()),
         "time_profile_loans": profile,
         "loan_recovery_ratio": ratio,
         "dist_hist": hist,
