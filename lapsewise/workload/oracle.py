@@ -9,7 +9,8 @@ _TS = "'%Y-%m-%d %H:%M:%S.%f'"
 
 def _mean_median(column: str, name: str) -> str:
     return (
-        f"round(avg({column}), 4) AS Average{name}, round(median({column}), 4) AS Median{name}"
+        f"round(avg({column}) + 1e-9, 6) AS Average{name}, "
+        f"round(median({column}), 6) AS Median{name}"
     )
 
 
@@ -25,10 +26,10 @@ _RECHARGE_COLUMNS = (
 )
 _USER_COLUMNS = f"""
     bib_id,
-    round(date_diff('day', strptime(date_of_birth_d, '%Y%m%d')::DATE, DATE '{AS_OF}') / 365.25, 4)
+    round(date_diff('day', strptime(date_of_birth_d, '%Y%m%d')::DATE, DATE '{AS_OF}') / 365.25, 6)
         AS age,
     year(strptime(registration_date_d, '%Y%m%d')) AS registration_year,
-    contract_type_v, gender_v, ability_status, round(account_balance, 4) AS account_balance"""
+    contract_type_v, gender_v, ability_status, round(account_balance, 6) AS account_balance"""
 
 
 def _activity(pick: str) -> str:
@@ -123,7 +124,7 @@ _DURATION_CASE = _case(
 )
 
 
-def _time_profile(view: str, ts: str, amount: str) -> str:
+def _time_profile(view: str, ts: str, amount: str, digits: int) -> str:
     parts = {
         "hour": f"hour({ts})",
         "day_of_week": f"dayofweek({ts}) + 1",
@@ -131,7 +132,7 @@ def _time_profile(view: str, ts: str, amount: str) -> str:
     }
     selects = [
         f"SELECT '{name}' AS part, CAST({part} AS BIGINT) AS value, "
-        f"round(sum({amount}), 4) AS sum_{amount} FROM {view} GROUP BY 2"
+        f"round(sum({amount}), {digits}) AS sum_{amount} FROM {view} GROUP BY 2"
         for name, part in parts.items()
     ]
     return with_views(view, "\nUNION ALL ".join(selects))
@@ -144,8 +145,8 @@ def _recovery_ratio(assigned: str) -> str:
         matched AS (SELECT * FROM loan_recovery WHERE loan_id IN (SELECT loan_id FROM loan_assign)),
         sums AS (SELECT (SELECT sum(hsdp_recovery) FROM matched) AS recovered_sum,
                         ({assigned}) AS assigned_sum)
-        SELECT round(recovered_sum, 4) AS recovered_sum, round(assigned_sum, 4) AS assigned_sum,
-               round(recovered_sum / assigned_sum * 100, 4) AS percentage_of_recovered
+        SELECT round(recovered_sum, 2) AS recovered_sum, round(assigned_sum, 2) AS assigned_sum,
+               round(recovered_sum / assigned_sum * 100, 2) AS percentage_of_recovered
         FROM sums""",
     )
 
@@ -273,8 +274,8 @@ ORACLE_SQL: dict[str, str] = {
         """SELECT nid_hash, round(sum(loan_amount), 4) AS SumAggregated_loan_amount_by_nid
            FROM loan_assign GROUP BY 1""",
     ),
-    "time_profile": _time_profile("recharge", "recharge_dt", "recharge_value_amt"),
-    "time_profile_loans": _time_profile("loan_assign", "date_timestamp", "loan_amount"),
+    "time_profile": _time_profile("recharge", "recharge_dt", "recharge_value_amt", 4),
+    "time_profile_loans": _time_profile("loan_assign", "date_timestamp", "loan_amount", 2),
     "count_by_offering": with_views(
         "package", "SELECT offering_code, count(*) AS count FROM package GROUP BY 1"
     ),
@@ -327,7 +328,7 @@ ORACLE_SQL: dict[str, str] = {
     "dist_line": with_views(
         "package",
         """SELECT offering_name, CAST(day(activation_date) AS BIGINT) AS day,
-                  round(avg(offer_amount), 4) AS offer_amount
+                  round(avg(offer_amount) + 1e-9, 6) AS AverageOfferAmount
            FROM package GROUP BY 1, 2""",
     ),
     "dist_box": "WITH " + _box("SELECT event_type, value AS v FROM events", "event_type"),

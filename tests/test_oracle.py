@@ -33,7 +33,7 @@ def _sorted(rows, columns):
 
 def _same(a, b):
     if isinstance(a, float) and isinstance(b, float):
-        return math.isclose(a, b, rel_tol=1e-9, abs_tol=1.5e-4) or a != a and b != b
+        return math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-9) or a != a and b != b
     return a == b and type(a) is type(b)
 
 
