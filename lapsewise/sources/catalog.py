@@ -13,9 +13,7 @@ from pyspark.sql.types import StringType, StructType
 
 from lapsewise.sources.schemas import schema_for
 
-RECORD_STATE = "record_state"
 CORRUPT_TEXT = "_corrupt_record"
-GOOD, BAD = "ok", "bad"
 
 
 class FeatureInputs(NamedTuple):
@@ -95,22 +93,18 @@ class Catalog:
     def _stored(self, key: str, month: str) -> DataFrame:
         # Explicit layout: no footer is read to find it, a folder without rows is an empty
         # table, and a month like "01" stays text.
-        layout = (
-            StructType(list(schema_for(key).fields))
-            .add(CORRUPT_TEXT, StringType())
-            .add(RECORD_STATE, StringType())
-        )
+        layout = StructType(list(schema_for(key).fields)).add(CORRUPT_TEXT, StringType())
         return self.spark.read.schema(layout).parquet(self.parquet_path(key, month))
 
     def read(self, key: str, months: str | Sequence[str] | None = None) -> DataFrame:
         """Good rows of a table. With one month as text: the table's own columns. With a list
         (or ``None``: all months) also ``month`` and its ``period`` number.
 
-        Only the folders of the wanted months are listed. Files without a record state, as
-        other writers leave them, count as good.
+        Only the folders of the wanted months are listed. Files of other writers, which know
+        no bad rows, count as good.
         """
         names = schema_for(key).names
-        good = F.coalesce(F.col(RECORD_STATE), F.lit(GOOD)) == GOOD
+        good = F.col(CORRUPT_TEXT).isNull()
         if isinstance(months, str):
             self.period(months)
             return self._stored(key, months).where(good).select(*names)
@@ -126,7 +120,7 @@ class Catalog:
         """Rows that did not fit the layout: ``month`` and the line as it was read."""
         parts = [
             self._stored(key, m)
-            .where(F.col(RECORD_STATE) == BAD)
+            .where(F.col(CORRUPT_TEXT).isNotNull())
             .select(F.lit(m).alias("month"), CORRUPT_TEXT)
             for m in (self.months if months is None else months)
         ]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lapsewise.sources.catalog import BAD, CORRUPT_TEXT, GOOD, RECORD_STATE, Catalog
+from lapsewise.sources.catalog import CORRUPT_TEXT, Catalog
 from lapsewise.sources.schemas import schema_for
 
 
@@ -74,25 +74,17 @@ def ingest_month(
 ) -> IngestCount:
     """Read, check and store one (table, month), replacing what its folder held.
 
-    One pass over the text: good and bad rows go to two partitions of the same folder and
+    One pass over the text and no shuffle or sort: a bad row is stored next to the good ones
+    with its line in ``_corrupt_record``, which is null (and so all but free) for these. Both
     are counted on the way.
     """
     rows = read_csv(catalog, key, month, aliases)
     validate_schema(rows.drop(CORRUPT_TEXT), schema_for(key))
-    is_bad = F.col(CORRUPT_TEXT).isNotNull()
     seen = Observation(f"{key} {month}")
-    (
-        rows.observe(
-            seen,
-            F.count(F.lit(1)).alias("rows"),
-            F.count(F.when(is_bad, F.lit(1))).alias("bad"),
-        )
-        .withColumn(RECORD_STATE, F.when(is_bad, F.lit(BAD)).otherwise(F.lit(GOOD)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")  # a bad partition of old must go too
-        .partitionBy(RECORD_STATE)
-        .parquet(catalog.parquet_path(key, month))
+    counted = rows.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count(CORRUPT_TEXT).alias("bad")
     )
+    counted.write.mode("overwrite").parquet(catalog.parquet_path(key, month))
     return IngestCount(key, month, seen.get["rows"] - seen.get["bad"], seen.get["bad"])
 
 

@@ -102,14 +102,6 @@ def test_reingest_replaces_one_month_only(catalog):
     assert {r["month"] for r in left} == {"01", "03"}  # no stale bad rows of month 02
 
 
-def test_dynamic_overwrite_mode_leaves_no_stale_rows(spark, catalog):
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        test_reingest_replaces_one_month_only(catalog)
-    finally:
-        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-
-
 def test_failure_keeps_what_was_stored(catalog):
     _put(catalog, "recharge", "01", [GOOD])
     with pytest.raises(Exception):
