@@ -31,7 +31,7 @@ def session() -> SparkSession:
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "4g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

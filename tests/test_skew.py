@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lapsewise import operators as ops
 from lapsewise.operators import skew
 from lapsewise.operators.skew import Limits
+from lapsewise.workload.domain import Domain
 
 EVERY_GROUP_HOT = Limits(min_rows=0, max_groups=10**9)
 SOME_HOT = Limits(min_rows=40, max_groups=10**9)
@@ -176,3 +177,23 @@ def test_histogram_the_long_way(spark):
         ops.histogram(df, "v", limits=m).orderBy("bin").collect() for m in (None, EVERY_GROUP_HOT)
     )
     assert short == long
+
+
+def test_training_table_with_hot_subscribers(spark):
+    d = Domain(spark, "/root/testdata/sf0.001")
+    label = ops.prepare_churn_label(d.signups(0), d.purchases(0), d.signups(1), d.purchases(1), 2)
+    users = d.user().unionByName(d.user().where("bib_id < 5"))
+
+    def wide(limits):
+        features = ops.prepare_data(
+            None, None, d.package(), d.recharge(), users, as_of="2024-02-01", limits=limits
+        )
+        return ops.merge_dataframes(features, label, limits=limits).orderBy("bib_id").collect()
+
+    short, long = wide(None), wide(Limits(min_rows=1, max_groups=10**9, salts=3))
+    assert len(short) == 20 and len(long) == 20  # 15 subscribers, five of them twice
+    for a, b in zip(short, long):
+        assert all(
+            x == y or isinstance(x, float) and math.isclose(x, y, rel_tol=1e-12)
+            for x, y in zip(a, b)
+        ), (a, b)
