@@ -20,9 +20,13 @@ class Domain:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self._opened: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A given table; its footers are looked at once per domain, not once per use."""
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._opened[name]
 
     def _lines_with_orders(self) -> DataFrame:
         orders = self.table("orders")
