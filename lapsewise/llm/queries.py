@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapsewise.llm import language, toxicity
 from lapsewise.llm.topk import top_k
 from lapsewise.llm.urls import filter_urls
 
@@ -32,6 +33,30 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = language.fold(F.col("doc_id"), 3)
+    model = language.train_model(docs.where(fold != 1))
+    held_out = F.coalesce(language.fold(F.col("doc_id"), 3) == 1, F.lit(False))
+    # The curve's chances are reported; a text with letters still gets its likeliest language.
+    return language.identify(docs, model).withColumn("held_out", held_out)
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel:
+    """Fitted on the documents whose fold of five is not 0."""
+    mine = labels.where(language.fold(F.col("doc_id"), 5) != 0)
+    return toxicity.train_model(toxicity.training_sample(docs, mine))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score_toxicity(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(language.fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op4_url_filters, op8_exact_top_k)
+    q.__name__: q for q in (op4_url_filters, op8_exact_top_k, op9_language_id, op10_toxicity)
 }

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,7 +89,7 @@ def top_k(
         after = block["id"][-1].as_py()
         if block.num_rows == query_block:  # an id may have several vectors: take them all
             same = asking.where(F.col("id") == after).toArrow()
-            block = pa.concat_tables([block.filter(pa.compute.less(block["id"], after)), same])
+            block = pa.concat_tables([block.filter(pc.less(block["id"], after)), same])
         parts.append(_answer(data, block, k, width, reach, ids))
     for part in parts[1:]:
         parts[0] = parts[0].unionAll(part)
