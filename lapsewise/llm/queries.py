@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import language, toxicity
+from lapsewise.llm import language, token_output, toxicity
+from lapsewise.llm.store import new_folder
 from lapsewise.llm.topk import top_k
 from lapsewise.llm.urls import filter_urls
 
@@ -20,6 +21,18 @@ URL_RULES = [
 ]
 
 
+#: Tokenizer files of the ``public_tokenizers`` folder, and the id that ends a document.
+WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
+END_ID = 1
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -29,6 +42,12 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), listed)
 
 
+def op5_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "token-ids")
+    token_output.write_token_ids(table(spark, sf_dir, "documents"), path, tokenizer_path(WORD_TOKENIZER), END_ID)
+    return token_output.read_token_ids(spark, path, ids=False)
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -58,5 +77,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op4_url_filters, op8_exact_top_k, op9_language_id, op10_toxicity)
+    q.__name__: q for q in (op4_url_filters, op5_token_id_output, op8_exact_top_k, op9_language_id, op10_toxicity)
 }
