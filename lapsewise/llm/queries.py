@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import language, token_output, toxicity
+from lapsewise.llm import decontamination, language, token_output, toxicity
 from lapsewise.llm.store import new_folder
 from lapsewise.llm.topk import top_k
 from lapsewise.llm.urls import filter_urls
@@ -37,6 +37,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = spark.createDataFrame(URL_RULES, "entry string, verdict string")
     return filter_urls(table(spark, sf_dir, "pages"), listed)
@@ -77,5 +81,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op4_url_filters, op5_token_id_output, op8_exact_top_k, op9_language_id, op10_toxicity)
+    q.__name__: q for q in (op2_benchmark_decontamination, op4_url_filters, op5_token_id_output, op8_exact_top_k, op9_language_id, op10_toxicity)
 }

@@ -41,4 +41,31 @@ placed AS (
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM placed WHERE place <= 5
 """
 
-ORACLE_SQL = {"op4_url_filters": _URL, "op8_exact_top_k": _TOP_K}
+#: Words of the lower-cased text, as the word operators take them.
+_WORDS = (
+    "list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+)
+_SHINGLES = "list_transform(range(1, len(w) - {n} + 2), lambda i: array_to_string(w[i : i + {n} - 1], ' '))"
+
+_LEAKS = f"""
+WITH items AS (
+  SELECT item_id, w, least(5, len(w)) AS wide
+  FROM (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL) WHERE len(w) > 0
+),
+item_shingles AS (SELECT DISTINCT item_id, wide, unnest({_SHINGLES.format(n="wide")}) AS s FROM items),
+sizes AS (SELECT item_id, count(*) AS n_shingles FROM item_shingles GROUP BY item_id),
+docs AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
+doc_shingles AS (
+  SELECT DISTINCT doc_id, wide, unnest({_SHINGLES.format(n="wide")}) AS s
+  FROM docs, (SELECT DISTINCT wide FROM items) WHERE len(w) >= wide
+),
+shared AS (
+  SELECT doc_id, item_id, count(*) AS n_shared
+  FROM doc_shingles JOIN item_shingles USING (wide, s) GROUP BY doc_id, item_id
+)
+SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
+FROM shared JOIN sizes USING (item_id) WHERE 10 * n_shared >= 8 * n_shingles
+"""
+
+ORACLE_SQL = {"op2_benchmark_decontamination": _LEAKS, "op4_url_filters": _URL, "op8_exact_top_k": _TOP_K}
