@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import decontamination, language, token_output, toxicity
+from lapsewise.llm import decontamination, language, pieces, token_counts, token_output, toxicity
 from lapsewise.llm.store import new_folder
 from lapsewise.llm.topk import top_k
 from lapsewise.llm.urls import filter_urls
@@ -37,6 +37,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -52,6 +56,23 @@ def op5_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_token_ids(spark, path, ids=False)
 
 
+def encoded_pieces(docs: DataFrame) -> DataFrame:
+    """Digests of each document's ids, and whether they decode to its text."""
+    model = tokenizer_path(PIECE_MODEL)
+    ids = pieces.encode(docs, model)
+    return pieces.decode(ids, model).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_pieces"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.length("decoded").cast("bigint").alias("n_chars"),
+        F.crc32(F.encode("decoded", "UTF-8")).alias("decoded_crc32"),
+    )
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_pieces(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -81,5 +102,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op2_benchmark_decontamination, op4_url_filters, op5_token_id_output, op8_exact_top_k, op9_language_id, op10_toxicity)
+    q.__name__: q for q in (op1_token_counts, op2_benchmark_decontamination, op4_url_filters, op5_token_id_output, op6_sentencepiece, op8_exact_top_k, op9_language_id, op10_toxicity)
 }
