@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import decontamination, language, pieces, token_counts, token_output, toxicity
+from lapsewise.llm import decontamination, language, line_dedup, pieces, token_counts, token_output, toxicity
 from lapsewise.llm.store import new_folder
 from lapsewise.llm.topk import top_k
 from lapsewise.llm.urls import filter_urls
@@ -73,6 +73,16 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_pieces(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = line_dedup.mark_repeats(table(spark, sf_dir, "documents"))
+    return marked.select(
+        "doc_id",
+        F.coalesce("removed", F.array().cast("array<int>")).alias("removed_lines"),
+        F.length("left").cast("bigint").alias("n_chars"),
+        F.crc32(F.encode("left", "UTF-8")).alias("text_crc32"),
+    )
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -102,5 +112,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_token_counts, op2_benchmark_decontamination, op4_url_filters, op5_token_id_output, op6_sentencepiece, op8_exact_top_k, op9_language_id, op10_toxicity)
+    q.__name__: q for q in (op1_token_counts, op2_benchmark_decontamination, op4_url_filters, op5_token_id_output, op6_sentencepiece, op7_line_dedup, op8_exact_top_k, op9_language_id, op10_toxicity)
 }
