@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import decontamination, language, line_dedup, pieces, token_counts, token_output, toxicity
+from lapsewise.llm import decontamination, jaccard, language, line_dedup, pieces, token_counts, token_output, toxicity
 from lapsewise.llm.store import new_folder
 from lapsewise.llm.topk import top_k
 from lapsewise.llm.urls import filter_urls
@@ -45,6 +45,10 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = spark.createDataFrame(URL_RULES, "entry string, verdict string")
     return filter_urls(table(spark, sf_dir, "pages"), listed)
@@ -112,5 +116,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_token_counts, op2_benchmark_decontamination, op4_url_filters, op5_token_id_output, op6_sentencepiece, op7_line_dedup, op8_exact_top_k, op9_language_id, op10_toxicity)
+    q.__name__: q for q in (op1_token_counts, op2_benchmark_decontamination, op3_ngram_jaccard, op4_url_filters, op5_token_id_output, op6_sentencepiece, op7_line_dedup, op8_exact_top_k, op9_language_id, op10_toxicity)
 }

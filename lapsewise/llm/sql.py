@@ -68,4 +68,28 @@ SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containme
 FROM shared JOIN sizes USING (item_id) WHERE 10 * n_shared >= 8 * n_shingles
 """
 
-ORACLE_SQL = {"op2_benchmark_decontamination": _LEAKS, "op4_url_filters": _URL, "op8_exact_top_k": _TOP_K}
+_COMPONENTS = f"""
+WITH RECURSIVE docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE {_SHINGLES.format(n=5)} END) AS s
+  FROM docs WHERE len(w) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 80 * (x.n + y.n - common)
+),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+)
+SELECT reach.doc_id, coalesce(max(n), 0) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN sizes ON sizes.doc_id = reach.doc_id GROUP BY reach.doc_id
+"""
+
+ORACLE_SQL = {"op3_ngram_jaccard": _COMPONENTS, "op2_benchmark_decontamination": _LEAKS, "op4_url_filters": _URL, "op8_exact_top_k": _TOP_K}
