@@ -60,12 +60,13 @@ def op5_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_token_ids(spark, path, ids=False)
 
 
-def encoded_pieces(docs: DataFrame) -> DataFrame:
-    """Digests of each document's ids, and whether they decode to its text."""
+def encoded_pieces(docs: DataFrame, *columns: str) -> DataFrame:
+    """Digests of each document's ids and of the text that they decode to; other ``columns`` asked for."""
     model = tokenizer_path(PIECE_MODEL)
     ids = pieces.encode(docs, model)
     return pieces.decode(ids, model).select(
         "doc_id",
+        *columns,
         (F.octet_length("ids") / 4).cast("bigint").alias("n_pieces"),
         F.crc32("ids").alias("ids_crc32"),
         F.length("decoded").cast("bigint").alias("n_chars"),
