@@ -47,14 +47,13 @@ from lapsewise.operators.profile import (
 )
 from lapsewise.operators.quantiles import overall_percentiles, summarise
 from lapsewise.operators.recovery import common_loans, loan_recovery_ratio, recovery_by_loan
-from lapsewise.operators.skew import Limits, find_hot_groups, left_join_many
+from lapsewise.operators.skew import left_join_many
 
 __all__ = [
     "Bins",
     "DURATION_BINS",
     "Features",
     "LOAN_AMOUNT_BINS",
-    "Limits",
     "RECHARGE_BINS",
     "activity_stream",
     "bin_label",
@@ -68,7 +67,6 @@ __all__ = [
     "count_distribution",
     "distribution",
     "duplicate_keys",
-    "find_hot_groups",
     "histogram",
     "kde",
     "left_join_many",

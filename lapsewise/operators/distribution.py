@@ -12,11 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import BooleanType, DateType, DoubleType, FloatType, StringType, TimestampNTZType, TimestampType
 
 from lapsewise.operators import skew
 from lapsewise.operators.quantiles import overall_percentiles, summarise
-from lapsewise.operators.skew import DEFAULT_LIMITS, Limits
 
 _QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -31,17 +30,28 @@ def _values(
     names meanwhile; also those names, and how to turn them back."""
     back = {f"__g{i}": name for i, name in enumerate(groups)}
     rows = df.select(
-        *[F.col(name).alias(g) for g, name in back.items()],
-        F.col(value).cast("double").alias("__v"),
+        *[F.col(name).alias(g) for g, name in back.items()], _number(df, value).alias("__v")
     )
     rows = rows.where(F.abs(F.col("__v")) < F.lit(math.inf))  # NaN is not, null neither
     return (rows.dropna(subset=list(back)) if back else rows), list(back), back
 
 
-def _with_stats(rows: DataFrame, stats: DataFrame, by: Sequence[str], hot: DataFrame | None):
+def _number(df: DataFrame, value: str) -> Column:
+    """A column as double; times and dates as seconds since 1970 (UTC)."""
+    kind = df.schema[value].dataType
+    if isinstance(kind, DateType):
+        return F.unix_date(value).cast("double") * 86400
+    if isinstance(kind, TimestampNTZType):
+        return F.unix_micros(F.to_utc_timestamp(F.col(value).cast("timestamp"), F.current_timezone())) / 1e6
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(value) / 1e6
+    return F.col(value).cast("double")
+
+
+def _with_stats(rows: DataFrame, stats: DataFrame, by: Sequence[str]):
     """Every row with its group's statistics; without groups, with the one row there is."""
     if by:
-        return skew.attach_group_values(rows, stats, by, hot)
+        return skew.attach_group_values(rows, stats, by)
     names = stats.columns
     one = stats.select(F.struct(*names).alias("s")).scalar()
     return rows.withColumn("__stats", one).select(
@@ -82,15 +92,17 @@ def histogram(
     x: str,
     hue: str | None = None,
     bins: str | int | Sequence[float] = "auto",
-    limits: Limits | None = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """Counts per bin as ``bin``, ``bin_start``, ``bin_end``, ``count``; empty bins are absent.
+    """Counts per bin as ``bin``, ``bin_start``, ``bin_end``, ``count``, empty bins included.
 
     Bins are closed on the left, the last one on both sides, and common to all values of
     ``hue``. ``bins`` is ``"auto"``, a number of equal bins, or the edges themselves (values
     outside them are not counted). With no spread there is one bin of width one around the
-    value.
+    value. A time or date is binned by its seconds since 1970. The values of a text or boolean
+    column are themselves the bins: the rows are then ``hue``, the value and ``count``.
     """
+    if isinstance(df.schema[x].dataType, (StringType, BooleanType)):
+        return _category_counts(df, x, hue)
     rows, by, back = _values(df, x, _groups(hue))
     v = F.col("__v")
     if not isinstance(bins, (str, int)):
@@ -106,7 +118,10 @@ def histogram(
         placed = kept.withColumn("bin", index.cast("long"))
         start, end = [F.get(points, (F.col("bin") + i).cast("int")) for i in (0, 1)]
         counted = placed.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("count"))
-        return counted.select(
+        all_bins = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))).alias("bin")
+        some = rows.select(*by).distinct() if by else rows.agg(F.count("__v").alias("n")).where("n > 0")
+        grid = some.select(*by, all_bins)
+        return _filled(grid, counted, by).select(
             *by, "bin", start.alias("bin_start"), end.alias("bin_end"), "count"
         ).withColumnsRenamed(back)
     if isinstance(bins, str) and bins != "auto":
@@ -116,7 +131,7 @@ def histogram(
 
     if bins == "auto":
         points = {"lo": 0.0, "q1": 0.25, "q3": 0.75, "hi": 1.0}
-        stats = overall_percentiles(rows, "__v", points, "n", limits).select(
+        stats = overall_percentiles(rows, "__v", points, "n").select(
             "lo",
             "hi",
             _auto_bins(F.col("n"), F.col("lo"), F.col("hi"), F.col("q3") - F.col("q1")).alias("k"),
@@ -141,24 +156,43 @@ def histogram(
         .otherwise(F.col("bin"))
     )
     counted = (
-        _with_stats(rows, stats, [], None)
+        _with_stats(rows, stats, [])
         .withColumn("bin", guess)
         .withColumn("bin", settled)
-        .groupBy(*by, "bin", "lo", "hi", "k")
+        .groupBy(*by, "bin")
         .agg(F.count(F.lit(1)).alias("count"))
     )
+    some = _with_stats(rows.select(*by).distinct(), stats, []) if by else stats.where("lo IS NOT NULL")
+    all_bins = F.explode(F.sequence(F.lit(0).cast("long"), k - 1)).alias("bin")
+    grid = some.select(*by, "lo", "hi", "k", all_bins)
     end = F.when(F.col("bin") == k - 1, hi).otherwise(lo + (F.col("bin") + 1) * width)
-    return counted.select(
+    return _filled(grid, counted, by).select(
         *by, "bin", (lo + F.col("bin") * width).alias("bin_start"), end.alias("bin_end"), "count"
     ).withColumnsRenamed(back)
 
 
-def _quartiles(
-    rows: DataFrame, by: Sequence[str], hot: DataFrame | None, limits: Limits | None
-) -> DataFrame:
-    if by:
-        return summarise(rows, by, {"n": F.count("__v")}, {"__v": _QUARTILES}, hot)
-    return overall_percentiles(rows, "__v", _QUARTILES, "n", limits)
+def _filled(grid: DataFrame, counted: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Every bin of the grid with its count, 0 where nothing was counted."""
+    whole = grid.join(counted, [*by, "bin"], "left")
+    return whole.withColumn("count", F.coalesce("count", F.lit(0).cast("long")))
+
+
+def _category_counts(df: DataFrame, x: str, hue: str | None) -> DataFrame:
+    """Rows per value, for every value of ``hue`` those that it lacks too."""
+    by = _groups(hue)
+    rows = df.select(*by, x).dropna()
+    counted = rows.groupBy(*by, x).agg(F.count(F.lit(1)).alias("count"))
+    if not by or hue == x:
+        return counted
+    # As many rows as the figure has bars: distinct values are paired, not rows.
+    values = counted.agg(F.sort_array(F.collect_set(x)).alias("values"))
+    grid = counted.select(*by).distinct().withColumn("values", values.scalar())
+    whole = grid.select(*by, F.explode("values").alias(x)).join(counted, [*by, x], "left")
+    return whole.withColumn("count", F.coalesce("count", F.lit(0).cast("long")))
+
+
+def _quartiles(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    return summarise(rows, by, {"__v": _QUARTILES}, count_as="n")
 
 
 def box(
@@ -166,7 +200,6 @@ def box(
     x: str,
     y: str | None = None,
     hue: str | None = None,
-    limits: Limits | None = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Quartiles, whiskers and outliers of ``y`` per ``x``, or of ``x`` itself without ``y``.
 
@@ -174,13 +207,12 @@ def box(
     values beyond are counted, not listed.
     """
     rows, by, back = _values(df, y or x, _groups(x, hue) if y else _groups(hue))
-    hot = skew.find_hot_groups(rows, by, limits) if by else None
-    quartiles = _quartiles(rows, by, hot, limits)
+    quartiles = _quartiles(rows, by)
     v, reach = F.col("__v"), (F.col("q3") - F.col("q1")) * F.lit(1.5)
     low, high = F.col("q1") - reach, F.col("q3") + reach
     inside = (v >= low) & (v <= high)
     return (
-        _with_stats(rows, quartiles, by, hot)
+        _with_stats(rows, quartiles, by)
         .groupBy(*by)
         .agg(
             F.max("n").alias("n"),
@@ -196,17 +228,16 @@ def box(
 def _density(
     rows: DataFrame,
     by: Sequence[str],
-    hot: DataFrame | None,
     gridsize: int,
     cut: float,
     common_norm: bool,
 ) -> DataFrame:
     """Gaussian density on an even grid per group: ``by``, ``grid``, ``x``, ``density``.
 
-    Equal values are counted first, so that each distinct one is evaluated once. A value
-    contributes only to the grid points its kernel can reach before it underflows to zero:
-    the sum is complete, and the more rows there are (the narrower the kernel), the fewer
-    points each one touches. Contributions are summed per grid point on the map side.
+    A value contributes only to the grid points its kernel can reach before it underflows to
+    zero: the sum is complete, and the more rows there are (the narrower the kernel), the fewer
+    points each one touches. Contributions are summed per grid point on the map side, so a task
+    sends at most one row for each group and grid point, and no value is shuffled.
     Groups of one value or without spread have no density.
     """
     v, x = F.col("__v"), F.col("x")
@@ -231,7 +262,6 @@ def _density(
             (F.lit(1.0) / (total * F.col("bw") * F.lit(math.sqrt(2 * math.pi)))).alias("weight"),
         )
     )
-    distinct = rows.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__rows"))
     reach = F.lit(_KERNEL_REACH) * F.col("bw")
 
     def grid_index(at: Column, rounded) -> Column:
@@ -243,7 +273,7 @@ def _density(
     at_grid = (F.col("first") + F.col("grid") * F.col("step")).alias("x")
     z = (x - v) / F.col("bw")
     mass = (
-        _with_stats(distinct, stats, by, hot)
+        _with_stats(rows, stats, by)
         .where(F.col("bw").isNotNull())
         .select(
             *by,
@@ -251,7 +281,7 @@ def _density(
             "bw",
             "first",
             "step",
-            (F.col("weight") * F.col("__rows")).alias("weight"),
+            "weight",
             F.explode(F.sequence(nearest, furthest)).alias("grid"),
         )
         .select(*by, "grid", at_grid, "__v", "bw", "weight")
@@ -272,7 +302,6 @@ def kde(
     gridsize: int = 200,
     cut: float = 3.0,
     common_norm: bool = True,
-    limits: Limits | None = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Gaussian kernel density of ``x`` with Scott's bandwidth.
 
@@ -280,8 +309,7 @@ def kde(
     areas of all curves together are one, otherwise each is one.
     """
     rows, by, back = _values(df, x, _groups(hue))
-    hot = skew.find_hot_groups(rows, by, limits) if by else None
-    return _density(rows, by, hot, gridsize, cut, common_norm).withColumnsRenamed(back)
+    return _density(rows, by, gridsize, cut, common_norm).withColumnsRenamed(back)
 
 
 def violin(
@@ -291,15 +319,12 @@ def violin(
     hue: str | None = None,
     gridsize: int = 100,
     cut: float = 2.0,
-    limits: Limits | None = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Density of ``y`` per ``x`` (or of ``x`` itself) with the group's quartiles in each row."""
     rows, by, back = _values(df, y or x, _groups(x, hue) if y else _groups(hue))
-    hot = skew.find_hot_groups(rows, by, limits) if by else None
-    curve = _density(rows, by, hot, gridsize, cut, common_norm=False)
-    quartiles = _quartiles(rows, by, hot, limits)
-    # The curve has at most ``gridsize`` rows per group: none of its groups is hot.
-    return _with_stats(curve, quartiles, by, None).withColumnsRenamed(back)
+    curve = _density(rows, by, gridsize, cut, common_norm=False)
+    quartiles = _quartiles(rows, by)
+    return _with_stats(curve, quartiles, by).withColumnsRenamed(back)
 
 
 KINDS = ("count", "line", "box", "hist", "kde", "violin")

@@ -6,14 +6,14 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapsewise.functions.numbers import age_in_years
 from lapsewise.functions.timeparse import DAY_FORMAT, LONG_FORMAT, day_gap, ensure_timestamps
 from lapsewise.operators import skew
-from lapsewise.operators.quantiles import summarise
-from lapsewise.operators.skew import DEFAULT_LIMITS, Limits, as_names
+from lapsewise.operators.quantiles import sketched, summarise
+from lapsewise.operators.skew import as_names
 
 
 def _mean_median(
@@ -22,18 +22,13 @@ def _mean_median(
     amounts: Mapping[str, str],
     exact: bool,
     count_as: str | None = None,
-    few_valued: Sequence[str] = (),
-    limits: Limits | None = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Mean and median per key of each column, named ``Average<suffix>``/``Median<suffix>``."""
     keys = as_names(key)
-    plain: dict[str, Column] = {f"Average{s}": F.mean(c) for c, s in amounts.items()}
-    if count_as:
-        plain[count_as] = F.count(F.lit(1))
+    ways = {True: summarise, False: sketched}
     medians = {c: {f"Median{s}": 0.5} for c, s in amounts.items()}
-    rows = df.select(*keys, *amounts)
-    hot = skew.find_hot_groups(rows, keys, limits if exact else None)
-    wide = summarise(rows, keys, plain, medians, hot, few_valued, exact)
+    means = {c: f"Average{s}" for c, s in amounts.items()}
+    wide = ways[exact](df.select(*keys, *amounts), keys, medians, means, count_as)
     ordered = [n for s in amounts.values() for n in (f"Average{s}", f"Median{s}")]
     return wide.select(*keys, *ordered, *([count_as] if count_as else []))
 
@@ -42,27 +37,24 @@ def prepare_assign_df(
     assign_df: DataFrame,
     key: str | Sequence[str] = "bib_id",
     exact: bool = True,
-    limits: Limits | None = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Mean and median amount of the loans assigned to a subscriber."""
-    return _mean_median(assign_df, key, {"loan_amount": "AssignLoanAmount"}, exact, limits=limits)
+    return _mean_median(assign_df, key, {"loan_amount": "AssignLoanAmount"}, exact)
 
 
 def prepare_recovery_df(
     recovery_df: DataFrame,
     key: str | Sequence[str] = "bib_id",
     exact: bool = True,
-    limits: Limits | None = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Mean and median *loan* amount over a subscriber's recovery rows."""
-    return _mean_median(recovery_df, key, {"loan_amount": "RecoveryLoanAmount"}, exact, limits=limits)
+    return _mean_median(recovery_df, key, {"loan_amount": "RecoveryLoanAmount"}, exact)
 
 
 def prepare_package_df(
     package_df: DataFrame,
     key: str | Sequence[str] = "bib_id",
     exact: bool = True,
-    limits: Limits | None = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Mean and median amount and duration in days of a subscriber's packages, and their
     number (rows without amount or date are counted too)."""
@@ -75,8 +67,6 @@ def prepare_package_df(
         {"offer_amount": "PackageAmount", "duration": "PackageDuration"},
         exact,
         count_as="CountPackage",
-        few_valued=["duration"],
-        limits=limits,
     )
 
 
@@ -84,7 +74,6 @@ def prepare_recharge_df(
     recharge_df: DataFrame,
     key: str | Sequence[str] = "bib_id",
     exact: bool = True,
-    limits: Limits | None = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Mean and median recharge amount of a subscriber and the number of recharges."""
     return _mean_median(
@@ -93,7 +82,6 @@ def prepare_recharge_df(
         {"recharge_value_amt": "RechargeAmount"},
         exact,
         count_as="CountRecharge",
-        limits=limits,
     )
 
 
@@ -136,15 +124,13 @@ def prepare_data(
     as_of: dt.date | str | None = None,
     key: str | Sequence[str] = "bib_id",
     exact: bool = True,
-    limits: Limits | None = DEFAULT_LIMITS,
 ) -> Features:
-    """Prepare all five inputs. With ``exact`` medians each table's group sizes are looked at
-    now (see :mod:`lapsewise.operators.skew`); the rest waits until the result is used."""
+    """Prepare all five inputs; nothing runs until the result is used."""
     return Features(
-        None if assign_df is None else prepare_assign_df(assign_df, key, exact, limits),
-        None if recovery_df is None else prepare_recovery_df(recovery_df, key, exact, limits),
-        prepare_package_df(package_df, key, exact, limits),
-        prepare_recharge_df(recharge_df, key, exact, limits),
+        None if assign_df is None else prepare_assign_df(assign_df, key, exact),
+        None if recovery_df is None else prepare_recovery_df(recovery_df, key, exact),
+        prepare_package_df(package_df, key, exact),
+        prepare_recharge_df(recharge_df, key, exact),
         prepare_user_df(user_df, as_of, key),
     )
 
@@ -169,14 +155,14 @@ def merge_dataframes(
     include_loans: bool = False,
     unique_users: bool = False,
     key: str | Sequence[str] = "bib_id",
-    limits: Limits | None = DEFAULT_LIMITS,
+    salts: int = 1,
 ) -> DataFrame:
     """Left-join the features to the label; absent features are null, counts included.
 
     Label and aggregates have one row per key, share their partitioning and need no further
-    shuffle. The user table may repeat a key, which multiplies rows; by default it is joined
-    so that a key repeated very often is spread over tasks. ``unique_users`` checks first
-    that there are none (this runs a job) and then joins plainly.
+    shuffle. The user table may repeat a key, which multiplies rows; where one is repeated very
+    often, ``salts`` spreads it over so many tasks. ``unique_users`` checks first that there are
+    none (this runs a job) and then joins plainly.
     """
     keys = as_names(key)
     merged = churn_label_df
@@ -187,4 +173,4 @@ def merge_dataframes(
         merged = merged.join(part, keys, "left")
     if unique_users:
         return merged.join(require_unique(features.user, keys), keys, "left")
-    return skew.left_join_many(merged, features.user, keys, limits)
+    return skew.left_join_many(merged, features.user, keys, salts)

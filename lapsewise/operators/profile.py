@@ -45,14 +45,15 @@ def sum_by_time_part(
     )
 
 
-def count_by(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Rows per category, nulls included."""
-    return df.groupBy(*as_names(key)).agg(F.count(F.lit(1)).alias("count"))
+def count_by(df: DataFrame, key: str | Sequence[str], weight: str | None = None) -> DataFrame:
+    """Rows per category, nulls included. ``weight`` names a column of counts made before."""
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return df.groupBy(*as_names(key)).agg(rows.alias("count"))
 
 
-def top_k(df: DataFrame, col_name: str, k: int) -> DataFrame:
+def top_k(df: DataFrame, col_name: str, k: int, weight: str | None = None) -> DataFrame:
     """The ``k`` most frequent values; of equally frequent ones the smaller comes first."""
-    return count_by(df, col_name).orderBy(F.desc("count"), F.asc_nulls_first(col_name)).limit(k)
+    return count_by(df, col_name, weight).orderBy(F.desc("count"), F.asc_nulls_first(col_name)).limit(k)
 
 
 def value_counts(df: DataFrame, col_name: str) -> DataFrame:

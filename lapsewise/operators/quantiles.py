@@ -1,20 +1,19 @@
-"""Exact interpolated percentiles per group, for groups of any size.
-
-Spark's ``percentile`` keeps every distinct value of a group in one buffer. That is right for
-ordinary groups and wrong for a group that holds a third of the table. Hot groups therefore
-take another exact way: find the wanted ranks by narrowing.
-
-1. Count rows per (group, bucket) and keep the buckets that contain a wanted rank.
-2. Count the rows of those buckets per slice of the bucket; keep slices in the same way.
-3. Again per thinner slice of those.
-4. Count the rows left per distinct value, and read off the values at the wanted ranks.
-
-Buckets and slices are order-preserving functions of the value alone: a 64th of a power of
-two, then 2**16 slices of that, then 2**16 slices of each. So no sampling is involved and
-counts combine on the map side. Their fineness also bounds every running sum: a step sorts at
-most about 2**16 counts of one group and parent together (in step 1 the buckets of all
-doubles, some 260,000), and what two doubles of one thinnest slice can still differ in is
-their last 15 bits. The data is read once per step; it is never sorted.
+"""Exact interpolated percentiles per group, for groups of any size, by one plan.
+
+Spark's ``percentile`` keeps every distinct value of a group in one buffer, which a group that
+holds a third of the table does not fit. Here no task sees a group:
+
+1. Rows are counted per (group, column, value). That shuffle is keyed on the value too, so a hot
+   group is spread over all tasks, and equal values combine on the map side.
+2. Those counts are added up per bucket, an order-preserving function of the value alone (a
+   1024th of a power of two). A group's bucket counts, in order, show which buckets contain a
+   wanted rank.
+3. The counts of those buckets are joined to them and, in the order of their values, give the
+   values at the wanted ranks. What one task sorts is one bucket of one group.
+
+The source is read once; steps 2 and 3 read the same shuffle. Means and numbers of rows come from
+the same counts. A caller who knows that no group is large may ask for one buffer per group
+(``buffered``); nothing is measured to choose between the two.
 """
 
 from __future__ import annotations
@@ -25,14 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lapsewise.operators import skew
-from lapsewise.operators.skew import DEFAULT_LIMITS, Limits, as_names
+from lapsewise.operators.skew import as_names
 
-_BUCKETS_PER_OCTAVE = 64
-_OFFSET = 80_000  # keeps the magnitude part of a bucket positive for every double
-_SPECIAL = 300_000  # beyond every finite bucket
-_THIN_SLICES = 2**32 / (2 ** (1 / _BUCKETS_PER_OCTAVE) - 1)  # per relative width of a bucket
-_STEPS = ("__bucket", "__slice", "__thin_slice", "__v")
+_BUCKETS_PER_OCTAVE = 1024
+_OFFSET = 1_300_000  # keeps the magnitude part of a bucket positive for every double
+_SPECIAL = 5_000_000  # beyond every finite bucket
+_NULL = -6_000_000  # below all: null values have no rank
 
 
 def _bucket(v: Column) -> Column:
@@ -48,17 +45,6 @@ def _bucket(v: Column) -> Column:
     ).cast("long")
 
 
-def _thin_slice(v: Column, bucket: Column) -> Column:
-    """Number of the thinnest slice within a bucket."""
-    start = F.pow(F.lit(2.0), (F.abs(bucket) - _OFFSET) / _BUCKETS_PER_OCTAVE)
-    part = F.floor((F.abs(v) / start - 1) * F.lit(_THIN_SLICES))
-    return (
-        F.when((bucket == 0) | (F.abs(bucket) >= _SPECIAL), F.lit(0))
-        .when(bucket > 0, part)
-        .otherwise(-part)
-    ).cast("long")
-
-
 def _position(p: float) -> Column:
     return F.lit(float(p)) * (F.col("__n") - 1)
 
@@ -73,155 +59,143 @@ def _holds_a_rank(probs: Sequence[float]) -> Column:
     return wanted
 
 
-def _running(parts: Sequence[str], order: str) -> Column:
-    window = W.partitionBy(*parts) if parts else W.partitionBy(F.lit(0))
-    return F.sum("__rows").over(
-        window.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-
-
-def _narrowed_percentiles(
-    rows: DataFrame, by: Sequence[str], probs: Mapping[str, float], count_as: str | None = None
+def _narrowed(
+    df: DataFrame,
+    by: Sequence[str],
+    columns: Sequence[str],
+    probs: Sequence[float],
 ) -> DataFrame:
-    """Percentiles of column ``__v`` by narrowing; every non-empty group gets one row."""
-    by = list(by)
-    wanted = sorted(set(probs.values()))
-    whole = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-    rows = (
-        rows.withColumn("__bucket", _bucket(F.col("__v")))
-        .withColumn("__thin_slice", _thin_slice(F.col("__v"), F.col("__bucket")))
-        .withColumn("__slice", F.shiftright("__thin_slice", 16))
+    """Per group (``__g``) and column (``__g.__c``): the values around every wanted rank, the sums
+    and the counts.
+
+    Groups whose values are all null come back with null values. The group is one struct, which
+    is never null, so plain equality joins it and all steps share its partitioning.
+    """
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)]))
+    rows = df.select(*by, each.alias("__e")).select(
+        F.struct(*by, F.col("__e.c").alias("__c")).alias("__g"), F.col("__e.v").alias("__v")
     )
-    found = None
-    for i, step in enumerate(_STEPS):
-        parents = [*by, *_STEPS[:i]]
-        count = F.count(F.lit(1)).alias("__rows")
-        if found is None:
-            counted = rows.groupBy(*parents, step).agg(count)
-            counted = counted.withColumns({"__n": F.sum("__rows").over(whole), "__base": F.lit(0)})
-        else:
-            kept = found.select(
-                *parents, "__n", (F.col("__until") - F.col("__rows")).alias("__base")
-            )
-            counted = (
-                _of_picked(rows, kept, parents)
-                .groupBy(*parents, step)
-                .agg(count, F.max("__n").alias("__n"), F.max("__base").alias("__base"))
-            )
-        found = counted.withColumn("__until", F.col("__base") + _running(parents, step)).where(
-            _holds_a_rank(wanted)
+    counts = rows.groupBy("__g", "__v").agg(F.count(F.lit(1)).alias("__rows"))
+    counts = counts.withColumn(
+        "__bucket", F.when(F.col("__v").isNotNull(), _bucket(F.col("__v"))).otherwise(F.lit(_NULL))
+    )
+    group = ["__g"]
+    whole = W.partitionBy(*group)
+    filled = F.when(F.col("__bucket") != _NULL, F.col("__rows"))
+    running = whole.orderBy("__bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
+    buckets = (
+        counts.groupBy(*group, "__bucket")
+        .agg(F.sum("__rows").alias("__rows"), F.sum(F.col("__v") * F.col("__rows")).alias("__part"))
+        .withColumns(
+            {
+                "__all": F.sum("__rows").over(whole),
+                "__n": F.coalesce(F.sum(filled).over(whole), F.lit(0)),
+                "__sum": F.sum("__part").over(whole),
+                "__until": F.sum(filled).over(running),
+            }
         )
-
-    def value_at(rank: Column) -> Column:
-        start = F.col("__until") - F.col("__rows")
-        return F.max(F.when((rank >= start) & (rank < F.col("__until")), F.col("__v")))
-
-    picked = found.groupBy(*by).agg(
-        F.max("__n").alias("__n"),
-        *[value_at(F.floor(_position(p))).alias(f"__lo_{i}") for i, p in enumerate(wanted)],
-        *[value_at(F.ceil(_position(p))).alias(f"__hi_{i}") for i, p in enumerate(wanted)],
+        .where(_holds_a_rank(probs) | (F.col("__n") == 0))
+        .select(*group, "__bucket", "__all", "__n", "__sum", (F.col("__until") - F.col("__rows")).alias("__base"))
     )
+    keys = [*group, "__bucket"]
+    found = counts.join(buckets, keys)
+    inside = W.partitionBy(*keys).orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    found = found.withColumn("__until", F.col("__base") + F.sum("__rows").over(inside))
+    return found.where(_holds_a_rank(probs) | (F.col("__n") == 0))
 
-    def interpolated(p: float) -> Column:
-        i = wanted.index(p)
-        lo, hi, at = F.col(f"__lo_{i}"), F.col(f"__hi_{i}"), _position(p)
-        between = (F.ceil(at) - at) * lo + (at - F.floor(at)) * hi
-        return F.when(lo.eqNullSafe(hi), lo).otherwise(between)
 
-    count = [F.col("__n").alias(count_as)] if count_as else []
-    return picked.select(*by, *count, *[interpolated(p).alias(a) for a, p in probs.items()])
+def summarise(
+    df: DataFrame,
+    key: str | Sequence[str],
+    percentiles: Mapping[str, Mapping[str, float]],
+    means: Mapping[str, str] | None = None,
+    count_as: str | None = None,
+    values_as: str | None = None,
+    buffered: bool = False,
+) -> DataFrame:
+    """One row per group of ``key`` (of all rows, if that is empty): percentiles of numeric columns.
 
+    ``percentiles`` maps an input column to ``{output name: p}``, ``means`` an input column to an
+    output name; nulls are skipped, and a group without values gives null. ``count_as`` names the
+    number of rows, ``values_as`` the number of values of the first column. No rows, no groups.
+    """
+    by, means, columns = as_names(key), dict(means or {}), list(percentiles)
+    wanted = sorted({float(p) for probs in percentiles.values() for p in probs.values()})
+    outputs: dict[str, Column] = {}
+    if buffered:
+        aggs = [F.count(F.lit(1)).alias("__all"), F.count(columns[0]).alias("__n")]
+        for i, name in enumerate(columns):
+            points = [float(p) for p in percentiles[name].values()]
+            aggs.append(F.percentile(F.col(name).cast("double"), points).alias(f"__q{i}"))
+            outputs.update({a: F.col(f"__q{i}")[j] for j, a in enumerate(percentiles[name])})
+        aggs += [F.mean(name).alias(f"__m{i}") for i, name in enumerate(means)]
+        outputs.update({a: F.col(f"__m{i}") for i, a in enumerate(means.values())})
+        picked = df.groupBy(*by).agg(*aggs).where("__all > 0")
+    else:
+        found = _narrowed(df, by, columns, wanted).select(
+            "*", *[F.col("__g")[k].alias(k) for k in by], F.col("__g.__c").alias("__c")
+        )
 
-def _of_picked(rows: DataFrame, picks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of the picked buckets or slices, with the pick's columns.
+        def of(i: int, value: Column) -> Column:
+            return F.max(F.when(F.col("__c") == i, value))
 
-    Broadcast: per hot group at most two buckets per percentile, and hot groups are bounded.
-    """
-    right = skew.prefixed(picks, keys, "__pick_")
-    return rows.join(F.broadcast(right), skew.same_key(keys, "__pick_")).drop(
-        *[f"__pick_{k}" for k in keys]
+        def at(i: int, rank: Column) -> Column:
+            start = F.col("__until") - F.col("__rows")
+            return of(i, F.when((rank >= start) & (rank < F.col("__until")), F.col("__v")))
+
+        aggs = [F.max("__all").alias("__all"), of(0, F.col("__n")).alias("__n")]
+        for i, name in enumerate(columns):
+            aggs.append(of(i, F.col("__n")).alias(f"__n{i}"))
+            aggs.append(of(i, F.col("__sum") / F.nullif(F.col("__n"), F.lit(0))).alias(f"__m{i}"))
+            for j, p in enumerate(wanted):
+                aggs.append(at(i, F.floor(_position(p))).alias(f"__lo{i}_{j}"))
+                aggs.append(at(i, F.ceil(_position(p))).alias(f"__hi{i}_{j}"))
+            for a, p in percentiles[name].items():
+                j = wanted.index(float(p))
+                lo, hi = F.col(f"__lo{i}_{j}"), F.col(f"__hi{i}_{j}")
+                place = F.lit(float(p)) * (F.col(f"__n{i}") - 1)
+                between = (F.ceil(place) - place) * lo + (place - F.floor(place)) * hi
+                outputs[a] = F.when(lo.eqNullSafe(hi), lo).otherwise(between)
+        outputs.update({a: F.col(f"__m{columns.index(name)}") for name, a in means.items()})
+        picked = found.groupBy(*by).agg(*aggs)
+        if not by:
+            picked = picked.where("__all IS NOT NULL")
+    extra = [(count_as, "__all"), (values_as, "__n")]
+    return picked.select(
+        *by, *[F.col(c).alias(a) for a, c in extra if a], *[c.alias(a) for a, c in outputs.items()]
     )
 
 
+def sketched(
+    df: DataFrame,
+    key: str | Sequence[str],
+    percentiles: Mapping[str, Mapping[str, float]],
+    means: Mapping[str, str] | None = None,
+    count_as: str | None = None,
+    accuracy: int = 10_000,
+) -> DataFrame:
+    """As :func:`summarise`, with Spark's bounded sketch instead of exact percentiles, in one pass."""
+    by, aggs, outputs = as_names(key), [], {}
+    for i, (name, probs) in enumerate(percentiles.items()):
+        points = [float(p) for p in probs.values()]
+        aggs.append(F.percentile_approx(F.col(name).cast("double"), points, accuracy).alias(f"__q{i}"))
+        outputs.update({a: F.col(f"__q{i}")[j] for j, a in enumerate(probs)})
+    count = [F.count(F.lit(1)).alias(count_as)] if count_as else []
+    means = dict(means or {})
+    grouped = df.groupBy(*by).agg(*count, *[F.mean(c).alias(a) for c, a in means.items()], *aggs)
+    return grouped.select(*by, *([count_as] if count_as else []), *means.values(), *[c.alias(a) for a, c in outputs.items()])
+
+
 def overall_percentiles(
     df: DataFrame,
     value: str,
     probs: Mapping[str, float],
     count_as: str | None = None,
-    limits: Limits | None = DEFAULT_LIMITS,
+    buffered: bool = False,
 ) -> DataFrame:
     """One row of exact percentiles of a whole column; nulls are skipped.
 
-    An empty or all-null column gives no row. Whether one buffer holds the column is settled
-    by counting it now.
-    """
-    rows = df.select(F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    if limits is not None and rows.count() > limits.min_rows:
-        return _narrowed_percentiles(rows, [], probs, count_as)
-    count = [F.col("__n").alias(count_as)] if count_as else []
-    return (
-        rows.agg(F.count("__v").alias("__n"), F.percentile("__v", list(probs.values())).alias("__q"))
-        .where(F.col("__n") > 0)
-        .select(*count, *[F.col("__q")[i].alias(a) for i, a in enumerate(probs)])
-    )
-
-
-def summarise(
-    df: DataFrame,
-    key: str | Sequence[str],
-    plain: Mapping[str, Column],
-    percentiles: Mapping[str, Mapping[str, float]],
-    hot: DataFrame | None,
-    few_valued: Sequence[str] = (),
-    exact: bool = True,
-    accuracy: int = 10_000,
-) -> DataFrame:
-    """One row per group: ``plain`` aggregates and percentiles of numeric columns.
-
-    ``plain`` maps output names to aggregate expressions that combine on the map side (mean,
-    sum, count, min, max). ``percentiles`` maps an input column to ``{output name: p}``; nulls
-    are skipped and a group without values gives null. ``hot`` are the groups that need the
-    long way (see :func:`lapsewise.operators.skew.find_hot_groups`); columns in
-    ``few_valued`` never do, their distinct values being few by nature, such as days.
-    ``exact=False`` trades exactness for Spark's bounded sketch, in one pass for every group.
+    An empty or all-null column gives no row.
     """
-    by = as_names(key)
-    outputs = [*plain, *[a for probs in percentiles.values() for a in probs]]
-
-    def in_one_pass(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-        aggs = [c.alias(a) for a, c in plain.items()]
-        reads = {}
-        for i, name in enumerate(columns):
-            probs = {a: float(p) for a, p in percentiles[name].items()}
-            points = list(probs.values())
-            if exact:
-                found = F.percentile(name, points)
-            else:
-                found = F.percentile_approx(F.col(name).cast("double"), points, accuracy)
-            aggs.append(found.alias(f"__q{i}"))
-            reads.update({a: F.col(f"__q{i}")[j] for j, a in enumerate(probs)})
-        grouped = rows.groupBy(*by).agg(*aggs) if aggs else rows.select(*by).distinct()
-        return grouped.select(*by, *plain, *[c.alias(a) for a, c in reads.items()])
-
-    def together(rows: DataFrame) -> DataFrame:
-        # Buffers of single values hardly shrink on the map side, and are dearer to sort and
-        # ship than the rows. So groups known to be small are brought together first.
-        return in_one_pass(rows.repartition(*by), list(percentiles)).select(*by, *outputs)
-
-    if not exact:
-        return in_one_pass(df, list(percentiles)).select(*by, *outputs)
-    if hot is None:
-        return together(df)
-
-    cold = together(skew.without_groups(df, by, hot))
-    hot_rows = skew.only_groups(df, by, hot)
-    wide = in_one_pass(hot_rows, [c for c in percentiles if c in few_valued])
-    for i, (name, probs) in enumerate(percentiles.items()):
-        if name in few_valued:
-            continue
-        rows = hot_rows.select(*by, F.col(name).cast("double").alias("__v")).where(
-            F.col("__v").isNotNull()
-        )
-        found = skew.prefixed(_narrowed_percentiles(rows, by, probs), by, f"__p{i}_")
-        wide = wide.join(found, skew.same_key(by, f"__p{i}_"), "left")
-    return cold.unionByName(wide.select(*by, *outputs))
+    rows = df.select(F.col(value).cast("double").alias("__value")).where(F.col("__value").isNotNull())
+    return summarise(rows, [], {"__value": probs}, values_as=count_as, buffered=buffered)

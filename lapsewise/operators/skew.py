@@ -1,40 +1,19 @@
-"""Tell groups that are too large for one task from the rest.
+"""Joins and keys that stand a key with very many rows.
 
-Sums, counts, minima and maxima never need this: Spark combines them on the map side, so a
-hot key arrives at its reducer as one row per task. What does need it is work that must see
-all rows of a group together: exact percentiles, and joins that fan a group out.
-
-``find_hot_groups`` looks for such groups with one aggregation over the key columns alone,
-run when the operator is called, as ``pivot`` does to learn its values. Usually there is none
-and the plain plan follows. A group is hot if it holds more than ``min_rows`` rows *and* more
-than one ``max_groups``-th of all rows, so there can be at most ``max_groups`` of them
-whatever the data looks like. That bound is what makes it safe to broadcast their keys.
+Sums, counts, minima and maxima need no care: Spark combines them on the map side, so a hot key
+arrives at its reducer as one row per task. Inner joins need none either: adaptive execution
+splits an overfull partition of either side. An outer join it can split on one side only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-@dataclass(frozen=True)
-class Limits:
-    """When a group counts as hot, and over how many buckets a fanned-out one is dealt."""
-
-    min_rows: int = 200_000
-    max_groups: int = 250_000
-    salts: int = 64
-
-
-DEFAULT_LIMITS = Limits()
-
-_HOT = "__hot_"
-
-
 def as_names(key: str | Sequence[str]) -> list[str]:
     """A key is one column name or a list of them."""
     return [key] if isinstance(key, str) else list(key)
@@ -52,82 +31,44 @@ def prefixed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     return df.withColumnsRenamed({k: f"{prefix}{k}" for k in keys})
 
 
-def find_hot_groups(
-    df: DataFrame, key: str | Sequence[str], limits: Limits | None = DEFAULT_LIMITS
-) -> DataFrame | None:
-    """Keys of the groups too large for one task, at most ``limits.max_groups`` of them.
+def attach_group_values(df: DataFrame, values: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Add per-group ``values`` (one row per group) to every row of ``df``, by an inner join.
 
-    ``None`` if there is no such group, or if ``limits`` is ``None``, by which a caller says
-    that no group is large; then nothing is run.
+    Groups missing from ``values`` are left out.
     """
-    if limits is None:
-        return None
     keys = as_names(key)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    largest, total = sizes.agg(F.max("__rows"), F.sum("__rows")).first()
-    bound = max(limits.min_rows, (total or 0) // limits.max_groups)
-    if largest is None or largest <= bound:
-        return None
-    return prefixed(sizes.where(F.col("__rows") > bound).select(*keys), keys, _HOT)
-
-
-def without_groups(df: DataFrame, key: str | Sequence[str], hot: DataFrame) -> DataFrame:
-    """Rows outside the hot groups (a null key counts as a group of its own)."""
-    return df.join(F.broadcast(hot), same_key(as_names(key), _HOT), "left_anti")
-
-
-def only_groups(df: DataFrame, key: str | Sequence[str], hot: DataFrame) -> DataFrame:
-    """Rows of the hot groups."""
-    return df.join(F.broadcast(hot), same_key(as_names(key), _HOT), "left_semi")
-
-
-def attach_group_values(
-    df: DataFrame, values: DataFrame, key: str | Sequence[str], hot: DataFrame | None
-) -> DataFrame:
-    """Add per-group ``values`` (one row per group) to every row of ``df``.
-
-    Rows of hot groups meet their values by broadcast, bounded by the number of hot groups;
-    all other groups are small and meet them in an ordinary equi-join. Groups missing from
-    ``values`` are left out.
-    """
-    keys = as_names(key)
-
-    def meet(rows: DataFrame, right: DataFrame, small: bool) -> DataFrame:
-        right = prefixed(right, keys, "__val_")
-        joined = rows.join(F.broadcast(right) if small else right, same_key(keys, "__val_"))
-        return joined.drop(*[f"__val_{k}" for k in keys])
-
-    if hot is None:
-        return meet(df, values, small=False)
-    cold = meet(without_groups(df, keys, hot), values, small=False)
-    warm = meet(only_groups(df, keys, hot), only_groups(values, keys, hot), small=True)
-    return cold.unionByName(warm)
+    joined = df.join(prefixed(values, keys, "__val_"), same_key(keys, "__val_"))
+    return joined.drop(*[f"__val_{k}" for k in keys])
 
 
 def left_join_many(
-    left: DataFrame,
-    many: DataFrame,
-    key: str | Sequence[str],
-    limits: Limits | None = DEFAULT_LIMITS,
+    left: DataFrame, many: DataFrame, key: str | Sequence[str], salts: int = 1
 ) -> DataFrame:
     """Left equi-join whose right side may repeat a key any number of times.
 
-    Spark cannot split the right side of a left outer join, so a key that fills it would end
-    in one task. Here the right rows of a hot key are dealt over buckets and the left rows of
-    that key are copied to each bucket; other keys take the plain left join. A hot key occurs
-    on the right by definition, so none of its left rows can go unmatched.
+    In a left outer join Spark cannot split the right side, so a key that fills it would end in
+    one task. With ``salts`` above one the right rows of every key are dealt over so many buckets,
+    and the left rows are copied to each. Rows are dealt by a hash of all their columns, so a task
+    that runs again deals them as before; rows equal in every column are counted first and unfolded
+    after the join, so copies cannot fill a bucket. A left row that meets nothing stays once.
     """
     keys = as_names(key)
     many = many.dropna(subset=keys)  # a null key never matches
-    hot = find_hot_groups(many, keys, limits)
-    if hot is None:
+    if salts <= 1:
         return left.join(many, keys, "left")
-    cold = without_groups(left, keys, hot).join(without_groups(many, keys, hot), keys, "left")
-    salts = limits.salts
-    dealt = only_groups(many, keys, hot).withColumn(
-        "__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts))
+    others = [c for c in many.columns if c not in keys]
+    dealt = (
+        many.groupBy(*many.columns)
+        .agg(F.count(F.lit(1)).alias("__copies"))
+        .withColumn("__salt", F.pmod(F.xxhash64(*many.columns), F.lit(salts)).cast("int"))
     )
-    copied = only_groups(left, keys, hot).withColumn(
-        "__salt", F.explode(F.array(*[F.lit(i).cast("long") for i in range(salts)]))
+    first = dealt.groupBy(*keys).agg(F.min("__salt").alias("__first"))
+    # A key on the right needs its left rows in all buckets; any other key in one.
+    copied = left.join(first, keys, "left").withColumn(
+        "__salt",
+        F.explode(F.sequence(F.lit(0), F.when(F.col("__first").isNull(), F.lit(0)).otherwise(F.lit(salts - 1)))),
     )
-    return cold.unionByName(copied.join(dealt, [*keys, "__salt"]).drop("__salt"))
+    joined = copied.join(dealt, [*keys, "__salt"], "left")
+    met = joined.where(F.col("__copies").isNotNull() | F.col("__first").isNull())
+    copies = F.sequence(F.lit(1).cast("long"), F.coalesce("__copies", F.lit(1)))
+    return met.withColumn("__copy", F.explode(copies)).select(*left.columns, *others)

@@ -15,7 +15,12 @@ from lapsewise.operators.activity import (
 from lapsewise.operators.features import merge_dataframes, prepare_data
 from lapsewise.sources.catalog import Catalog
 
-__all__ = ["generate_all_churn_labels", "generate_churn_label", "generate_dataset"]
+__all__ = [
+    "generate_all_churn_labels",
+    "generate_all_datasets",
+    "generate_churn_label",
+    "generate_dataset",
+]
 
 
 def generate_churn_label(
@@ -52,3 +57,29 @@ def generate_dataset(
     inputs = catalog.feature_inputs(month, include_loans)
     features = prepare_data(*inputs, as_of=as_of, exact=exact)
     return merge_dataframes(features, churn_label_df, include_loans, unique_users)
+
+
+def generate_all_datasets(
+    catalog: Catalog,
+    as_of: dt.date | str | None = None,
+    threshold_days: int = CHURN_AFTER_DAYS,
+    include_loans: bool = False,
+    exact: bool = True,
+) -> DataFrame:
+    """The training tables of every month but the last in one job, told apart by ``period``.
+
+    The same rows as month by month: every table is read once, and months are part of the key.
+    """
+    key = ["bib_id", "period"]
+    features = prepare_data(
+        catalog.read("loan_assign") if include_loans else None,
+        catalog.read("loan_recovery") if include_loans else None,
+        catalog.read("package"),
+        catalog.read("recharge"),
+        catalog.read("user"),
+        as_of=as_of,
+        key=key,
+        exact=exact,
+    )
+    label = generate_all_churn_labels(catalog, threshold_days)
+    return merge_dataframes(features, label, include_loans, key=key)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 from typing import NamedTuple
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,11 +90,19 @@ class Catalog:
             raise ValueError(f"no month follows {month!r}")
         return self.months[following]
 
-    def _stored(self, key: str, month: str) -> DataFrame:
-        # Explicit layout: no footer is read to find it, a folder without rows is an empty
-        # table, and a month like "01" stays text.
+    def _stored(self, key: str, months: Sequence[str]) -> DataFrame:
+        """One scan of the folders of some months; which month a row is of is read off its file's
+        path, as text, as ``month``."""
+        # Explicit layout: no footer is read to find it, and a folder without rows is an empty
+        # table.
         layout = StructType(list(schema_for(key).fields)).add(CORRUPT_TEXT, StringType())
-        return self.spark.read.schema(layout).parquet(self.parquet_path(key, month))
+        folders = {m: self.parquet_path(key, m) for m in months}
+        rows = self.spark.read.schema(layout).parquet(*folders.values())
+        month = F.lit(None).cast("string")
+        for m, folder in folders.items():
+            place = quote(folder.rstrip("/"), safe="/:=") + "/"
+            month = F.when(F.col("_metadata.file_path").contains(place), m).otherwise(month)
+        return rows.withColumn("month", month)
 
     def read(self, key: str, months: str | Sequence[str] | None = None) -> DataFrame:
         """Good rows of a table. With one month as text: the table's own columns. With a list
@@ -107,24 +115,18 @@ class Catalog:
         good = F.col(CORRUPT_TEXT).isNull()
         if isinstance(months, str):
             self.period(months)
-            return self._stored(key, months).where(good).select(*names)
-        parts = [
-            self._stored(key, m)
-            .where(good)
-            .select(*names, F.lit(m).alias("month"), F.lit(self.period(m)).alias("period"))
-            for m in (self.months if months is None else months)
-        ]
-        return reduce(DataFrame.unionByName, parts)
+            return self._stored(key, [months]).where(good).select(*names)
+        wanted = list(self.months if months is None else months)
+        period = F.lit(None).cast("int")
+        for m in wanted:
+            period = F.when(F.col("month") == m, self.period(m)).otherwise(period)
+        rows = self._stored(key, wanted).where(good)
+        return rows.select(*names, "month", period.alias("period"))
 
     def quarantine(self, key: str, months: Sequence[str] | None = None) -> DataFrame:
         """Rows that did not fit the layout: ``month`` and the line as it was read."""
-        parts = [
-            self._stored(key, m)
-            .where(F.col(CORRUPT_TEXT).isNotNull())
-            .select(F.lit(m).alias("month"), CORRUPT_TEXT)
-            for m in (self.months if months is None else months)
-        ]
-        return reduce(DataFrame.unionByName, parts)
+        rows = self._stored(key, list(self.months if months is None else months))
+        return rows.where(F.col(CORRUPT_TEXT).isNotNull()).select("month", CORRUPT_TEXT)
 
     def feature_inputs(self, month: str, include_loans: bool = False) -> FeatureInputs:
         """The inputs of one month's features."""

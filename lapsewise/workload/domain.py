@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 AS_OF = "2024-02-01"
 FIRST_DAY = "2024-01-01"
 PERIOD_DAYS = 10
-THRESHOLD_DAYS = 2
+THRESHOLD_DAYS = 1
 
 
 class Domain:
@@ -33,16 +33,12 @@ class Domain:
         return self.table("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
     def loan_assign(self) -> DataFrame:
-        return (
-            self.table("orders")
-            .where(F.col("o_orderstatus") == "F")
-            .select(
-                F.col("o_custkey").alias("bib_id"),
-                (F.col("o_custkey") % 100).alias("nid_hash"),
-                F.col("o_orderkey").alias("loan_id"),
-                F.col("o_totalprice").alias("loan_amount"),
-                F.col("o_orderdate").alias("date_timestamp"),
-            )
+        return self.table("orders").select(
+            F.col("o_custkey").alias("bib_id"),
+            (F.col("o_custkey") % 100).alias("nid_hash"),
+            F.col("o_orderkey").alias("loan_id"),
+            F.col("o_totalprice").alias("loan_amount"),
+            F.col("o_orderdate").alias("date_timestamp"),
         )
 
     def loan_recovery(self) -> DataFrame:
@@ -64,23 +60,39 @@ class Domain:
         )
 
     def package(self) -> DataFrame:
-        parts = self.table("part")
-        return (
-            self._lines_with_orders()
-            .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-            .select(
-                F.col("o_custkey").alias("bib_id"),
-                F.col("p_brand").alias("offering_code"),
-                F.col("p_type").alias("offering_name"),
-                F.col("l_extendedprice").alias("offer_amount"),
-                F.col("o_orderdate").alias("activation_date"),
-                F.col("l_shipdate").alias("deactivation_date"),
-            )
+        """Packages without the names of what was offered: no join with part."""
+        return self._lines_with_orders().select(
+            F.col("o_custkey").alias("bib_id"),
+            F.col("l_partkey").alias("offering_id"),
+            F.col("l_extendedprice").alias("offer_amount"),
+            F.col("o_orderdate").alias("activation_date"),
+            F.col("l_shipdate").alias("deactivation_date"),
+        )
+
+    def _offerings(self) -> DataFrame:
+        return self.table("part").select(
+            F.col("p_partkey").alias("offering_id"),
+            F.col("p_brand").alias("offering_code"),
+            F.col("p_type").alias("offering_name"),
+        )
+
+    def named_package(self) -> DataFrame:
+        return self.package().join(self._offerings(), "offering_id")
+
+    def packages_by_offering(self) -> DataFrame:
+        """Number of packages (``packages``) of each offering: line items are counted before they
+        meet the names, and their orders add nothing."""
+        counted = (
+            self.table("lineitem")
+            .groupBy(F.col("l_partkey").alias("offering_id"))
+            .agg(F.count(F.lit(1)).alias("packages"))
         )
+        return counted.join(self._offerings(), "offering_id")
 
     def recharge(self) -> DataFrame:
-        return self._event_stream("purchase").select(
+        return self._event_stream(signups=False).select(
             F.col("user_id").alias("bib_id"),
+            F.col("event_type").alias("origin_host_nm"),
             F.col("value").alias("recharge_value_amt"),
             F.col("ts").alias("recharge_dt"),
         )
@@ -108,24 +120,25 @@ class Domain:
             )
         )
 
-    def _event_stream(self, event_type: str) -> DataFrame:
+    def _event_stream(self, signups: bool) -> DataFrame:
+        """Sign-ups, or all other events."""
         period = F.floor(F.datediff("ts", F.lit(FIRST_DAY).cast("date")) / PERIOD_DAYS)
         return (
             self.table("events")
-            .where(F.col("event_type") == event_type)
+            .where((F.col("event_type") == "signup") == F.lit(signups))
             .withColumn("period", period.cast("int"))
         )
 
     def signups(self, period: int | None = None) -> DataFrame:
         """Activity in the role of packages."""
-        rows = self._event_stream("signup").select(
+        rows = self._event_stream(signups=True).select(
             F.col("user_id").alias("bib_id"), "period", F.col("ts").alias("activation_date")
         )
         return rows if period is None else rows.where(F.col("period") == period)
 
     def purchases(self, period: int | None = None) -> DataFrame:
         """Activity in the role of recharges."""
-        rows = self._event_stream("purchase").select(
+        rows = self._event_stream(signups=False).select(
             F.col("user_id").alias("bib_id"), "period", F.col("ts").alias("recharge_dt")
         )
         return rows if period is None else rows.where(F.col("period") == period)
@@ -135,7 +148,7 @@ SQL_VIEWS = {
     "loan_assign": """
         SELECT o_custkey AS bib_id, o_custkey % 100 AS nid_hash, o_orderkey AS loan_id,
                o_totalprice AS loan_amount, o_orderdate AS date_timestamp
-        FROM orders WHERE o_orderstatus = 'F'""",
+        FROM orders""",
     "loan_recovery": """
         SELECT o_custkey AS bib_id, l_orderkey AS loan_id, l_extendedprice AS loan_amount,
                l_extendedprice * (1 - l_discount) AS hsdp_recovery,
@@ -149,7 +162,7 @@ SQL_VIEWS = {
                       JOIN part ON l_partkey = p_partkey""",
     "recharge": """
         SELECT user_id AS bib_id, value AS recharge_value_amt, ts AS recharge_dt
-        FROM events WHERE event_type = 'purchase'""",
+        FROM events WHERE event_type <> 'signup'""",
     "subscriber": """
         SELECT c_custkey AS bib_id, CAST(c_nationkey AS VARCHAR) AS contract_type_v,
                c_mktsegment AS gender_v,
@@ -163,7 +176,7 @@ SQL_VIEWS = {
     "activity": f"""
         SELECT user_id AS bib_id, event_type, ts,
                date_diff('day', DATE '{FIRST_DAY}', CAST(ts AS DATE)) // {PERIOD_DAYS} AS period
-        FROM events WHERE event_type IN ('signup', 'purchase')""",
+        FROM events""",
 }
 
 

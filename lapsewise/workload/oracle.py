@@ -38,7 +38,7 @@ def _activity(pick: str) -> str:
         "activity",
         f""",
         p AS (SELECT bib_id, {pick}(ts) AS t FROM activity WHERE event_type = 'signup' GROUP BY 1),
-        r AS (SELECT bib_id, {pick}(ts) AS t FROM activity WHERE event_type = 'purchase'
+        r AS (SELECT bib_id, {pick}(ts) AS t FROM activity WHERE event_type <> 'signup'
               GROUP BY 1)
         SELECT bib_id, strftime({across}(p.t, r.t), {_TS}) AS {pick}_date
         FROM p FULL JOIN r USING (bib_id)""",
@@ -94,6 +94,7 @@ def _case(value: str, edges: list, labels: list[str]) -> str:
     return f"CASE{branches} ELSE CAST({value} AS VARCHAR) END"
 
 
+# Edges and labels of the three presets.
 _LOW, _HIGH = "'-infinity'::DOUBLE", "'infinity'::DOUBLE"
 _LOAN_CASE = _case(
     "loan_amount",
@@ -153,7 +154,8 @@ def _recovery_ratio(assigned: str) -> str:
 
 def _histogram(source: str, bins: str, hue: str | None = None) -> str:
     """``source`` gives v (and hue); ``bins`` computes k from n, lo, hi, q1, q3."""
-    group = f"{hue}, " if hue else ""
+    group, same = (f"{hue}, ", f" AND s.{hue} = grid.{hue}") if hue else ("", "")
+    hues = f"(SELECT DISTINCT {hue} FROM s), " if hue else ""
     return f"""
     s AS ({source}),
     f AS (SELECT count(*)::DOUBLE AS n, min(v) AS lo, max(v) AS hi,
@@ -162,11 +164,12 @@ def _histogram(source: str, bins: str, hue: str | None = None) -> str:
     edges AS (SELECT i AS bin, lo + i * ((hi - lo) / k) AS bin_start,
                      CASE WHEN i = k - 1 THEN hi ELSE lo + (i + 1) * ((hi - lo) / k) END AS bin_end,
                      i = k - 1 AS last
-              FROM e, LATERAL (SELECT unnest(range(k)) AS i))
-    SELECT {group}bin, round(bin_start, 4) AS bin_start, round(bin_end, 4) AS bin_end,
-           count(*) AS count
-    FROM s JOIN edges ON v >= bin_start AND (v < bin_end OR (last AND v = bin_end))
-    GROUP BY {group}bin, edges.bin_start, edges.bin_end"""
+              FROM e, LATERAL (SELECT unnest(range(k)) AS i)),
+    grid AS (SELECT * FROM {hues}edges)
+    SELECT {f"grid.{hue}, " if hue else ""}bin, round(bin_start, 4) AS bin_start, round(bin_end, 4) AS bin_end,
+           count(v) AS count
+    FROM grid LEFT JOIN s ON v >= bin_start AND (v < bin_end OR (last AND v = bin_end)){same}
+    GROUP BY {f"grid.{hue}, " if hue else ""}bin, bin_start, bin_end"""
 
 
 _AUTO = """ceil((hi - lo) / CASE WHEN q3 > q1
@@ -212,24 +215,63 @@ def _density(group: str | None, points: int, cut: int, total: str, quartiles: bo
     GROUP BY {lead}grid"""
 
 
-_STORED_TRAINING = with_views(
-    "activity subscriber",
-    f""",{_FIRST_LABEL},
+_STORED_PARTS = f""",
     ev AS (SELECT user_id AS bib_id, event_type, value, ts,
                   date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 10 AS period
            FROM events),
-    pk AS (SELECT bib_id, {_mean_median("value", "PackageAmount")},
+    pk AS (SELECT bib_id, period, {_mean_median("value", "PackageAmount")},
                   {_mean_median("CAST(floor(value) AS BIGINT)", "PackageDuration")},
                   count(*) AS CountPackage
-           FROM ev WHERE event_type = 'signup' AND period = 0 GROUP BY 1),
-    rc AS (SELECT bib_id, {_mean_median("value", "RechargeAmount")}, count(*) AS CountRecharge
-           FROM ev WHERE event_type = 'purchase' AND period = 0 GROUP BY 1),
-    us AS (SELECT {_USER_COLUMNS} FROM subscriber)
+           FROM ev WHERE event_type = 'signup' GROUP BY ALL),
+    rc AS (SELECT bib_id, period, {_mean_median("value", "RechargeAmount")}, count(*) AS CountRecharge
+           FROM ev WHERE event_type <> 'signup' GROUP BY ALL),
+    us AS (SELECT {_USER_COLUMNS} FROM subscriber)"""
+
+
+def _stored_training(include_loans: bool) -> str:
+    loans = f""",
+    la AS (SELECT bib_id, {_mean_median("loan_amount", "AssignLoanAmount")}
+           FROM loan_assign WHERE year(date_timestamp) % 3 = 0 GROUP BY 1),
+    lr AS (SELECT bib_id, {_mean_median("loan_amount", "RecoveryLoanAmount")}
+           FROM loan_recovery WHERE loan_id IN (SELECT o_orderkey FROM orders WHERE year(o_orderdate) % 3 = 0)
+           GROUP BY 1)"""
+    joins = "LEFT JOIN la USING (bib_id) LEFT JOIN lr USING (bib_id)"
+    return with_views(
+        "activity subscriber loan_assign loan_recovery",
+        f""",{_FIRST_LABEL}{_STORED_PARTS}{loans if include_loans else ""}
     SELECT * REPLACE (CAST(bib_id AS VARCHAR) AS bib_id)
-    FROM label LEFT JOIN pk USING (bib_id) LEFT JOIN rc USING (bib_id)
+    FROM label {joins if include_loans else ""}
+               LEFT JOIN (SELECT * EXCLUDE period FROM pk WHERE period = 0) USING (bib_id)
+               LEFT JOIN (SELECT * EXCLUDE period FROM rc WHERE period = 0) USING (bib_id)
                LEFT JOIN us USING (bib_id)""",
+    )
+
+
+_STORED_ALL = with_views(
+    "activity subscriber",
+    f""", lab AS ({_ALL_LABELS}){_STORED_PARTS}
+    SELECT * REPLACE (CAST(bib_id AS VARCHAR) AS bib_id)
+    FROM lab LEFT JOIN pk USING (bib_id, period) LEFT JOIN rc USING (bib_id, period)
+             LEFT JOIN us USING (bib_id)""",
 )
 
+_MONTH = "CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 10 AS VARCHAR)"
+_INGESTED = f"""
+    SELECT 'package' AS table_key, {_MONTH} AS month, count(*) AS rows, round(sum(value), 2) AS amount
+    FROM events WHERE event_type = 'signup' GROUP BY 2
+    UNION ALL
+    SELECT 'recharge', {_MONTH}, count(*), round(sum(value), 2)
+    FROM events WHERE event_type <> 'signup' GROUP BY 2
+    UNION ALL
+    SELECT 'user', CAST(m AS VARCHAR), count(*), round(sum(c_acctbal), 2)
+    FROM customer, range(3) t(m) GROUP BY 2
+    UNION ALL
+    SELECT k, CAST(year(o_orderdate) % 3 AS VARCHAR), count(*), round(sum(o_totalprice), 2)
+    FROM orders, (VALUES ('loan_assign'), ('loan_fee')) v(k) GROUP BY 1, 2
+    UNION ALL
+    SELECT 'loan_recovery', CAST(year(o_orderdate) % 3 AS VARCHAR), count(*), round(sum(l_extendedprice), 2)
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 2"""
+
 ORACLE_SQL: dict[str, str] = {
     "loan_assign_features": with_views(
         "loan_assign",
@@ -320,6 +362,13 @@ ORACLE_SQL: dict[str, str] = {
     "dist_hist": "WITH " + _histogram("SELECT value AS v FROM events", _AUTO),
     "dist_hist_hue": "WITH "
     + _histogram("SELECT event_type, value AS v FROM events", "20", "event_type"),
+    "dist_hist_time": "WITH " + _histogram("SELECT epoch(ts) AS v FROM events", "24"),
+    "dist_hist_category": """
+        SELECT event_type, props, count(e.event_id) AS count
+        FROM (SELECT * FROM (SELECT DISTINCT event_type FROM events),
+                            (SELECT DISTINCT props FROM events WHERE props IS NOT NULL)) g
+             LEFT JOIN events e USING (event_type, props)
+        GROUP BY 1, 2""",
     "dist_hist_person": with_views(
         "loan_assign",
         ","
@@ -357,5 +406,8 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "stored_churn_label_all_periods": "SELECT * REPLACE (CAST(bib_id AS VARCHAR) AS bib_id) "
     f"FROM ({_ALL_LABELS})",
-    "stored_training_table": _STORED_TRAINING,
+    "stored_training_table": _stored_training(include_loans=False),
+    "stored_training_table_with_loans": _stored_training(include_loans=True),
+    "stored_training_table_all_periods": _STORED_ALL,
+    "ingest_all_tables": _INGESTED,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql.types import (
 from lapsewise import operators as ops
 from lapsewise import plans
 from lapsewise.functions import ensure_timestamp
+from lapsewise.sources.schemas import SCHEMAS
 from lapsewise.workload import stored
 from lapsewise.workload.domain import AS_OF, THRESHOLD_DAYS, Domain
 
@@ -130,7 +132,7 @@ def bin_recharge(d: Domain) -> DataFrame:
 
 
 def bin_duration(d: Domain) -> DataFrame:
-    return ops.categorize_time_difference(d.package()).select(
+    return ops.categorize_time_difference(d.named_package()).select(
         "bib_id", "offering_name", "time_difference_days", "duration_category"
     )
 
@@ -155,11 +157,11 @@ def time_profile_loans(d: Domain) -> DataFrame:
 
 
 def count_by_offering(d: Domain) -> DataFrame:
-    return ops.count_by(d.package(), "offering_code")
+    return ops.count_by(d.packages_by_offering(), "offering_code", weight="packages")
 
 
 def top_offerings(d: Domain) -> DataFrame:
-    return ops.top_k(d.package(), "offering_name", 25)
+    return ops.top_k(d.packages_by_offering(), "offering_name", 25, weight="packages")
 
 
 def top_duration_categories(d: Domain) -> DataFrame:
@@ -208,12 +210,20 @@ def dist_hist_hue(d: Domain) -> DataFrame:
     return ops.distribution(d.table("events"), "hist", "value", hue="event_type", bins=20)
 
 
+def dist_hist_time(d: Domain) -> DataFrame:
+    return ops.distribution(d.table("events"), "hist", "ts", bins=24)
+
+
+def dist_hist_category(d: Domain) -> DataFrame:
+    return ops.distribution(d.table("events"), "hist", "props", hue="event_type")
+
+
 def dist_hist_person(d: Domain) -> DataFrame:
     return ops.distribution(_sums_by_person(d), "hist", "SumAggregated_loan_amount_by_nid")
 
 
 def dist_line(d: Domain) -> DataFrame:
-    by_day = d.package().withColumn("day", F.dayofmonth("activation_date"))
+    by_day = d.named_package().withColumn("day", F.dayofmonth("activation_date"))
     means = ops.distribution(by_day, "line", "day", y="offer_amount", hue="offering_name")
     return means.withColumnRenamed("offer_amount", "AverageOfferAmount")
 
@@ -255,17 +265,46 @@ def ingest_quarantine(d: Domain) -> DataFrame:
 
 
 def stored_churn_label(d: Domain) -> DataFrame:
-    return plans.generate_churn_label(stored.extracts(d), "0", "1", THRESHOLD_DAYS)
+    catalog = stored.extracts(d, {"package": ["0", "1"], "recharge": ["0", "1"]})
+    return plans.generate_churn_label(catalog, "0", "1", THRESHOLD_DAYS)
 
 
 def stored_churn_label_all_periods(d: Domain) -> DataFrame:
-    return plans.generate_all_churn_labels(stored.extracts(d), THRESHOLD_DAYS)
+    months = stored.MONTHS
+    catalog = stored.extracts(d, {"package": months, "recharge": months})
+    return plans.generate_all_churn_labels(catalog, THRESHOLD_DAYS)
 
 
-def stored_training_table(d: Domain) -> DataFrame:
-    catalog = stored.extracts(d)
+def _stored_training(d: Domain, include_loans: bool) -> DataFrame:
+    loans = {"loan_assign": ["0"], "loan_recovery": ["0"]} if include_loans else {}
+    catalog = stored.extracts(d, {"package": ["0", "1"], "recharge": ["0", "1"], "user": ["0"], **loans})
     label = plans.generate_churn_label(catalog, "0", "1", THRESHOLD_DAYS)
-    return plans.generate_dataset(catalog, "0", label, as_of=AS_OF)
+    return plans.generate_dataset(catalog, "0", label, AS_OF, include_loans)
+
+
+def stored_training_table(d: Domain) -> DataFrame:
+    return _stored_training(d, include_loans=False)
+
+
+def stored_training_table_with_loans(d: Domain) -> DataFrame:
+    return _stored_training(d, include_loans=True)
+
+
+def stored_training_table_all_periods(d: Domain) -> DataFrame:
+    months = stored.MONTHS
+    catalog = stored.extracts(d, {"package": months, "recharge": months, "user": months})
+    return plans.generate_all_datasets(catalog, AS_OF, THRESHOLD_DAYS)
+
+
+def ingest_all_tables(d: Domain) -> DataFrame:
+    """Good rows of every stored table and month, and the sum of their first amount."""
+    catalog = stored.extracts(d, {key: stored.MONTHS for key in SCHEMAS})
+    parts = []
+    for key, layout in SCHEMAS.items():
+        amount = next(f.name for f in layout.fields if isinstance(f.dataType, DoubleType))
+        sums = catalog.read(key, stored.MONTHS).groupBy("month").agg(F.count(F.lit(1)).alias("rows"), F.sum(amount).alias("amount"))
+        parts.append(sums.select(F.lit(key).alias("table_key"), "month", "rows", "amount"))
+    return reduce(DataFrame.unionAll, parts)
 
 
 # Digits kept where four are too few, or too many for the size of the sums.
@@ -281,6 +320,9 @@ _DIGITS = {
     "training_table": 6,
     "training_table_with_loans": 6,
     "stored_training_table": 6,
+    "stored_training_table_with_loans": 6,
+    "stored_training_table_all_periods": 6,
+    "ingest_all_tables": 2,
     "dist_line": 6,
     "dist_kde": 8,
     "dist_kde_hue": 8,
@@ -317,6 +359,8 @@ _BUILDERS = [
     dist_count_recharge,
     dist_hist,
     dist_hist_hue,
+    dist_hist_time,
+    dist_hist_category,
     dist_hist_person,
     dist_line,
     dist_box,
@@ -329,6 +373,9 @@ _BUILDERS = [
     stored_churn_label,
     stored_churn_label_all_periods,
     stored_training_table,
+    stored_training_table_with_loans,
+    stored_training_table_all_periods,
+    ingest_all_tables,
 ]
 
 

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,13 +16,13 @@ MONTHS = ["0", "1", "2"]
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder every executor can reach: below the cluster's shared one if it names
-    one, else (a single machine) a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="lapsewise-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return f"{folder}/extracts-{uuid.uuid4().hex}"
+    """A new folder that every executor reaches, below the one the cluster shares, else below the
+    warehouse; what is in it goes when the session's JVM ends."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{shared.rstrip('/')}/extracts-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def _catalog(spark: SparkSession, keys: list[str]) -> Catalog:
@@ -73,9 +71,9 @@ def recharges(d: Domain, spoil: Column | None = None) -> Catalog:
     return catalog
 
 
-def extracts(d: Domain) -> Catalog:
-    """Sign-ups as packages, purchases as recharges, and every customer in each month."""
-    catalog = _catalog(d.spark, ["package", "recharge", "user"])
+def _tables(d: Domain) -> dict[str, DataFrame]:
+    """Sign-ups as packages, other events as recharges, every customer in each month, and loans by
+    the year of their order."""
     events = _event_rows(d)
     signups = events.where(F.col("event_type") == "signup").withColumns(
         {
@@ -87,11 +85,32 @@ def extracts(d: Domain) -> Catalog:
             ),
         }
     )
-    purchases = events.where(F.col("event_type") == "purchase").withColumns(
-        {"recharge_value_amt": F.col("value"), "recharge_dt": F.col("at")}
+    others = events.where(F.col("event_type") != "signup").withColumns(
+        {
+            "recharge_value_amt": F.col("value"),
+            "recharge_dt": F.col("at"),
+            "origin_host_nm": F.col("event_type"),
+        }
     )
-    users = d.user().withColumn("month", F.explode(F.array(*[F.lit(m) for m in MONTHS])))
-    for key, rows in (("package", signups), ("recharge", purchases), ("user", users)):
-        _write_extracts(catalog, key, rows)
-    ingest(catalog)
+    ordered = F.year("o_orderdate") % len(MONTHS)
+    orders = d.table("orders").select("o_orderkey", ordered.alias("month"))
+    assigned = d.loan_assign().withColumn("month", F.year("date_timestamp") % len(MONTHS))
+    paid = d.loan_recovery().join(orders, F.col("loan_id") == F.col("o_orderkey"))
+    return {
+        "loan_assign": assigned,
+        "loan_fee": assigned.withColumn("hsdp_fee", F.col("loan_amount") / 10),
+        "loan_recovery": paid,
+        "package": signups,
+        "recharge": others,
+        "user": d.user().withColumn("month", F.explode(F.array(*[F.lit(m) for m in MONTHS]))),
+    }
+
+
+def extracts(d: Domain, wanted: Mapping[str, Sequence[str]]) -> Catalog:
+    """The wanted months of the wanted tables, written and taken in."""
+    catalog, tables = _catalog(d.spark, list(wanted)), _tables(d)
+    for key, months in wanted.items():
+        rows = tables[key]
+        _write_extracts(catalog, key, rows.where(F.col("month").cast("string").isin(*months)))
+        ingest(catalog, [key], months)
     return catalog

@@ -108,13 +108,26 @@ def test_histogram_equals_numpy(spark):
     for bins in ("auto", 7, [0, 10, 50, 300]):
         counts, edges = np.histogram(values, bins=bins)
         rows = {r["bin"]: r for r in ops.histogram(events, "value", bins=bins).collect()}
-        assert {b: r["count"] for b, r in rows.items()} == {
-            i: c for i, c in enumerate(counts) if c
-        }
+        assert {b: r["count"] for b, r in rows.items()} == dict(enumerate(counts))
         for i, row in rows.items():
             assert np.allclose([row["bin_start"], row["bin_end"]], edges[i : i + 2], rtol=1e-12)
 
 
+def test_histogram_of_times_and_categories(spark):
+    df = spark.sql(
+        "SELECT g, timestamp_seconds(v) AS t, CAST(timestamp_seconds(v) AS timestamp_ntz) AS w, date_from_unix_date(v) AS d "
+        "FROM VALUES ('a', 0), ('a', 5), ('b', 10) AS x(g, v)"
+    )
+    want = [(0, 0.0, 5.0, 1), (1, 5.0, 10.0, 2)]
+    for name in ("t", "w"):
+        assert [tuple(r) for r in ops.histogram(df, name, bins=2).orderBy("bin").collect()] == want
+    days = [tuple(r) for r in ops.histogram(df, "d", bins=2).orderBy("bin").collect()]
+    assert days == [(b, 86400 * lo, 86400 * hi, n) for b, lo, hi, n in want]
+    assert sorted(map(tuple, ops.histogram(df, "g").collect())) == [("a", 2), ("b", 1)]
+    by = ops.histogram(df.withColumn("h", (F.col("g") == "a").cast("string")), "g", hue="h")
+    assert sorted(map(tuple, by.collect())) == [("false", "a", 0), ("false", "b", 1), ("true", "a", 2), ("true", "b", 0)]
+
+
 def _gauss(values, grid):
     bw = len(values) ** -0.2 * np.std(values, ddof=1)
     z = (grid[:, None] - values[None, :]) / bw

@@ -1,4 +1,4 @@
-"""The long way for hot groups gives what the short way gives, row for row."""
+"""Percentiles and joins of hot groups give what Spark's own buffers and joins give."""
 
 import math
 import random
@@ -8,14 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lapsewise import operators as ops
-from lapsewise.operators import skew
-from lapsewise.operators.skew import Limits
 from lapsewise.workload.domain import Domain
 
-EVERY_GROUP_HOT = Limits(min_rows=0, max_groups=10**9)
-SOME_HOT = Limits(min_rows=40, max_groups=10**9)
-
-
 def _values(rng, n):
     kinds = [
         lambda: rng.gauss(0, 1),
@@ -43,17 +37,15 @@ def _grouped(rng, keys=8):
 
 
 @pytest.mark.parametrize("seed", range(2))
-@pytest.mark.parametrize("limits", [EVERY_GROUP_HOT, SOME_HOT])
-def test_percentiles_of_hot_groups(spark, seed, limits):
+def test_percentiles_equal_one_buffer(spark, seed):
     df = spark.createDataFrame(_grouped(random.Random(seed)), "k string, v double").cache()
-    plain = {"n": F.count(F.lit(1)), "mean": F.mean("v")}
     points = {"v": {"q0": 0.0, "q1": 0.25, "m": 0.5, "p90": 0.9, "q4": 1.0}}
-    hot = skew.find_hot_groups(df, "k", limits)
-    assert hot is not None
-    long_way = ops.summarise(df, "k", plain, points, hot)
-    short_way = ops.summarise(df, "k", plain, points, None)
-    got = {r["k"]: r for r in long_way.collect()}
-    want = {r["k"]: r for r in short_way.collect()}
+    short, long = (
+        ops.summarise(df, "k", points, {"v": "mean"}, "n", buffered=b) for b in (True, False)
+    )
+    assert short.columns == long.columns
+    got = {r["k"]: r for r in long.collect()}
+    want = {r["k"]: r for r in short.collect()}
     assert got.keys() == want.keys() and len(want) == 9
     for key, row in want.items():
         for name in ("n", "q0", "q1", "m", "p90", "q4"):
@@ -64,6 +56,19 @@ def test_percentiles_of_hot_groups(spark, seed, limits):
             assert math.isclose(got[key]["mean"], row["mean"], rel_tol=1e-9, abs_tol=1e-9)
 
 
+def test_one_key_with_half_of_the_rows(spark):
+    """No task gets the hot key: what is shuffled is keyed on the value too."""
+    events = spark.read.parquet("/root/testdata/sf0.1/events.parquet")
+    half = F.when(F.col("event_id") % 2 == 0, 0).otherwise(F.col("user_id")).alias("k")
+    df = events.select(half, "value")
+    points = {"value": {"q1": 0.25, "m": 0.5}}
+    got, want = (
+        {r["k"]: (r["n"], r["q1"], r["m"]) for r in ops.summarise(df, "k", points, None, "n", buffered=b).collect()}
+        for b in (False, True)
+    )
+    assert got == want and got[0][0] >= 50_000
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_percentiles_of_a_whole_column(spark, seed):
     rng = random.Random(seed)
@@ -71,8 +76,8 @@ def test_percentiles_of_a_whole_column(spark, seed):
     values += [0.0] * 11 + [7.25] * 40
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
     probs = {"a": 0.0, "b": 0.1, "c": 0.25, "d": 0.5, "e": 0.75, "f": 1.0}
-    row = ops.overall_percentiles(df, "v", probs, "n", EVERY_GROUP_HOT).first()
-    short = ops.overall_percentiles(df, "v", probs, "n").first()
+    row = ops.overall_percentiles(df, "v", probs, "n").first()
+    short = ops.overall_percentiles(df, "v", probs, "n", buffered=True).first()
     assert row == short
     assert row["n"] == len(values)
     for name, p in probs.items():
@@ -85,8 +90,7 @@ def test_special_values_keep_their_order(spark):
     df = spark.createDataFrame([("a", v) for v in values], "k string, v double")
     # An even number of values: the interpolated places are avoided, ranks read exactly.
     points = {"v": {f"r{i}": i / 9 for i in (0, 1, 2, 7, 8, 9)}}
-    hot = skew.find_hot_groups(df, "k", EVERY_GROUP_HOT)
-    row = ops.summarise(df, "k", {}, points, hot).first()
+    row = ops.summarise(df, "k", points).first()
     assert row["r0"] == -inf and row["r1"] == -1.7e308 and row["r2"] == -5e-324
     assert row["r7"] == 1.7e308 and row["r8"] == inf and math.isnan(row["r9"])
 
@@ -94,106 +98,41 @@ def test_special_values_keep_their_order(spark):
 def test_no_percentiles_of_nothing(spark):
     empty = spark.createDataFrame([], "v double")
     assert ops.overall_percentiles(empty, "v", {"m": 0.5}).collect() == []
-    assert ops.overall_percentiles(empty, "v", {"m": 0.5}, limits=EVERY_GROUP_HOT).collect() == []
-
-
-def test_hot_groups_are_bounded_and_found(spark):
-    rows = [("big",)] * 500 + [(None,)] * 300 + [(f"k{i}",) for i in range(200)]
-    df = spark.createDataFrame(rows, "k string")
-    found = skew.find_hot_groups(df, "k", Limits(min_rows=100, max_groups=10**9))
-    assert {r[0] for r in found.collect()} == {"big", None}
-    # Only a group above one half of the rows may be hot if at most two may be.
-    assert skew.find_hot_groups(df, "k", Limits(min_rows=100, max_groups=2)) is None
-    assert skew.find_hot_groups(df, "k", Limits(min_rows=500)) is None
-    assert skew.find_hot_groups(df, "k", None) is None
-    assert skew.find_hot_groups(df.limit(0), "k") is None
-
-
-def test_features_of_hot_subscribers(spark):
-    rng = random.Random(5)
-    rows = [
-        (
-            rng.choice(["a", "a", "b", f"c{rng.randint(0, 9)}", None]),
-            rng.choice([None, round(rng.uniform(0, 50), 2)]),
-            f"202401{rng.randint(1, 28):02d} 10:00:00",
-            rng.choice(["junk", f"202402{rng.randint(1, 28):02d} 09:00:00"]),
-        )
-        for _ in range(600)
-    ]
-    df = spark.createDataFrame(
-        rows, "bib_id string, offer_amount double, activation_date string, deactivation_date string"
-    )
-    short = ops.prepare_package_df(df, limits=None)
-    long = ops.prepare_package_df(df, limits=Limits(min_rows=50, max_groups=10**9))
-    assert short.columns == long.columns
-
-    def key(r):
-        return (r["bib_id"] is not None, r["bib_id"])
-
-    for a, b in zip(sorted(short.collect(), key=key), sorted(long.collect(), key=key)):
-        assert all(
-            x == y or math.isclose(x, y, rel_tol=1e-12) for x, y in zip(a, b)
-        ), (a, b)
+    assert ops.overall_percentiles(empty, "v", {"m": 0.5}, buffered=True).collect() == []
 
 
-def test_left_join_many_deals_out_a_hot_key(spark):
+def test_left_join_many_equals_a_left_join(spark):
     left = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4)], "k string, x int")
     many = spark.createDataFrame(
         [("a", i) for i in range(50)] + [("b", 0), ("z", 1)] + [(None, i) for i in range(90)],
         "k string, y int",
     )
     plain = left.join(many, "k", "left")
-    dealt = ops.left_join_many(left, many, "k", Limits(min_rows=10, max_groups=10**9, salts=4))
-    assert sorted(map(str, plain.collect())) == sorted(map(str, dealt.collect()))
-    assert dealt.columns == plain.columns
+    joined = ops.left_join_many(left, many, "k", salts=4)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, joined.collect()))
+    assert joined.columns == plain.columns
 
 
-@pytest.mark.parametrize("operator", [ops.box, ops.kde, ops.violin])
-def test_distributions_of_hot_groups(spark, operator):
-    rng = random.Random(11)
-    rows = [
-        (rng.choice(["a", "a", "a", "b", "c", None]), rng.choice([None, rng.gauss(0, 3)]))
-        for _ in range(900)
-    ]
-    df = spark.createDataFrame(rows, "g string, v double")
-    limits = Limits(min_rows=100, max_groups=10**9)
-    if operator is ops.kde:
-        short, long = (operator(df, "v", hue="g", limits=m) for m in (None, limits))
-    else:
-        short, long = (operator(df, "g", y="v", limits=m) for m in (None, limits))
-    order = ["g", "grid"] if "grid" in short.columns else ["g"]
-    got, want = (d.orderBy(*order).collect() for d in (long, short))
-    assert len(want) == {"box": 3, "kde": 600, "violin": 300}[operator.__name__]
-    assert len(got) == len(want)
-    for a, b in zip(got, want):
-        assert a["g"] == b["g"]
-        assert all(math.isclose(x, y, rel_tol=1e-9) for x, y in zip(a[1:], b[1:]))
-
-
-def test_histogram_the_long_way(spark):
-    rng = random.Random(3)
-    df = spark.createDataFrame([(rng.gauss(10, 4),) for _ in range(800)], "v double")
-    short, long = (
-        ops.histogram(df, "v", limits=m).orderBy("bin").collect() for m in (None, EVERY_GROUP_HOT)
-    )
-    assert short == long
+def test_rows_of_a_hot_user_do_not_depend_on_their_order(spark):
+    left = spark.createDataFrame([("a", 1), ("b", 2)], "k string, x int")
+    many = spark.createDataFrame([("a", i % 7) for i in range(300)], "k string, y int")
+    one, other = (ops.left_join_many(left, m, "k", salts=3) for m in (many, many.repartition(5, "y")))
+    assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, other.collect()), key=str)
+    assert one.count() == 301
+
 
+def test_distributions_without_groups_or_values(spark):
+    df = spark.createDataFrame([(None, 1.0), ("a", None)], "g string, v double")
+    assert ops.box(df, "g", y="v").collect() == []
+    assert ops.kde(df, "v", hue="g").collect() == []
+    assert ops.violin(df, "g", y="v").collect() == []
 
-def test_training_table_with_hot_subscribers(spark):
+
+def test_training_table_with_repeated_users(spark):
     d = Domain(spark, "/root/testdata/sf0.001")
     label = ops.prepare_churn_label(d.signups(0), d.purchases(0), d.signups(1), d.purchases(1), 2)
     users = d.user().unionByName(d.user().where("bib_id < 5"))
-
-    def wide(limits):
-        features = ops.prepare_data(
-            None, None, d.package(), d.recharge(), users, as_of="2024-02-01", limits=limits
-        )
-        return ops.merge_dataframes(features, label, limits=limits).orderBy("bib_id").collect()
-
-    short, long = wide(None), wide(Limits(min_rows=1, max_groups=10**9, salts=3))
-    assert len(short) == 20 and len(long) == 20  # 15 subscribers, five of them twice
-    for a, b in zip(short, long):
-        assert all(
-            x == y or isinstance(x, float) and math.isclose(x, y, rel_tol=1e-12)
-            for x, y in zip(a, b)
-        ), (a, b)
+    features = ops.prepare_data(None, None, d.package(), d.recharge(), users, as_of="2024-02-01")
+    wide, salted = (ops.merge_dataframes(features, label, salts=n).collect() for n in (1, 3))
+    assert len(wide) == 20  # 15 subscribers, five of them twice
+    assert sorted(map(str, wide)) == sorted(map(str, salted))
