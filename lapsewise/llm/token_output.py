@@ -30,8 +30,9 @@ BLOCK_TOKENS = 1 << 20
 #: Documents that the dictionary is trained on (those with the smallest id hashes), bytes taken of
 #: each, and the dictionary's size.
 DICTIONARY_ROWS, DICTIONARY_SAMPLE, DICTIONARY_BYTES = 1000, 4096, 64 << 10
-#: Units of text whose ids a worker keeps, about 150 bytes each.
-KNOWN_UNITS = 1_000_000
+#: Units of text and plain words whose ids a worker keeps, about 200 bytes each. Units are put
+#: together from words again without the library.
+KNOWN_UNITS, KNOWN_WORDS = 400_000, 1_500_000
 
 _BLOCKS = (
     "shard int, start bigint, n_tokens bigint, dictionary string, doc_ids array<bigint>, "
@@ -50,7 +51,7 @@ class Encoder:
     whole texts.
     """
 
-    def __init__(self, path: str, most: int = KNOWN_UNITS) -> None:
+    def __init__(self, path: str, most: int = KNOWN_UNITS, most_words: int = KNOWN_WORDS) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -63,7 +64,7 @@ class Encoder:
             self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
-        self.most = most
+        self.most, self.most_words = most, most_words
 
     def encode(self, text: str) -> bytes:
         """All ids as little-endian unsigned 32-bit integers."""
@@ -74,7 +75,6 @@ class Encoder:
         if missing:
             if len(self.known) + len(missing) > self.most:
                 self.known.clear()
-                self.words.clear()
                 missing = set(units)
             self._learn(missing)
         return b"".join(map(self.known.__getitem__, units))
@@ -91,7 +91,11 @@ class Encoder:
             else:
                 whole.append(unit)
         self.known.update(zip(whole, self._library(whole), strict=True))
-        new = {part for parts in split.values() for part in parts if part}.difference(self.words)
+        parts = {part for both in split.values() for part in both if part}
+        new = parts.difference(self.words)
+        if len(self.words) + len(new) > self.most_words:
+            self.words.clear()
+            new = parts
         self._learn_words(list(new))
         for unit, (word, marks) in split.items():
             self.known[unit] = self.words[word] + self.words[marks] if marks else self.words[word]
