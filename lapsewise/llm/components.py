@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lapsewise.llm.store import drop, written
@@ -35,18 +35,22 @@ def components(links: DataFrame) -> DataFrame:
     return roots.unionAll(nearer.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
-def _kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    edges = written(edges, "links")
-    return edges, tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _kept(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """The edges as a table, and a count and sum by which equal sets of edges are known."""
+    seen = Observation()
+    check = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+    edges = written(edges.observe(seen, F.count(F.lit(1)).alias("n"), check.alias("sum")), "links")
+    return edges, seen.get
 
 
 def link(
-    members: DataFrame, confirm: Callable[[DataFrame], DataFrame], rounds: int = 2
+    members: DataFrame, confirm: Callable[[DataFrame], DataFrame], rounds: int = 1
 ) -> DataFrame:
     """id and component of all ids that are linked with another.
 
     ``members`` (key, id, rank): ids that share a key may be linked. ``confirm`` takes pairs (a, b),
-    a < b, and returns those that are. In a key's group every id is first paired with one leader
+    a < b, and returns those that are; in the last round they have ``common``, the number of keys
+    that both have. In a key's group every id is first paired with one leader
     only, the one of the smallest rank; further rounds pair those that are not yet in the group's
     largest component with other leaders out of it. What then still lies in different components is
     paired in full, so every link between components is found, while a group that hangs together
@@ -57,9 +61,9 @@ def link(
     members = written(members.join(sizes, "key").drop("n"), "shared-keys")
     leaders = members.groupBy("key").agg(F.min(F.struct("rank", "id")).alias("lead"))
     tried = written(_ordered(members.join(leaders, "key"), "id", "lead.id"), "pairs")
-    links = written(confirm(tried), "links")
+    labels = components(written(confirm(tried), "links"))
     for turn in range(rounds + 1):
-        labels = written(components(links), "labels")
+        labels = written(labels, "labels")
         spread, outside = _outside(members, labels)
         if outside.isEmpty():
             return labels
@@ -70,11 +74,17 @@ def link(
             pairs = _ordered(outside.join(lead, "key"), "id", "lead.id")
         else:
             other = spread.select("key", F.col("id").alias("id2"), F.col("component").alias("component2"))
-            pairs = _ordered(outside.join(other, "key").where("component <> component2"), "id", "id2")
+            # Each key counts once for a pair, also where both lie outside the largest component.
+            once = (F.col("component2") == F.col("major")) | (F.col("id") < F.col("id2"))
+            met = outside.join(other, "key").where((F.col("component") != F.col("component2")) & once)
+            pairs = met.groupBy(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))
+            pairs = pairs.agg(F.count("*").alias("common"))
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = written(links.unionAll(confirm(pairs)), "links")
-        tried = tried.unionAll(pairs)
-    return components(links)
+        # What is connected already goes on as stars: each id with its component.
+        stars = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        labels = components(stars.unionAll(confirm(pairs).select("a", "b")))
+        tried = tried.unionAll(pairs.select("a", "b"))
+    return labels
 
 
 def _outside(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -148,24 +148,42 @@ def _first(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def candidate_keys(parts: DataFrame, percent: int) -> DataFrame:
+def _whole(fragments: bytes, hashes: bytes) -> np.ndarray:
+    """A class's shared shingles, each named by its fragment and its hash there."""
+    places = np.frombuffer(fragments, dtype="<u4").reshape(-1, 2)
+    return (np.repeat(places[:, 0], places[:, 1]).astype(np.uint64) << np.uint64(8 * _HASH_BYTES)) | _unpacked(hashes)
+
+
+def _put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A class's parts one behind the other, with the number of shingles in each fragment."""
+    for batch in batches:
+        rows = []
+        for parts in batch.column("parts").to_pylist():
+            parts.sort(key=lambda p: p["fragment"])
+            places = np.array([(p["fragment"], len(p["rarity"])) for p in parts], dtype="<u4")
+            rows.append((places.tobytes(), *(b"".join(p[c] for p in parts) for c in ("hashes", "rarity"))))
+        columns = zip(*rows, strict=True) if rows else ((), (), ())
+        yield pa.record_batch(
+            [batch.column("id"), batch.column("n"), *(pa.array(c, pa.binary()) for c in columns)],
+            names=["id", "n", "fragments", "hashes", "rarity"],
+        )
+
+
+def candidate_keys(sets: DataFrame, percent: int) -> DataFrame:
     """key, id and rank of classes: the shared ones among their first shingles.
 
-    ``parts``: id, n, and parts (fragment, hashes, rarity). A class ranks by the share of
-    shingles that are its own: what others were copied from has the smallest.
+    A class ranks by the share of shingles that are its own: what others were copied from has the
+    smallest.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, ids, ranks = [], [], []
             for row in batch.to_pylist():
-                hashes = np.concatenate([_unpacked(p["hashes"]) for p in row["parts"]])
-                frag = np.repeat([p["fragment"] for p in row["parts"]], [len(p["rarity"]) for p in row["parts"]])
-                rarity = np.frombuffer(b"".join(p["rarity"] for p in row["parts"]), np.uint8)
-                own = row["n"] - len(hashes)
-                most = _first(row["n"], percent) - own
-                order = np.lexsort((hashes, frag, rarity))[:most]
-                keys.append((words.mix(hashes[order]) ^ words.mix(frag[order].astype(np.uint64) + np.uint64(1 << 50))).view(np.int64))
+                names = _whole(row["fragments"], row["hashes"])
+                own = row["n"] - len(names)
+                order = np.lexsort((names, np.frombuffer(row["rarity"], np.uint8)))[: _first(row["n"], percent) - own]
+                keys.append(words.mix(names[order]).view(np.int64))
                 ids.append(np.full(len(order), row["id"]))
                 ranks.append(np.full(len(order), own / row["n"]))
             key, own_id, rank = (np.concatenate(x) if x else np.zeros(0) for x in (keys, ids, ranks))
@@ -174,33 +192,36 @@ def candidate_keys(parts: DataFrame, percent: int) -> DataFrame:
                 names=["key", "id", "rank"],
             )
 
-    return parts.mapInArrow(run, "key bigint, id bigint, rank double")
+    return sets.mapInArrow(run, "key bigint, id bigint, rank double")
 
 
-def _overlaps(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by partial overlaps: counted by fragment, and summed for each pair."""
-    a, b = (parts.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("parts").alias(f"parts_{x}")) for x in "ab")
-    size_a, size_b = a.drop("parts_a"), b.drop("parts_b")
+def _overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, by partial overlaps: found fragment by fragment, and summed for each pair.
+
+    Sizes say first which pairs cannot link. Where the number of ``common`` first shingles is known,
+    it does too: what two sets share beyond the first shingles of the one whose first shingles end
+    earlier lies among that one's other ceil(t * n) - 1.
+    """
+    size_a, size_b = (sets.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
+    set_a, set_b = (sets.select(F.col("id").alias(x), F.col("fragments").alias(f"f_{x}"), F.col("hashes").alias(f"h_{x}")) for x in "ab")
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    possible = pairs.join(size_a, "a").join(size_b, "b").where(100 * small >= percent * large).select("a", "b")
+    possible = pairs.join(size_a, "a").join(size_b, "b").where(100 * small >= percent * large)
+    if "common" in pairs.columns:
+        beyond = F.ceil(F.lit(percent) * large / 100) - 1
+        possible = possible.where((100 + percent) * (F.col("common") + beyond) >= percent * (small + large))
+    possible = possible.select("a", "b", "n_a", "n_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = [], []
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            columns = [batch.column(c) for c in ("n_a", "n_b", "f_a", "h_a", "f_b", "h_b")]
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                other = {p["fragment"]: p["hashes"] for p in row["parts_b"]}
-                overlap = sum(
-                    len(np.intersect1d(_unpacked(p["hashes"]), _unpacked(other[p["fragment"]]), assume_unique=True))
-                    for p in row["parts_a"]
-                    if p["fragment"] in other
-                )
-                if 100 * overlap >= percent * (row["n_a"] + row["n_b"] - overlap):
-                    left.append(row["a"])
-                    right.append(row["b"])
-            yield pa.record_batch([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+                n_a, n_b, f_a, h_a, f_b, h_b = (c[i].as_py() for c in columns)
+                overlap = len(np.intersect1d(_whole(f_a, h_a), _whole(f_b, h_b), assume_unique=True))
+                keep[i] = 100 * overlap >= percent * (n_a + n_b - overlap)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    return possible.join(a, "a").join(b, "b").mapInArrow(run, "a bigint, b bigint")
+    return possible.join(set_a, "a").join(set_b, "b").mapInArrow(run, "a bigint, b bigint")
 
 
 def jaccard_components(docs: DataFrame, percent: int = THRESHOLD_PERCENT, width: int = words.WIDTH) -> DataFrame:
@@ -228,7 +249,8 @@ def jaccard_components(docs: DataFrame, percent: int = THRESHOLD_PERCENT, width:
         )
         .join(sizes.groupBy(F.col("class").alias("id")).agg(F.max("n").alias("n")), "id")
         .where(F.col("n") - F.col("shared") < first)
-        .select("id", "n", "parts"),
+        .select("id", "n", "parts")
+        .mapInArrow(_put_together, "id bigint, n bigint, fragments binary, hashes binary, rarity binary"),
         "candidates",
     )
     labels = link(candidate_keys(sets, percent), lambda pairs: _overlaps(pairs, sets, percent))
