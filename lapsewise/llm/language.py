@@ -54,14 +54,12 @@ def _classes() -> np.ndarray:
 def _trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys of all class trigrams of some texts, the text each belongs to, and letters per text.
 
-    Each text stands between two breaks, so it has a trigram for each of its characters and one
-    more for its end.
+    Each text stands between two breaks of its own, so its trigrams depend on nothing else.
     """
-    coded = ("\n\n" + "\n\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass")
+    coded = "".join(f"\n{t}\n" for t in texts).encode("utf-32-le", "surrogatepass")
     points = np.frombuffer(coded, dtype=np.uint32)
     lengths = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
     owner = np.repeat(np.arange(len(texts)), lengths + 2)
-    owner = np.concatenate([owner, owner[-1:]])[: len(points)]
     kind = _classes()[points]
     letters = np.bincount(owner[kind > 0], minlength=len(texts))
     keep = np.ones(len(kind), dtype=bool)
