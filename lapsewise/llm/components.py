@@ -48,15 +48,14 @@ def link(
 ) -> DataFrame:
     """id and component of all ids that are linked with another.
 
-    ``members`` (key, id, rank): ids that share a key may be linked. ``confirm`` takes pairs (a, b),
-    a < b, and returns those that are; in the last round they have ``common``, the number of keys
-    that both have. In a key's group every id is first paired with one leader
+    ``members`` (key, id, rank; each id once under a key): ids that share a key may be linked. ``confirm`` takes pairs (a, b),
+    a < b, and returns those that are. In a key's group every id is first paired with one leader
     only, the one of the smallest rank; further rounds pair those that are not yet in the group's
     largest component with other leaders out of it. What then still lies in different components is
     paired in full, so every link between components is found, while a group that hangs together
     costs a pair for each member and not for each two of them.
     """
-    members = written(members.distinct(), "members")
+    members = written(members, "members")
     sizes = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = written(members.join(sizes, "key").drop("n"), "shared-keys")
     leaders = members.groupBy("key").agg(F.min(F.struct("rank", "id")).alias("lead"))
@@ -74,16 +73,14 @@ def link(
             pairs = _ordered(outside.join(lead, "key"), "id", "lead.id")
         else:
             other = spread.select("key", F.col("id").alias("id2"), F.col("component").alias("component2"))
-            # Each key counts once for a pair, also where both lie outside the largest component.
             once = (F.col("component2") == F.col("major")) | (F.col("id") < F.col("id2"))
             met = outside.join(other, "key").where((F.col("component") != F.col("component2")) & once)
-            pairs = met.groupBy(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))
-            pairs = pairs.agg(F.count("*").alias("common"))
+            pairs = _ordered(met, "id", "id2")
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         # What is connected already goes on as stars: each id with its component.
         stars = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        labels = components(stars.unionAll(confirm(pairs).select("a", "b")))
-        tried = tried.unionAll(pairs.select("a", "b"))
+        labels = components(stars.unionAll(confirm(pairs)))
+        tried = tried.unionAll(pairs)
     return labels
 
 

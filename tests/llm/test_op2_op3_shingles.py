@@ -72,10 +72,10 @@ def test_one_document_of_each_group_stays(make, prose):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "4", "6", "7", "None"]
 
 
-@pytest.mark.parametrize("fragments", [1, 3, 50])
-def test_the_number_of_fragments_changes_nothing(make, prose, fragments, monkeypatch):
+@pytest.mark.parametrize("shingles_each", [10**6, 17, 3])
+def test_the_number_of_fragments_changes_nothing(make, prose, shingles_each, monkeypatch):
     rows = [(i, prose(i % 7, 40 + i % 3)) for i in range(30)]
-    monkeypatch.setattr(jaccard, "max", lambda *_: fragments, raising=False)
+    monkeypatch.setattr(jaccard, "FRAGMENT_SHINGLES", shingles_each)
     got = jaccard.jaccard_components(make(rows)).collect()
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in got} == brute_components(rows)
 

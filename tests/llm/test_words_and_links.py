@@ -59,7 +59,7 @@ def test_components_of_nothing(spark):
 def test_link_loses_no_link_between_members(spark):
     """Ids share keys at random; those whose difference is at most 3 are linked."""
     draw = random.Random(2)
-    rows = [(draw.randrange(6), i, float(draw.randrange(3))) for i in range(0, 200) for _ in range(2)]
+    rows = [(key, i, float(draw.randrange(3))) for i in range(200) for key in draw.sample(range(6), 2)]
     shared = {}
     for key, i, _ in rows:
         shared.setdefault(key, set()).add(i)
