@@ -88,12 +88,15 @@ def test_time_profile_equals_grouping_sets(spark):
     assert all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
 
 
-def test_sum_then_semi_join_equals_intersect_then_inner_join(spark):
+def test_recovery_by_loan_equals_sql(spark):
     domain = Domain(spark, SF_DIR)
-    assign, recovery = domain.loan_assign(), domain.loan_recovery()
-    common = assign.select("loan_id").intersect(recovery.select("loan_id"))
-    joined = recovery.join(common, "loan_id").groupBy("loan_id").agg(
-        F.sum("loan_amount").alias("a"), F.sum("hsdp_recovery").alias("b")
+    assign, recovery = domain.loan_assign().where("loan_id % 3 = 0"), domain.loan_recovery()
+    assign.createOrReplaceTempView("some_assigned")
+    recovery.createOrReplaceTempView("all_paid")
+    joined = spark.sql(
+        """SELECT loan_id, sum(loan_amount) AS a, sum(hsdp_recovery) AS b FROM all_paid p
+           WHERE EXISTS (SELECT 1 FROM some_assigned s WHERE s.loan_id = p.loan_id)
+           GROUP BY loan_id"""
     )
     want = {r["loan_id"]: (r["a"], r["b"]) for r in joined.collect()}
     got = {r[0]: (r[1], r[2]) for r in ops.recovery_by_loan(assign, recovery).collect()}
