@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lapsewise.llm.store import drop, written
@@ -44,7 +44,10 @@ def _kept(edges: DataFrame) -> tuple[DataFrame, dict]:
 
 
 def link(
-    members: DataFrame, confirm: Callable[[DataFrame], DataFrame], rounds: int = 1
+    members: DataFrame,
+    confirm: Callable[[DataFrame], DataFrame],
+    rounds: int = 1,
+    alike: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """id and component of all ids that are linked with another.
 
@@ -53,8 +56,10 @@ def link(
     only, the one of the smallest rank; further rounds pair those that are not yet in the group's
     largest component with other leaders out of it. What then still lies in different components is
     paired in full, so every link between components is found, while a group that hangs together
-    costs a pair for each member and not for each two of them.
+    costs a pair for each member and not for each two of them. Where members have a ``mark``,
+    ``alike`` says of two marks whether their ids can be linked at all.
     """
+    marks = [] if alike is None else [F.col("mark").alias("mark2")]
     members = written(members, "members")
     sizes = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = written(members.join(sizes, "key").drop("n"), "shared-keys")
@@ -72,9 +77,13 @@ def link(
             lead = inside.groupBy("key").agg(F.min(order).alias("lead"))
             pairs = _ordered(outside.join(lead, "key"), "id", "lead.id")
         else:
-            other = spread.select("key", F.col("id").alias("id2"), F.col("component").alias("component2"))
+            same = [F.col("id").alias("id2"), F.col("component").alias("component2"), *marks]
+            other = spread.select("key", *same)
             once = (F.col("component2") == F.col("major")) | (F.col("id") < F.col("id2"))
-            met = outside.join(other, "key").where((F.col("component") != F.col("component2")) & once)
+            apart = (F.col("component") != F.col("component2")) & once
+            if alike is not None:
+                apart = apart & alike(F.col("mark"), F.col("mark2"))
+            met = outside.join(other, "key").where(apart)
             pairs = _ordered(met, "id", "id2")
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         # What is connected already goes on as stars: each id with its component.

@@ -92,7 +92,7 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def near_members(distinct: DataFrame, fragments: int) -> DataFrame:
-    """key, id and rank of the lines that have another within the radius under the same key."""
+    """key, id and mark (the SimHash) of the lines that have another within the radius under the same key."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,7 +112,7 @@ def near_members(distinct: DataFrame, fragments: int) -> DataFrame:
             )
 
     def find(group: pa.Table) -> pa.Table:
-        keys, ids = [], []
+        keys, ids, marks = [], [], []
         for table in range(len(_PAIRS)):
             mine = group.filter(pc.equal(group["block_pair"], table))
             if not mine.num_rows:
@@ -129,13 +129,13 @@ def near_members(distinct: DataFrame, fragments: int) -> DataFrame:
                 near = _has_neighbour(hashes[a:b])
                 if near.any():
                     ids.append(own[a:b][near])
+                    marks.append(hashes[a:b][near])
                     keys.append(np.full(int(near.sum()), (table << 26) | int(key[a]), dtype=np.int64))
-        flat = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (keys, ids))
-        key, own = flat
-        return pa.table({"key": pa.array(key.astype(np.int64)), "id": pa.array(own.view(np.int64))})
+        key, own, mark = (np.concatenate(x).view(np.int64) if x else np.zeros(0, np.int64) for x in (keys, ids, marks))
+        return pa.table({"key": pa.array(key), "id": pa.array(own), "mark": pa.array(mark)})
 
     packed = distinct.select("id", "simhash").mapInArrow(pack, "fragment int, block_pair int, data binary")
-    return packed.groupBy("fragment").applyInArrow(find, "key bigint, id bigint")
+    return packed.groupBy("fragment").applyInArrow(find, "key bigint, id bigint, mark bigint")
 
 
 def _has_neighbour(hashes: np.ndarray) -> np.ndarray:
@@ -155,13 +155,17 @@ def _fetched(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return hits.join(ids, "id", "left_semi")
 
 
+def _near(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= RADIUS
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     a = texts.select(F.col("id").alias("a"), F.col("norm").alias("norm_a"), F.col("simhash").alias("hash_a"))
     b = texts.select(F.col("id").alias("b"), F.col("norm").alias("norm_b"), F.col("simhash").alias("hash_b"))
     longer = F.greatest(F.length("norm_a"), F.length("norm_b"))
     shorter = F.least(F.length("norm_a"), F.length("norm_b"))
     most = F.floor((1 - F.lit(SIMILARITY)) * longer + 1e-9).cast("int")
-    near = F.bit_count(F.col("hash_a").bitwiseXOR(F.col("hash_b"))) <= RADIUS
+    near = _near(F.col("hash_a"), F.col("hash_b"))
     both = pairs.join(a, "a").join(b, "b").where(near & (longer - shorter <= most))
     return both.where(F.call_function("levenshtein", "norm_a", "norm_b", most) >= 0).select("a", "b")
 
@@ -188,7 +192,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     members = written(near.withColumn("rank", F.lit(0)), "near-lines")
     ids = members.select("id").distinct()
     texts = written(_fetched(docs, ids).join(distinct.select("id", "simhash"), "id"), "line-texts")
-    labels = link(members, lambda pairs: _confirmed(pairs, texts))
+    labels = link(members, lambda pairs: _confirmed(pairs, texts), alike=_near)
     grouped = distinct.join(labels, "id", "left").withColumn("group", F.coalesce("component", "id"))
     kept = grouped.where(F.col("component").isNotNull()).groupBy("group").agg(F.min("first").alias("kept"))
     decided = written(
