@@ -52,7 +52,8 @@ def link(
     """id and component of all ids that are linked with another.
 
     ``members`` (key, id, rank; each id once under a key): ids that share a key may be linked. ``confirm`` takes pairs (a, b),
-    a < b, and returns those that are. In a key's group every id is first paired with one leader
+    a < b, and returns those that are; in
+    the last round they have ``common``, the number of keys that both have. In a key's group every id is first paired with one leader
     only, the one of the smallest rank; further rounds pair those that are not yet in the group's
     largest component with other leaders out of it. What then still lies in different components is
     paired in full, so every link between components is found, while a group that hangs together
@@ -83,13 +84,16 @@ def link(
             apart = (F.col("component") != F.col("component2")) & once
             if alike is not None:
                 apart = apart & alike(F.col("mark"), F.col("mark2"))
-            met = outside.join(other, "key").where(apart)
-            pairs = _ordered(met, "id", "id2")
+            # Each key counts once for a pair, also where both lie outside the largest component.
+            pairs = outside.join(other, "key").where(apart).groupBy(
+                F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")
+            )
+            pairs = pairs.agg(F.count("*").alias("common"))
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         # What is connected already goes on as stars: each id with its component.
         stars = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        labels = components(stars.unionAll(confirm(pairs)))
-        tried = tried.unionAll(pairs)
+        labels = components(stars.unionAll(confirm(pairs).select("a", "b")))
+        tried = tried.unionAll(pairs.select("a", "b"))
     return labels
 
 

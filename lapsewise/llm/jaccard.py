@@ -7,11 +7,9 @@ every fragment counts for itself.
 1. Documents are hashed once and send each fragment its part of their sets, packed. A fragment
    thereby knows in how many documents each of its shingles occurs, and returns to each document
    those that others have too. Most shingles occur once; they stay behind.
-2. Two sets of n and m shingles with a Jaccard index of at least t share a = ceil(t * (n + m) / (1 + t))
-   or more, so they must share one of the first n - a + 1 of the one and m - a + 1 of the other in
-   the global order. Sizes have classes, and for each class that a partner may have, a set goes
-   under those of its first shingles that others have, together with both classes: only sets of
-   matching sizes meet, and what differs too much for that size has no key left to meet by.
+2. Two sets with a Jaccard index of at least t must share one of the first n - ceil(t * n) + 1
+   shingles in the global order (of n). Documents whose first shingles are all their own are done.
+   The others' first shared shingles are the keys by which candidates meet.
 3. Candidates are compared by their partial overlaps: for each pair and fragment, the number of
    shared shingles there; a pair's sum is its overlap.
 
@@ -27,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapsewise.llm import words
@@ -145,28 +143,9 @@ def shared_parts(split: DataFrame) -> DataFrame:
     return split.groupBy("fragment").applyInArrow(run, schema)
 
 
-def _size_classes() -> np.ndarray:
-    """Smallest size of each class: classes are a twentieth wide."""
-    starts = [1]
-    while starts[-1] < 2**31:
-        starts.append(max(starts[-1] + 1, starts[-1] * 21 // 20))
-    return np.array(starts, dtype=np.int64)
-
-
-_CLASSES = _size_classes()
-
-
-def _class(n: int) -> int:
-    return int(np.searchsorted(_CLASSES, n, side="right")) - 1
-
-
-def _prefixes(n: int, percent: int) -> Iterator[tuple[int, int]]:
-    """For each class of sizes that a partner of n shingles may have: its number, and how many of
-    the first shingles count."""
-    smallest, largest = -(-percent * n // 100), 100 * n // percent
-    for c in range(_class(smallest), _class(largest) + 1):
-        other = max(smallest, int(_CLASSES[c]))
-        yield c, n + (-percent * (n + other) // (100 + percent)) + 1
+def _first(n: int, percent: int) -> int:
+    """How many of the first of n shingles a similar set must share one of."""
+    return n - -(-percent * n // 100) + 1
 
 
 def _whole(fragments: bytes, hashes: bytes) -> np.ndarray:
@@ -191,43 +170,58 @@ def _put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def candidate_keys(sets: DataFrame, percent: int) -> DataFrame:
-    """key, id and rank of sets: the shared ones among their first shingles, for each size of partner.
+    """key, id, rank and mark of classes: the shared ones among their first shingles.
 
-    A set ranks by the share of shingles that are its own: what others were copied from has the
-    smallest.
+    A class ranks first that has most of what others have: what they were copied from. The mark
+    holds its size and how many of its shingles others have.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, ids, ranks = [], [], []
+            keys, ids, ranks, marks = [], [], [], []
             for row in batch.to_pylist():
-                names, n = _whole(row["fragments"], row["hashes"]), row["n"]
-                own, mine = n - len(names), _class(n)
-                names = words.mix(names[np.lexsort((names, np.frombuffer(row["rarity"], np.uint8)))])
-                for other, first in _prefixes(n, percent):
-                    some = names[: max(0, first - own)]
-                    both = np.uint64(min(mine, other) << 16 | max(mine, other))
-                    keys.append(words.mix(some + both * np.uint64(0x9E3779B97F4A7C15)).view(np.int64))
-                    ids.append(np.full(len(some), row["id"]))
-                    ranks.append(np.full(len(some), own / n))
-            key, own_id, rank = (np.concatenate(x) if x else np.zeros(0) for x in (keys, ids, ranks))
+                names = _whole(row["fragments"], row["hashes"])
+                own = row["n"] - len(names)
+                rarity = np.frombuffer(row["rarity"], np.uint8)
+                order = np.lexsort((names, rarity))[: _first(row["n"], percent) - own]
+                keys.append(words.mix(names[order]).view(np.int64))
+                ids.append(np.full(len(order), row["id"]))
+                ranks.append(np.full(len(order), -float(rarity.sum(dtype=np.int64))))
+                marks.append(np.full(len(order), row["n"] << 31 | len(names)))
+            key, own_id, rank, mark = (np.concatenate(x) if x else np.zeros(0) for x in (keys, ids, ranks, marks))
             yield pa.record_batch(
-                [pa.array(key.astype(np.int64)), pa.array(own_id.astype(np.int64)), pa.array(rank.astype(np.float64))],
-                names=["key", "id", "rank"],
+                [*(pa.array(x.astype(np.int64)) for x in (key, own_id)), pa.array(rank.astype(np.float64)), pa.array(mark.astype(np.int64))],
+                names=["key", "id", "rank", "mark"],
             )
 
-    return sets.mapInArrow(run, "key bigint, id bigint, rank double")
+    return sets.mapInArrow(run, "key bigint, id bigint, rank double, mark bigint")
+
+
+def _can_link(percent: int):
+    """Whether two classes can link by their sizes and by how much of them others have."""
+
+    def alike(a: Column, b: Column) -> Column:
+        (n_a, s_a), (n_b, s_b) = ((F.shiftright(x, 31), x.bitwiseAND(F.lit(2**31 - 1))) for x in (a, b))
+        sizes = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+        return sizes & ((100 + percent) * F.least(s_a, s_b) >= percent * (n_a + n_b))
+
+    return alike
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link, by partial overlaps: found fragment by fragment, and summed for each pair.
 
-    Sizes say first which pairs cannot link.
+    Sizes say first which pairs cannot link. Where the number of ``common`` first shingles is known,
+    it does too: what two sets share beyond the first shingles of the one whose first shingles end
+    earlier lies among that one's other ceil(t * n) - 1.
     """
     size_a, size_b = (sets.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
     set_a, set_b = (sets.select(F.col("id").alias(x), F.col("fragments").alias(f"f_{x}"), F.col("hashes").alias(f"h_{x}")) for x in "ab")
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     possible = pairs.join(size_a, "a").join(size_b, "b").where(100 * small >= percent * large)
+    if "common" in pairs.columns:
+        beyond = F.ceil(F.lit(percent) * large / 100) - 1
+        possible = possible.where((100 + percent) * (F.col("common") + beyond) >= percent * (small + large))
     possible = possible.select("a", "b", "n_a", "n_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +266,9 @@ def jaccard_components(docs: DataFrame, percent: int = THRESHOLD_PERCENT, width:
         .mapInArrow(_put_together, "id bigint, n bigint, fragments binary, hashes binary, rarity binary"),
         "candidates",
     )
-    labels = link(candidate_keys(sets, percent), lambda pairs: _overlaps(pairs, sets, percent))
+    labels = link(
+        candidate_keys(sets, percent), lambda pairs: _overlaps(pairs, sets, percent), alike=_can_link(percent)
+    )
     placed = sizes.join(labels.withColumnRenamed("id", "class"), "class", "left").withColumn(
         "group", F.when(F.col("n") > 0, F.coalesce("component", "class"))
     )
