@@ -2,14 +2,21 @@
 
 A line's normal form is lower case, every digit a 0, and one space for each run of anything else
 than letters and digits. Lines of fewer than ``MIN_WORDS`` words carry no passage and are left
-alone. Two normal forms are linked if their 64-bit SimHashes differ in at most ``RADIUS`` bits and
-their edit similarity, 1 - Levenshtein distance / longer length, is at least ``SIMILARITY``. Of
-each connected group the first occurrence stays, in the order of document id and line number.
+alone. Two normal forms are linked if their edit similarity, 1 - Levenshtein distance / longer
+length, is at least ``SIMILARITY``. Of each connected group the first occurrence stays, in the
+order of document id and line number.
+
+Edit similarity alone decides; which pairs it is asked for is a search by MinHash, which may miss
+some (the README names its recall):
 
 * Equal normal forms are one from the start: occurrences are combined by hash before any shuffle.
-* SimHashes are cut into five blocks; of two within three bits, at least two blocks are equal. So
-  every hash goes under its ten pairs of blocks, as packed bytes, and only what has a neighbour
-  within the radius under the same key goes on.
+* A line's words, each weighing its length, make ``_HASHES`` weighted MinHashes; a fifth of the
+  characters in changed words leaves two thirds of the weight in common. Lines that are short or
+  have few spaces make as many from their pairs of characters too: there one edit may leave no
+  word as it was.
+* Every three hashes are a key, so each such family gives ``_BANDS`` keys; they travel as packed
+  bytes with a sketch of two bits of every hash, and only what has a neighbour of fitting length
+  and sketch under the same key goes on.
 * Linking (``components.link``) pairs a group's members with leaders first, and lists pairs only
   between what has not come together.
 * Texts are fetched only of the lines that are to be compared: a Bloom filter of a fixed size
@@ -19,11 +26,9 @@ each connected group the first occurrence stays, in the order of document id and
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,12 +38,25 @@ from lapsewise.llm.store import written
 from lapsewise.llm.urls import bloom_filter, possible_hits
 
 MIN_WORDS = 5
-RADIUS = 3
 SIMILARITY = 0.8
 #: 16 Mbit: some 10 bits for each of 1.6 million lines; with more, more lines are fetched in vain.
 _BLOCKS = 1 << 16
-_EDGES = (0, 13, 26, 39, 52, 64)
-_PAIRS = list(combinations(range(5), 2))
+_HASHES = 64
+_ROWS = 3
+_BANDS = 16
+#: Hashes whose two bits differ, at most: with half of the weight in common it is 24 on average,
+#: with next to nothing 47.
+_APART = 32
+#: Lines of fewer characters, or of more for each word, have keys by pairs of characters too.
+_SHORT = 48
+_LONG_WORDS = 12
+_ODD = np.random.default_rng(7).integers(0, 1 << 62, _HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Ids that a task remembers, so as to pack a line once.
+_MET = 300_000
+_EVEN_BITS = 0x5555555555555555
+#: A packed key: key, id, sketch and length.
+_ENTRY = np.dtype([("key", "<u8"), ("id", "<i8"), ("s0", "<u8"), ("s1", "<u8"), ("n", "<u4")])
+_MARK = "struct<n:int,s0:bigint,s1:bigint>"
 
 
 def normal_form(line: Column) -> Column:
@@ -53,99 +71,135 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return lines.where(F.size(F.split("norm", " ")) >= MIN_WORDS).withColumn("id", F.xxhash64("norm"))
 
 
-def simhashes(texts: list[str]) -> np.ndarray:
-    """A 64-bit SimHash of each text's words and neighbouring words; few bits change with few words."""
-    out = np.zeros(len(texts), dtype=np.uint64)
-    shifts = np.arange(64, dtype=np.uint64)
-    for part in words.batches(texts, 1 << 18):
-        hashes, first = words.word_hashes(texts[part])
-        if not len(hashes):
-            continue
-        filled = np.flatnonzero(np.diff(first))
-        bits = (hashes[:, None] >> shifts) & np.uint64(1)
-        sums = np.add.reduceat(bits.astype(np.int32), first[:-1][filled], axis=0)
-        sizes = np.diff(first)[filled][:, None]
-        out[part.start + filled] = ((2 * sums > sizes).astype(np.uint64) << shifts).sum(axis=1, dtype=np.uint64)
+def _min_hashes(features: np.ndarray, weights: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The weighted MinHashes of sets laid end to end, none of them empty; a row for each set."""
+    out = np.empty((len(first), _HASHES), dtype=np.uint32)
+    share = (1 / weights).astype(np.float32)
+    for k, odd in enumerate(_ODD):
+        drawn = ((features * odd) >> np.uint64(40)).astype(np.float32) + np.float32(0.5)
+        out[:, k] = np.minimum.reduceat(drawn * share, first).view(np.uint32)
     return out
 
 
-def _with_simhash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        made = simhashes(batch.column("norm").to_pylist()).view(np.int64)
-        yield pa.record_batch(
-            [batch.column("id"), batch.column("doc_id"), batch.column("line"), pa.array(made)],
-            names=["id", "doc_id", "line", "simhash"],
-        )
-
-
-def block_keys(hashes: np.ndarray) -> Iterator[np.ndarray]:
-    """For each pair of blocks, the hashes' bits in both."""
-    blocks = [
-        (hashes >> np.uint64(a)) & np.uint64((1 << (b - a)) - 1) for a, b in zip(_EDGES[:-1], _EDGES[1:], strict=True)
-    ]
-    for i, j in _PAIRS:
-        yield (blocks[i] << np.uint64(13)) | blocks[j]
-
-
-def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b)
-
-
-def near_members(distinct: DataFrame, fragments: int) -> DataFrame:
-    """key, id and mark (the SimHash) of the lines that have another within the radius under the same key."""
+def by_words(norms: list[str]) -> np.ndarray:
+    """MinHashes of the words of normal forms that are not empty, each word weighing its length."""
+    hashes, first = words.word_hashes(norms)
+    lengths = np.fromiter((len(w) for n in norms for w in n.split(" ")), dtype=np.float64, count=len(hashes))
+    return _min_hashes(hashes, lengths, first[:-1])
+
+
+def by_characters(norms: list[str]) -> np.ndarray:
+    """MinHashes of the pairs of neighbouring characters, the edges of the line among them."""
+    coded = "".join(f"\n{n}\n" for n in norms).encode("utf-32-le", "surrogatepass")
+    points = np.frombuffer(coded, dtype="<u4").astype(np.uint64)
+    ends = np.cumsum([len(n) + 2 for n in norms])
+    inside = np.ones(len(points), dtype=bool)
+    inside[ends - 1] = False
+    pairs = words.mix((points << np.uint64(21)) | np.append(points[1:], np.uint64(0)))[inside]
+    return _min_hashes(pairs, np.ones(len(pairs)), np.append(0, ends[:-1]) - np.arange(len(norms)))
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """For each row of MinHashes, its keys: one for every three hashes."""
+    keys = np.empty((len(hashes), _BANDS), dtype=np.uint64)
+    for band in range(_BANDS):
+        key = np.full(len(hashes), band + 1, dtype=np.uint64)
+        for k in range(band * _ROWS, (band + 1) * _ROWS):
+            key = words.mix(key * np.uint64(0xD6E8FEB86659FD93) + hashes[:, k])
+        keys[:, band] = key
+    return keys
+
+
+def sketches(hashes: np.ndarray) -> np.ndarray:
+    """Two bits of every MinHash, in two numbers."""
+    bits = words.mix(hashes.astype(np.uint64)) & np.uint64(3)
+    shifts = np.arange(0, 64, 2, dtype=np.uint64)
+    return np.stack([(bits[:, i : i + 32] << shifts).sum(axis=1, dtype=np.uint64) for i in (0, 32)], axis=1)
+
+
+def _families(norms: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """By words and by characters: the places of the norms that take part, and their MinHashes."""
+    yield np.arange(len(norms)), by_words(norms)
+    few = [i for i, n in enumerate(norms) if len(n) < _SHORT or len(n) > _LONG_WORDS * (n.count(" ") + 1)]
+    if few:
+        yield np.array(few), by_characters([norms[i] for i in few])
+
+
+def entries(norms: list[str], ids: np.ndarray) -> np.ndarray:
+    """The keys of some lines, with what is to be compared under them."""
+    lengths = np.fromiter(map(len, norms), dtype=np.uint32, count=len(norms))
+    out = [np.zeros(0, dtype=_ENTRY)]
+    for part in words.batches(norms, 1 << 18):
+        for family, (at, hashes) in enumerate(_families(norms[part])):
+            made = np.empty((len(at), _BANDS), dtype=_ENTRY)
+            sketch = sketches(hashes)
+            made["key"] = words.mix(band_keys(hashes) + np.uint64(family))
+            made["id"], made["n"] = ids[part][at, None], lengths[part][at, None]
+            made["s0"], made["s1"] = sketch[:, :1], sketch[:, 1:]
+            out.append(made.reshape(-1))
+    return np.concatenate(out)
+
+
+def near_members(lines: DataFrame, fragments: int) -> DataFrame:
+    """key, id and mark (length and sketch) of the lines (id, norm) that have another near under the same key.
+
+    A line may be there more than once.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
         for batch in batches:
-            ids = np.asarray(batch.column("id"))
-            hashes = np.asarray(batch.column("simhash")).view(np.uint64)
-            rows: list[tuple[int, int, bytes]] = []
-            for table, keys in enumerate(block_keys(hashes)):
-                part = (words.mix(keys + np.uint64(table << 26)) % np.uint64(fragments)).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                found, starts = np.unique(part[order], return_index=True)
-                for f, idx in zip(found.tolist(), np.split(order, starts[1:]), strict=True):
-                    rows.append((f, table, np.stack([hashes[idx], ids[idx].view(np.uint64)], axis=1).tobytes()))
-            fragment, table, data = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.record_batch(
-                [pa.array(fragment, pa.int32()), pa.array(table, pa.int32()), pa.array(data, pa.binary())],
-                names=["fragment", "block_pair", "data"],
-            )
+            new = {i: norm for i, norm in zip(batch.column("id").to_pylist(), batch.column("norm").to_pylist(), strict=True) if i not in met}
+            if len(met) > _MET:
+                met.clear()
+            met.update(new)
+            made = entries(list(new.values()), np.array(list(new), dtype=np.int64))
+            part = (made["key"] % np.uint64(fragments)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            found, starts = np.unique(part[order], return_index=True)
+            data = [made[idx].tobytes() for idx in np.split(order, starts[1:])] if len(found) else []
+            yield pa.record_batch([pa.array(found, pa.int32()), pa.array(data, pa.binary())], names=["fragment", "data"])
 
     def find(group: pa.Table) -> pa.Table:
-        keys, ids, marks = [], [], []
-        for table in range(len(_PAIRS)):
-            mine = group.filter(pc.equal(group["block_pair"], table))
-            if not mine.num_rows:
-                continue
-            data = np.frombuffer(b"".join(mine["data"].to_pylist()), dtype=np.uint64).reshape(-1, 2)
-            hashes, own = data[:, 0], data[:, 1]
-            key = list(block_keys(hashes))[table]
-            order = np.lexsort((hashes, key))
-            hashes, own, key = hashes[order], own[order], key[order]
-            edges = np.flatnonzero(np.diff(key, prepend=key[:1] + np.uint64(1), append=key[-1:] + np.uint64(1)))
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                if b - a < 2:
-                    continue
-                near = _has_neighbour(hashes[a:b])
-                if near.any():
-                    ids.append(own[a:b][near])
-                    marks.append(hashes[a:b][near])
-                    keys.append(np.full(int(near.sum()), (table << 26) | int(key[a]), dtype=np.int64))
-        key, own, mark = (np.concatenate(x).view(np.int64) if x else np.zeros(0, np.int64) for x in (keys, ids, marks))
-        return pa.table({"key": pa.array(key), "id": pa.array(own), "mark": pa.array(mark)})
-
-    packed = distinct.select("id", "simhash").mapInArrow(pack, "fragment int, block_pair int, data binary")
-    return packed.groupBy("fragment").applyInArrow(find, "key bigint, id bigint, mark bigint")
-
-
-def _has_neighbour(hashes: np.ndarray) -> np.ndarray:
-    """Whether each of the sorted hashes has another within the radius; equal ones do."""
-    values, place, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-    near = counts > 1
-    for at in range(0, len(values), 256):
-        close = _distance(values[at : at + 256, None], values[None]) <= RADIUS
-        near[at : at + 256] |= close.sum(axis=1) > 1
-    return near[place]
+        data = np.frombuffer(b"".join(group["data"].to_pylist()), dtype=_ENTRY)
+        data = data[np.lexsort((data["id"], data["n"], data["key"]))]
+        # The same line from several tasks is one.
+        again = (data["key"][1:] == data["key"][:-1]) & (data["id"][1:] == data["id"][:-1])
+        data = data[np.append(True, ~again)]
+        edges = np.flatnonzero(np.diff(data["key"], prepend=~data["key"][:1], append=~data["key"][-1:]))
+        sizes = np.diff(edges)
+        near = np.zeros(len(data), dtype=bool)
+        for a, b in zip(edges[:-1][sizes > 1].tolist(), edges[1:][sizes > 1].tolist(), strict=True):
+            near[a:b] = _has_neighbour(data[a:b])
+        data = data[near]
+        mark = [pa.array(data["n"].astype(np.int32)), *(pa.array(data[c].view(np.int64)) for c in ("s0", "s1"))]
+        mark = pa.StructArray.from_arrays(mark, ["n", "s0", "s1"])
+        return pa.table({"key": pa.array(data["key"].view(np.int64)), "id": pa.array(data["id"]), "mark": mark})
+
+    packed = lines.select("id", "norm").mapInArrow(pack, "fragment int, data binary")
+    return packed.groupBy("fragment").applyInArrow(find, f"key bigint, id bigint, mark {_MARK}")
+
+
+def _has_neighbour(data: np.ndarray) -> np.ndarray:
+    """Whether each of some entries, sorted by length, has another of fitting length and sketch."""
+    n = data["n"].astype(np.int64)
+    s0, s1 = (np.ascontiguousarray(data[c]) for c in ("s0", "s1"))
+    most = np.floor((1 - SIMILARITY) * n + 1e-9)
+    from_ = np.searchsorted(n, n - most)
+    near = np.zeros(len(data), dtype=bool)
+    for at in range(0, len(data), 256):
+        end = min(at + 256, len(data))
+        # Each is compared with those before it that are long enough; both of a near pair are marked.
+        low = int(from_[at:end].min())
+        differ = np.zeros((end - at, end - low), dtype=np.uint8)
+        for s in (s0, s1):
+            x = s[at:end, None] ^ s[None, low:end]
+            differ += np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(_EVEN_BITS))
+        place = np.arange(low, end)
+        pair = (differ <= _APART) & (place[None] >= from_[at:end, None]) & (place[None] < np.arange(at, end)[:, None])
+        near[at:end] |= pair.any(axis=1)
+        near[low:end] |= pair.any(axis=0)
+    return near
 
 
 def _fetched(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -156,18 +210,46 @@ def _fetched(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _near(a: Column, b: Column) -> Column:
-    return F.bit_count(a.bitwiseXOR(b)) <= RADIUS
+    """Whether two marks leave room for an edit similarity of ``SIMILARITY``."""
+    differ = F.lit(0)
+    for c in ("s0", "s1"):
+        x = a[c].bitwiseXOR(b[c])
+        differ = differ + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(_EVEN_BITS)))
+    return (differ <= _APART) & (F.greatest(a["n"], b["n"]) - F.least(a["n"], b["n"]) <= _most(a["n"], b["n"]))
+
+
+def _most(a: Column, b: Column) -> Column:
+    """The most edits between two similar lines of these lengths."""
+    return F.floor((1 - F.lit(SIMILARITY)) * F.greatest(a, b) + 1e-9).cast("int")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    a = texts.select(F.col("id").alias("a"), F.col("norm").alias("norm_a"), F.col("simhash").alias("hash_a"))
-    b = texts.select(F.col("id").alias("b"), F.col("norm").alias("norm_b"), F.col("simhash").alias("hash_b"))
-    longer = F.greatest(F.length("norm_a"), F.length("norm_b"))
-    shorter = F.least(F.length("norm_a"), F.length("norm_b"))
-    most = F.floor((1 - F.lit(SIMILARITY)) * longer + 1e-9).cast("int")
-    near = _near(F.col("hash_a"), F.col("hash_b"))
-    both = pairs.join(a, "a").join(b, "b").where(near & (longer - shorter <= most))
-    return both.where(F.call_function("levenshtein", "norm_a", "norm_b", most) >= 0).select("a", "b")
+    a, b = (texts.select(F.col("id").alias(x), F.col("norm").alias(f"norm_{x}"), F.col("marks").alias(f"marks_{x}")) for x in "ab")
+    both = pairs.join(a, "a").join(b, "b")
+    # A family's marks meet only each other.
+    near = F.lit(False)
+    for family in range(2):
+        mark_a, mark_b = (F.get(f"marks_{x}", F.lit(family)) for x in "ab")
+        near = near | F.coalesce(_near(mark_a, mark_b), F.lit(False))
+    most = _most(F.length("norm_a"), F.length("norm_b"))
+    return both.where(near).where(F.call_function("levenshtein", "norm_a", "norm_b", most) >= 0).select("a", "b")
+
+
+def _marked(texts: DataFrame) -> DataFrame:
+    """id, norm and marks (by words, and by characters where there are such keys)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            norms = batch.column("norm").to_pylist()
+            marks: list[list[dict]] = [[] for _ in norms]
+            for part in words.batches(norms, 1 << 18):
+                for at, hashes in _families(norms[part]):
+                    for i, (s0, s1) in zip((at + part.start).tolist(), sketches(hashes).view(np.int64).tolist(), strict=True):
+                        marks[i].append({"n": len(norms[i]), "s0": s0, "s1": s1})
+            kind = pa.list_(pa.struct([("n", pa.int32()), ("s0", pa.int64()), ("s1", pa.int64())]))
+            yield pa.record_batch([batch.column("id"), batch.column("norm"), pa.array(marks, kind)], names=["id", "norm", "marks"])
+
+    return texts.select("id", "norm").mapInArrow(run, f"id bigint, norm string, marks array<{_MARK}>")
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
@@ -175,23 +257,18 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have no lines that take part. Rows with the same doc_id are one document.
     """
-    spark = docs.sparkSession
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    hashed = lines_of(docs).mapInArrow(_with_simhash, f"id bigint, doc_id {kind}, line int, simhash bigint")
     distinct = written(
-        hashed.groupBy("id").agg(
-            F.min(F.struct("doc_id", "line")).alias("first"),
-            F.count("*").alias("n"),
-            F.first("simhash").alias("simhash"),
-        ),
+        lines_of(docs)
+        .groupBy("id")
+        .agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")),
         "lines",
     )
     lines = distinct.count()
-    # A fragment gets ten keys of each line: some 2 million of them, 32 MB.
-    near = near_members(distinct, fragments=max(8, lines // 200_000))
+    # A fragment gets some 20 keys of 36 bytes for each of its lines: some 2 million of them, 72 MB.
+    near = near_members(lines_of(docs).select("id", "norm"), fragments=max(8, lines * 20 // 2_000_000))
     members = written(near.withColumn("rank", F.lit(0)), "near-lines")
     ids = members.select("id").distinct()
-    texts = written(_fetched(docs, ids).join(distinct.select("id", "simhash"), "id"), "line-texts")
+    texts = written(_marked(_fetched(docs, ids)), "line-texts")
     labels = link(members, lambda pairs: _confirmed(pairs, texts), alike=_near)
     grouped = distinct.join(labels, "id", "left").withColumn("group", F.coalesce("component", "id"))
     kept = grouped.where(F.col("component").isNotNull()).groupBy("group").agg(F.min("first").alias("kept"))
