@@ -1,8 +1,8 @@
 """Line dedup: lines that are the same up to small edits stay once.
 
 A line's normal form is lower case, every digit a 0, and one space for each run of anything else
-than letters and digits. Lines of fewer than ``MIN_WORDS`` words carry no passage and are left
-alone. Two normal forms are linked if their edit similarity, 1 - Levenshtein distance / longer
+than letters and digits. Every line takes part whose normal form is not empty, however short. Two
+normal forms are linked if their edit similarity, 1 - Levenshtein distance / longer
 length, is at least ``SIMILARITY``. Of each connected group the first occurrence stays, in the
 order of document id and line number.
 
@@ -37,7 +37,6 @@ from lapsewise.llm.components import link
 from lapsewise.llm.store import written
 from lapsewise.llm.urls import bloom_filter, possible_hits
 
-MIN_WORDS = 5
 SIMILARITY = 0.8
 #: 16 Mbit: some 10 bits for each of 1.6 million lines; with more, more lines are fetched in vain.
 _BLOCKS = 1 << 16
@@ -68,7 +67,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, line (from 0), norm and id (its hash) of the lines that take part."""
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
     lines = lines.select("doc_id", "line", normal_form(F.col("raw")).alias("norm"))
-    return lines.where(F.size(F.split("norm", " ")) >= MIN_WORDS).withColumn("id", F.xxhash64("norm"))
+    return lines.where("norm <> ''").withColumn("id", F.xxhash64("norm"))
 
 
 def _min_hashes(features: np.ndarray, weights: np.ndarray, first: np.ndarray) -> np.ndarray:

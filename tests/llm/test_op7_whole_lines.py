@@ -24,3 +24,18 @@ def test_lines_with_a_changed_word_are_found(make):
     assert len(near) >= 150
     got = {r.doc_id for r in line_dedup.repeated_lines(make(docs)).collect()}
     assert got <= near and len(got) >= 0.98 * len(near)
+
+
+def test_short_lines_and_scripts_without_spaces_take_part(make):
+    docs = [
+        (1, "All rights reserved\nx"),
+        (2, "all rights reserved.\ny"),
+        (3, "天地玄黄宇宙洪荒日月盈昃辰宿列张\n!!\n"),
+        (4, "天地玄黄宇宙洪荒日月盈昃辰宿列张。"),
+        (5, "天地玄黄宇宙洪荒日月盈昃辰宿列開\n!!\n"),
+        (6, "X\n--"),
+    ]
+    got = {(r.doc_id, r.line) for r in line_dedup.repeated_lines(make(docs)).collect()}
+    assert got == {(2, 0), (4, 0), (5, 0), (6, 0)}
+    kept = {r.doc_id for r in line_dedup.dedup_lines(make(docs)).collect()}
+    assert kept == {1, 2, 3, 5, 6}
