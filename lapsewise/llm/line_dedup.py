@@ -64,9 +64,10 @@ def normal_form(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, line (from 0), norm and id (its hash) of the lines that take part."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    lines = lines.select("doc_id", "line", normal_form(F.col("raw")).alias("norm"))
+    """doc_id, row (a hash of the whole text), line (from 0), norm and id (its hash) of the lines that take part."""
+    rows = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
+    lines = rows.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
+    lines = lines.select("doc_id", "row", "line", normal_form(F.col("raw")).alias("norm"))
     return lines.where("norm <> ''").withColumn("id", F.xxhash64("norm"))
 
 
@@ -252,14 +253,15 @@ def _marked(texts: DataFrame) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """doc_id and line of every line that repeats an earlier one, exactly or nearly.
+    """doc_id, row and line of every line that repeats an earlier one, exactly or nearly.
 
-    Null and empty texts have no lines that take part. Rows with the same doc_id are one document.
+    Null and empty texts have no lines that take part. Rows with the same doc_id and text are one
+    document; those with the same doc_id, or none, and different texts are not.
     """
     distinct = written(
         lines_of(docs)
         .groupBy("id")
-        .agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")),
+        .agg(F.min(F.struct("doc_id", "line", "row")).alias("first"), F.count("*").alias("n")),
         "lines",
     )
     lines = distinct.count()
@@ -278,17 +280,18 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         "decided-lines",
     )
     occurrences = possible_hits(
-        lines_of(docs).select("doc_id", "line", "id"), bloom_filter(decided, "id", _BLOCKS), "id", _BLOCKS
+        lines_of(docs).select("doc_id", "row", "line", "id"), bloom_filter(decided, "id", _BLOCKS), "id", _BLOCKS
     )
-    here = F.struct("doc_id", "line")
-    return occurrences.join(decided, "id").where(~here.eqNullSafe(F.col("kept"))).select("doc_id", "line").distinct()
+    here = F.struct("doc_id", "line", "row")
+    return occurrences.join(decided, "id").where(~here.eqNullSafe(F.col("kept"))).select("doc_id", "row", "line").distinct()
 
 
 def mark_repeats(docs: DataFrame) -> DataFrame:
     """All rows of ``docs`` with ``removed``, the numbers of their repeated lines (null if none),
     and ``left``, the text without those lines."""
-    gone = repeated_lines(docs).groupBy(F.col("doc_id").alias("__id")).agg(F.sort_array(F.collect_list("line")).alias("removed"))
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"]), "left").drop("__id")
+    gone = repeated_lines(docs).groupBy(F.col("doc_id").alias("__id"), F.col("row").alias("__row")).agg(F.sort_array(F.collect_list("line")).alias("removed"))
+    same = docs["doc_id"].eqNullSafe(gone["__id"]) & (F.xxhash64(docs["text"]) == gone["__row"])
+    joined = docs.join(gone, same, "left").drop("__id", "__row")
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("removed", i))
     left = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return joined.withColumn("left", left)

@@ -39,3 +39,11 @@ def test_short_lines_and_scripts_without_spaces_take_part(make):
     assert got == {(2, 0), (4, 0), (5, 0), (6, 0)}
     kept = {r.doc_id for r in line_dedup.dedup_lines(make(docs)).collect()}
     assert kept == {1, 2, 3, 5, 6}
+
+
+def test_rows_that_share_an_id_lose_only_their_own_lines(make):
+    a, b, c = "the first line has six words", "another one of entirely different kind", "nothing here was said before now"
+    for i in (None, 7):
+        docs = make([(i, f"{a}\n{b}"), (i, f"{c}\n{a}")])
+        left = [r.left for r in line_dedup.mark_repeats(docs).collect()]
+        assert sorted(left) == sorted([f"{a}\n{b}", c])
