@@ -34,8 +34,6 @@ from lapsewise.llm.language import logistic
 
 #: Labelled documents that the lexicon and the regression are fitted on, at most.
 TRAINING_ROWS = 20_000
-#: Candidates for the lexicon, at most: those in the most contexts.
-LEXICON_ROWS = 20_000
 STEMS = (8, 7, 6, 5, 4, 3)
 
 #: Words that the grammar knows beside what it learns.
@@ -185,7 +183,6 @@ def train_model(
     sample: DataFrame,
     min_contexts: int = 5,
     min_ratio: float = 20.0,
-    lexicon_rows: int = LEXICON_ROWS,
 ) -> ToxicityModel:
     """Lexicon and regression of a bounded ``sample`` (text, toxic).
 
@@ -211,8 +208,6 @@ def train_model(
         .groupBy("entry")
         .count()
         .where(F.col("count") >= min_contexts)
-        .orderBy(F.desc("count"), "entry")
-        .limit(lexicon_rows)
     )
     wanted = sc.broadcast({r.entry for r in candidates.toLocalIterator()})
 
