@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import decontamination, jaccard, language, line_dedup, pieces, token_counts, token_output, toxicity
+from lapsewise.llm import decontamination, jaccard, language, line_dedup, periodic, pieces, token_counts, token_output, toxicity
 from lapsewise.llm.store import new_folder
 from lapsewise.llm.topk import top_k
 from lapsewise.llm.urls import filter_urls
@@ -116,6 +118,36 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeating_tail(doc_id: object, n: int) -> np.ndarray | None:
+    """Which words op13 takes of a document's n: every tenth document's tail repeats its beginning."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    at = np.arange(n)
+    at[a:] = a + (at[a:] - a) % (1 + (n - a) // (3 + g % 8))
+    return at
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.mark_runs(table(spark, sf_dir, "documents"), pick=repeating_tail)
+    first = F.aggregate(
+        F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))),
+        F.get("runs", 0),
+        lambda best, r: F.when(r["length"] > best["length"], r).otherwise(best),
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("longest", first).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[F.col("longest")[name].alias(name) for name in ("start", "length", "period")],
+        F.expr("1000 * longest.length DIV longest.period").alias("exponent_milli"),
+        F.sha2(F.encode(F.array_join(lines, ""), "UTF-8"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_token_counts, op2_benchmark_decontamination, op3_ngram_jaccard, op4_url_filters, op5_token_id_output, op6_sentencepiece, op7_line_dedup, op8_exact_top_k, op9_language_id, op10_toxicity)
+    q.__name__: q for q in (op1_token_counts, op2_benchmark_decontamination, op3_ngram_jaccard, op4_url_filters, op5_token_id_output, op6_sentencepiece, op7_line_dedup, op8_exact_top_k, op9_language_id, op10_toxicity, op13_periodic_runs)
 }
