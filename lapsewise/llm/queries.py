@@ -6,11 +6,11 @@ import zlib
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import decontamination, jaccard, language, line_dedup, periodic, pieces, token_counts, token_output, toxicity
-from lapsewise.llm.store import new_folder
+from lapsewise.llm import decontamination, jaccard, language, line_dedup, mixing, periodic, pieces, spelling, token_counts, token_output, toxicity
+from lapsewise.llm.store import new_folder, written
 from lapsewise.llm.topk import top_k
 from lapsewise.llm.urls import filter_urls
 
@@ -118,6 +118,38 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def letter_dropped(doc_id: Column, word: Column) -> Column:
+    """op11's misspellings: one in 199 words of a document loses a letter. Without an id, none does."""
+    h = F.crc32(F.concat(doc_id.cast("string"), F.lit(":"), word).cast("binary"))
+    at = (h % F.length(word)).cast("int")
+    return F.when(h % 199 == 0, F.concat(F.substring(word, 1, at), F.substring(word, at + 2, F.length(word)))).otherwise(word)
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(table(spark, sf_dir, "documents"), change=letter_dropped)
+    return spelling.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+#: The curriculum. The schedules' integrals are the weights 5, 2 and 1.
+SCHEDULES = (
+    mixing.Schedule(((0.0, 7.0), (1.0, 3.0))),
+    mixing.Schedule(((0.0, 2.0), (1.0, 2.0))),
+    mixing.Schedule(((0.0, 0.5), (0.5, 0.5), (1.0, 2.5))),
+)
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan, order = mixing.mix(table(spark, sf_dir, "documents"), SCHEDULES)
+    order = written(order, "training-order")
+    # What the written order holds of each document, and 0 for those that it doesn't hold.
+    digest = ["doc_id", "size", "source_size", "target"]
+    rows = plan.select("source_no", "place", *digest, F.lit(0).cast("bigint").alias("words"))
+    empty = [F.lit(None).cast(plan.schema[c].dataType).alias(c) for c in digest]
+    rows = rows.unionAll(order.select("source_no", "place", *empty, F.col("size").alias("words")))
+    firsts = [F.max(c).alias(c) for c in digest]
+    return rows.groupBy("source_no", "place").agg(*firsts, F.sum("words").alias("taken")).select(*digest, "taken")
+
+
 def repeating_tail(doc_id: object, n: int) -> np.ndarray | None:
     """Which words op13 takes of a document's n: every tenth document's tail repeats its beginning."""
     h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
@@ -149,5 +181,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_token_counts, op2_benchmark_decontamination, op3_ngram_jaccard, op4_url_filters, op5_token_id_output, op6_sentencepiece, op7_line_dedup, op8_exact_top_k, op9_language_id, op10_toxicity, op13_periodic_runs)
+    q.__name__: q for q in (op1_token_counts, op2_benchmark_decontamination, op3_ngram_jaccard, op4_url_filters, op5_token_id_output, op6_sentencepiece, op7_line_dedup, op8_exact_top_k, op9_language_id, op10_toxicity, op11_spelling_variants, op12_mixing, op13_periodic_runs)
 }

@@ -92,4 +92,41 @@ SELECT reach.doc_id, coalesce(max(n), 0) AS n_shingles, min(other) AS component_
 FROM reach LEFT JOIN sizes ON sizes.doc_id = reach.doc_id GROUP BY reach.doc_id
 """
 
-ORACLE_SQL = {"op3_ngram_jaccard": _COMPONENTS, "op2_benchmark_decontamination": _LEAKS, "op4_url_filters": _URL, "op8_exact_top_k": _TOP_K}
+_MIX = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+         substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS key
+  FROM documents
+),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 2.0 * sum(size) AS most,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS weight
+  FROM sized GROUP BY source
+),
+levels AS (  -- from the source that fills up first: the level if all before it are full
+  SELECT *, (1.5 * sum(source_size) OVER () - coalesce(sum(most) OVER w, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0)) AS level
+  FROM sources
+  WINDOW w AS (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+goals AS (
+  SELECT source, source_size,
+         CAST(least(most, (SELECT level FROM levels WHERE most > level * weight ORDER BY most / weight, source NULLS LAST LIMIT 1) * weight) AS DOUBLE) AS target
+  FROM levels
+),
+placed AS (
+  SELECT doc_id, size, g.source_size, g.target, g.source,
+         CASE WHEN g.source_size > 0 THEN least(floor(target / g.source_size), 2) ELSE 0 END AS epochs,
+         row_number() OVER (PARTITION BY g.source ORDER BY key, doc_id NULLS FIRST, size) AS place
+  FROM sized JOIN goals g ON sized.source IS NOT DISTINCT FROM g.source
+),
+walked AS (  -- each document in turn, if it still fits
+  SELECT source, CAST(0 AS BIGINT) AS place, any_value(target - epochs * source_size) AS room, false AS part FROM placed GROUP BY source
+  UNION ALL
+  SELECT p.source, p.place, CASE WHEN p.size <= room THEN room - p.size ELSE room END, p.size > 0 AND p.size <= room
+  FROM walked w JOIN placed p ON p.source IS NOT DISTINCT FROM w.source AND p.place = w.place + 1
+)
+SELECT doc_id, size, source_size, target, CAST(size * (epochs + CAST(part AS INTEGER)) AS BIGINT) AS taken
+FROM placed p JOIN walked w ON p.source IS NOT DISTINCT FROM w.source AND p.place = w.place
+"""
+
+ORACLE_SQL = {"op3_ngram_jaccard": _COMPONENTS, "op2_benchmark_decontamination": _LEAKS, "op4_url_filters": _URL, "op8_exact_top_k": _TOP_K, "op12_mixing": _MIX}
