@@ -5,10 +5,12 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 
 from lapsewise.llm import queries, spelling
+from lapsewise.llm.sql import ORACLE_SQL
 
 CAPITALS = {c: c + 32 for c in range(65, 91)}
 
@@ -131,6 +133,14 @@ def test_query_equals_brute_force(spark, make, odd, tmp_path):
     assert dict(got.dtypes) == {"word": "string", "form": "string", "root": "string", "n": "bigint", "n_near": "bigint", "form_n": "bigint"}
 
 
+def test_given_documents_equal_sql(spark):
+    path = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet'")
+    con.execute(f"SELECT word, form, root, n, n_near, form_n FROM ({ORACLE_SQL['op11_spelling_variants']})")
+    assert as_rows(queries.op11_spelling_variants(spark, path)) == sorted(con.fetchall())
+
+
 def test_no_words(spark, make):
     assert spelling.group_variants(spelling.count_words(make([(1, None), (2, ""), (3, "rare")]))).collect() == []
     assert spelling.group_variants(spelling.count_words(make([]))).collect() == []
