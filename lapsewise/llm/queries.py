@@ -6,7 +6,7 @@ import zlib
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise.llm import decontamination, jaccard, language, line_dedup, mixing, periodic, pieces, spelling, token_counts, token_output, toxicity
@@ -118,11 +118,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def letter_dropped(doc_id: Column, word: Column) -> Column:
+def letter_dropped(doc_id: object) -> Callable[[str], str]:
     """op11's misspellings: one in 199 words of a document loses a letter. Without an id, none does."""
-    h = F.crc32(F.concat(doc_id.cast("string"), F.lit(":"), word).cast("binary"))
-    at = (h % F.length(word)).cast("int")
-    return F.when(h % 199 == 0, F.concat(F.substring(word, 1, at), F.substring(word, at + 2, F.length(word)))).otherwise(word)
+    begun = zlib.crc32(f"{doc_id}:".encode())
+
+    def alter(word: str) -> str:
+        h = zlib.crc32(word.encode(), begun)
+        k = h % len(word)
+        return word if h % 199 or doc_id is None else word[:k] + word[k + 1 :]
+
+    return alter
 
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,12 +21,13 @@ The sample decides how even the leaves are, never what is found: the search is e
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable, Iterator
-from operator import ne
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapsewise.llm.store import drop, written
@@ -51,6 +52,9 @@ _KINDS = 128
 _OTHERS = _KINDS - 26 - 64
 _LEAF, _BY_HASH = -1, -2
 
+#: Of a document's id: what the document makes of a word.
+Change = Callable[[object], Callable[[str], str]]
+
 
 def letter_counts(words: list[str]) -> np.ndarray:
     """One row for each word: how often it has each kind of letter."""
@@ -178,20 +182,30 @@ def _grow(trees: Trees, node: int, counts: np.ndarray, most: int, by_hash: bool)
     return leaves
 
 
-def one_letter_apart(a: str, b: str) -> bool:
-    """Is ``b`` made of ``a`` by replacing one letter by another, or by inserting one?"""
-    if len(a) == len(b):
-        return sum(map(ne, a, b)) == 1
-    k = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
-    return len(b) == len(a) + 1 and a[k:] == b[k + 1 :]
-
-
 def _presence(counts: np.ndarray) -> np.ndarray:
     """Which kinds of letters occur, two kinds to a bit: one letter more or less changes one bit at most."""
     bits = (counts[:, :64] > 0) | (counts[:, 64:] > 0)
     return np.packbits(bits, axis=1).view(np.uint64).ravel()
 
 
+def _letters(words: list[str]) -> np.ndarray:
+    """Words of one length as rows of code points."""
+    return np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), -1)
+
+
+def _replaced(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which rows differ in one letter."""
+    return (a != b).sum(axis=1) == 1
+
+
+def _inserted(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which rows of ``b`` are those of ``a`` with one letter inserted: equal up to somewhere, and then shifted."""
+    edge = np.ones((len(a), 1), bool)
+    head = np.hstack([edge, np.logical_and.accumulate(a == b[:, :-1], axis=1)])
+    tail = np.logical_and.accumulate((a == b[:, 1:])[:, ::-1], axis=1)[:, ::-1]
+    return (head & np.hstack([tail, edge])).any(axis=1)
+
+
 def near_pairs(words: list[str], points: np.ndarray, up: np.ndarray, down: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Indexes (query, point) of all words one letter apart, every word being a query with the steps it may take.
 
@@ -206,28 +220,30 @@ def near_pairs(words: list[str], points: np.ndarray, up: np.ndarray, down: np.nd
     first, size = np.zeros((2, len(trees.kind)), np.int64)
     size[[node for node, _ in leaves]] = [len(rows) for _, rows in leaves]
     first[[node for node, _ in leaves]] = np.cumsum([0, *(len(rows) for _, rows in leaves)])[:-1]
-    length, found = len(targets[0]), [np.zeros((2, 0), np.int64)]
-    for start in range(0, len(words), _QUERIES):
-        some = words[start : start + _QUERIES]
-        mine, at = letter_counts(some), np.arange(len(some))
-        bits, change = _presence(mine), np.array([2 if len(w) == length else 1 for w in some])
-        query, leaf, *_ = trees.reach(mine, at, np.zeros_like(at), up[start + at], down[start + at])
-        until = np.cumsum(size[leaf])
-        cuts = np.searchsorted(until, np.arange(_PAIRS, (until[-1] if len(until) else 0) + _PAIRS, _PAIRS))
-        for lo, hi in zip([0, *(cuts[:-1] + 1)], cuts + 1):
-            sizes = size[leaf[lo:hi]]
-            q = np.repeat(query[lo:hi], sizes)
-            place = np.repeat(first[leaf[lo:hi]] - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(q))
-            p = order[place]
-            alike = np.bitwise_count(bits[q] ^ present[p]) <= 2
-            q, p = q[alike], p[alike]
-            for k in range(0, len(q), 1 << 14):
-                x, y = q[k : k + (1 << 14)], p[k : k + (1 << 14)]
-                close = np.abs(mine[x] - counts[y]).sum(axis=1) <= change[x]
-                x, y = x[close], y[close]
-                same = [one_letter_apart(some[i], targets[j]) for i, j in zip(x.tolist(), y.tolist())]
-                keep = np.array(same, dtype=bool)
-                found.append(np.stack([x[keep] + start, points[y[keep]]]))
+    length, found, there = len(targets[0]), [np.zeros((2, 0), np.int64)], _letters(targets)
+    widths = np.array([len(w) for w in words])
+    for wide, same in ((length, _replaced), (length - 1, _inserted)):
+        queries = np.flatnonzero(widths == wide)
+        for start in range(0, len(queries), _QUERIES):
+            some = queries[start : start + _QUERIES]
+            texts = [words[i] for i in some.tolist()]
+            mine, here, at = letter_counts(texts), _letters(texts), np.arange(len(some))
+            bits = _presence(mine)
+            query, leaf, *_ = trees.reach(mine, at, np.zeros_like(at), up[some], down[some])
+            until = np.cumsum(size[leaf])
+            cuts = np.searchsorted(until, np.arange(_PAIRS, (until[-1] if len(until) else 0) + _PAIRS, _PAIRS))
+            for lo, hi in zip([0, *(cuts[:-1] + 1)], cuts + 1):
+                sizes = size[leaf[lo:hi]]
+                q = np.repeat(query[lo:hi], sizes)
+                p = order[np.repeat(first[leaf[lo:hi]] - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(q))]
+                # A letter more or less changes one bit at most: pairs too far apart in L1 go by that.
+                close = np.bitwise_count(bits[q] ^ present[p]) <= 1 + (wide == length)
+                q, p = q[close], p[close]
+                step = max(1, _PAIRS * 4 // max(1, length))
+                for k in range(0, len(q), step):
+                    x, y = q[k : k + step], p[k : k + step]
+                    keep = same(here[x], there[y])
+                    found.append(np.stack([some[x[keep]], points[y[keep]]]))
     query, point = np.concatenate(found, axis=1)
     return query, point
 
@@ -401,19 +417,43 @@ def count_words(
     docs: DataFrame,
     least_letters: int = LEAST_LETTERS,
     least_count: int = LEAST_COUNT,
-    change: Callable[[Column, Column], Column] | None = None,
+    change: Change | None = None,
 ) -> DataFrame:
     """word and n of the words of all whole texts of ``docs`` (doc_id, text) that are long and frequent enough.
 
-    Words are maximal runs of A-Z, a-z and U+00C0 to U+00FF, A-Z lower-cased; ``change`` may make another of a
-    document's id and word. A null or empty text has none. Repeated rows count each time, other columns
-    are not read.
+    Words are maximal runs of A-Z, a-z and U+00C0 to U+00FF, A-Z lower-cased; ``change`` makes of a document's id
+    what makes another, not longer one of each of its words. A null or empty text has none. Repeated rows
+    count each time, other columns are not read. Words are counted by batch before they are shuffled.
     """
-    runs = F.regexp_extract_all("text", F.lit("[A-Za-z\u00C0-\u00FF]+"), F.lit(0))
-    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    word = F.translate(F.col("run"), capitals, capitals.lower())
-    found = docs.select("doc_id", F.explode(runs).alias("run")).select("doc_id", word.alias("word"))
-    if change is not None:
-        found = found.select(change(F.col("doc_id"), F.col("word")).alias("word"))
-    found = found.where(F.length("word") >= least_letters)
-    return found.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least_count)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: dict[str, int] = {}
+            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                # Bytes beyond ASCII are no part of A-Z, so lower-casing them as they are is right.
+                text = (text.as_py() or b"").translate(_LOWER).decode("utf-8", "replace")
+                words = Counter(_RUN.findall(text))
+                alter = change(doc_id.as_py()) if change is not None else None
+                for word, n in words.items():
+                    if len(word) >= least_letters:
+                        word = alter(word) if alter is not None else word
+                        counts[word] = counts.get(word, 0) + n
+                if len(counts) >= _HELD_WORDS:
+                    yield _counted(counts, least_letters)
+                    counts = {}
+            if counts:
+                yield _counted(counts, least_letters)
+
+    found = docs.selectExpr("doc_id", "cast(text as binary) AS text").mapInArrow(run, "word string, n bigint")
+    return found.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least_count)
+
+
+def _counted(counts: dict[str, int], least_letters: int) -> pa.RecordBatch:
+    kept = {w: n for w, n in counts.items() if len(w) >= least_letters}
+    return pa.record_batch([pa.array(list(kept), pa.string()), pa.array(list(kept.values()), pa.int64())], names=["word", "n"])
+
+
+_RUN = re.compile("[a-z\u00C0-\u00FF]+")
+_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+#: Words that a task counts before it sends them on.
+_HELD_WORDS = 500_000

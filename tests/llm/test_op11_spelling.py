@@ -102,11 +102,11 @@ def _orders(letters, n):
 
 
 def test_one_letter_apart():
-    assert spelling.one_letter_apart("color", "colour") and spelling.one_letter_apart("grey", "gray")
-    assert not spelling.one_letter_apart("colour", "color")  # the shorter comes first
-    for a, b in (("abc", "abc"), ("abc", "acb"), ("abc", "abcde"), ("abcd", "xbcy")):
-        assert not spelling.one_letter_apart(a, b)
-    assert spelling.one_letter_apart("aaa", "aaaa") and spelling.one_letter_apart("", "a")
+    letters = spelling._letters
+    pairs = [("grey", "gray"), ("abc", "abc"), ("abc", "acb"), ("aaaa", "aaab"), ("字ab", "漢ab")]
+    assert [bool(spelling._replaced(letters([a]), letters([b]))[0]) for a, b in pairs] == [near(a, b) for a, b in pairs]
+    pairs = [("color", "colour"), ("aaa", "aaaa"), ("abc", "xabc"), ("abc", "abcx"), ("abc", "acbb"), ("abcd", "abxyd")]
+    assert [bool(spelling._inserted(letters([a]), letters([b]))[0]) for a, b in pairs] == [near(a, b) for a, b in pairs]
 
 
 def test_letter_counts_move_by_two_at_most():
