@@ -269,7 +269,7 @@ def _plant(words: DataFrame) -> Trees:
                 _grow(trees, node, letter_counts(some), most, by_hash=True)
             else:  # too few to choose by
                 trees.split_by_hash(node)
-        sizes = _homes(words, trees).groupBy("leaf").count().where(F.col("count") > LEAF_WORDS)
+        sizes = _homes(words, trees).where("leaf >= 0").groupBy("leaf").count().where(F.col("count") > LEAF_WORDS)
         over = dict(map(tuple, sizes.collect()))
     return trees
 

@@ -88,7 +88,8 @@ def test_leaves_hold_no_more_than_they_may(spark, monkeypatch):
     monkeypatch.setattr(spelling, "LEAF_WORDS", 50)
     monkeypatch.setattr(spelling, "SAMPLE_WORDS", 200)
     anagrams = {"".join(p) for p in _orders("aabbccd", 400)}
-    words = spark.createDataFrame([(w, 5) for w in anagrams | set(draw_vocabulary(3, 900))], "word string, n bigint")
+    rare = {"x" * k + c for k in range(20, 60) for c in "abc"}  # lengths that need no tree, more words in all than a leaf holds
+    words = spark.createDataFrame([(w, 5) for w in anagrams | rare | set(draw_vocabulary(3, 900))], "word string, n bigint")
     trees = spelling._plant(words)
     sizes = spelling._homes(words, trees).groupBy("leaf").count().where("leaf >= 0").collect()
     assert max(n for _, n in sizes) <= 50
