@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -21,11 +22,16 @@ def _mean_median(
     key: str | Sequence[str],
     amounts: Mapping[str, str],
     exact: bool,
+    buffered: bool,
     count_as: str | None = None,
 ) -> DataFrame:
-    """Mean and median per key of each column, named ``Average<suffix>``/``Median<suffix>``."""
+    """Mean and median per key of each column, named ``Average<suffix>``/``Median<suffix>``.
+
+    ``buffered`` is for a caller who knows that no key has very many rows: exact medians then come
+    from one buffer for each key.
+    """
     keys = as_names(key)
-    ways = {True: summarise, False: sketched}
+    ways = {True: partial(summarise, buffered=buffered), False: sketched}
     medians = {c: {f"Median{s}": 0.5} for c, s in amounts.items()}
     means = {c: f"Average{s}" for c, s in amounts.items()}
     wide = ways[exact](df.select(*keys, *amounts), keys, medians, means, count_as)
@@ -37,24 +43,27 @@ def prepare_assign_df(
     assign_df: DataFrame,
     key: str | Sequence[str] = "bib_id",
     exact: bool = True,
+    buffered: bool = False,
 ) -> DataFrame:
     """Mean and median amount of the loans assigned to a subscriber."""
-    return _mean_median(assign_df, key, {"loan_amount": "AssignLoanAmount"}, exact)
+    return _mean_median(assign_df, key, {"loan_amount": "AssignLoanAmount"}, exact, buffered)
 
 
 def prepare_recovery_df(
     recovery_df: DataFrame,
     key: str | Sequence[str] = "bib_id",
     exact: bool = True,
+    buffered: bool = False,
 ) -> DataFrame:
     """Mean and median *loan* amount over a subscriber's recovery rows."""
-    return _mean_median(recovery_df, key, {"loan_amount": "RecoveryLoanAmount"}, exact)
+    return _mean_median(recovery_df, key, {"loan_amount": "RecoveryLoanAmount"}, exact, buffered)
 
 
 def prepare_package_df(
     package_df: DataFrame,
     key: str | Sequence[str] = "bib_id",
     exact: bool = True,
+    buffered: bool = False,
 ) -> DataFrame:
     """Mean and median amount and duration in days of a subscriber's packages, and their
     number (rows without amount or date are counted too)."""
@@ -66,6 +75,7 @@ def prepare_package_df(
         key,
         {"offer_amount": "PackageAmount", "duration": "PackageDuration"},
         exact,
+        buffered,
         count_as="CountPackage",
     )
 
@@ -74,6 +84,7 @@ def prepare_recharge_df(
     recharge_df: DataFrame,
     key: str | Sequence[str] = "bib_id",
     exact: bool = True,
+    buffered: bool = False,
 ) -> DataFrame:
     """Mean and median recharge amount of a subscriber and the number of recharges."""
     return _mean_median(
@@ -81,6 +92,7 @@ def prepare_recharge_df(
         key,
         {"recharge_value_amt": "RechargeAmount"},
         exact,
+        buffered,
         count_as="CountRecharge",
     )
 
@@ -124,13 +136,14 @@ def prepare_data(
     as_of: dt.date | str | None = None,
     key: str | Sequence[str] = "bib_id",
     exact: bool = True,
+    buffered: bool = False,
 ) -> Features:
     """Prepare all five inputs; nothing runs until the result is used."""
     return Features(
-        None if assign_df is None else prepare_assign_df(assign_df, key, exact),
-        None if recovery_df is None else prepare_recovery_df(recovery_df, key, exact),
-        prepare_package_df(package_df, key, exact),
-        prepare_recharge_df(recharge_df, key, exact),
+        None if assign_df is None else prepare_assign_df(assign_df, key, exact, buffered),
+        None if recovery_df is None else prepare_recovery_df(recovery_df, key, exact, buffered),
+        prepare_package_df(package_df, key, exact, buffered),
+        prepare_recharge_df(recharge_df, key, exact, buffered),
         prepare_user_df(user_df, as_of, key),
     )
 

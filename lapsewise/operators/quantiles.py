@@ -3,16 +3,20 @@
 Spark's ``percentile`` keeps every distinct value of a group in one buffer, which a group that
 holds a third of the table does not fit. Here no task sees a group:
 
-1. Rows are counted per (group, column, value). That shuffle is keyed on the value too, so a hot
-   group is spread over all tasks, and equal values combine on the map side.
-2. Those counts are added up per bucket, an order-preserving function of the value alone (a
-   1024th of a power of two). A group's bucket counts, in order, show which buckets contain a
-   wanted rank.
-3. The counts of those buckets are joined to them and, in the order of their values, give the
-   values at the wanted ranks. What one task sorts is one bucket of one group.
-
-The source is read once; steps 2 and 3 read the same shuffle. Means and numbers of rows come from
-the same counts. A caller who knows that no group is large may ask for one buffer per group
+1. Rows are dealt once, by group and shard. The shard is the input partition's number modulo ``SHARDS``,
+   so a hot group, and a hot value of it, is spread over so many parts.
+2. Each part is sorted and keeps at most ``POINTS`` of its values, evenly spaced by rank, with the
+   number of rows that each stands for.
+3. A group's kept values, in order, bound every wanted rank from both sides: rows up to a kept value
+   are at least those that the values up to it stand for, and at most so many more as one space of
+   each part. Where all parts kept all their values (as a rule, groups of up to ten thousand
+   rows) both bounds are the value sought, and the group is done.
+4. For the others the bounds go back to the parts, which count what is below them and send what is
+   between them: at most two rows in ``POINTS`` for each wanted rank. The value sought is among these.
+
+So rows are shuffled once, and what follows is bounded by ``SHARDS * POINTS`` for each group and by a
+small share of its rows. The source is read once; steps 2 and 4 read the same shuffle. Means and numbers of
+rows come along. A caller who knows that no group is large may ask for one buffer per group
 (``buffered``); nothing is measured to choose between the two.
 """
 
@@ -21,87 +25,121 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lapsewise.operators.skew import as_names
 
-_BUCKETS_PER_OCTAVE = 1024
-_OFFSET = 1_300_000  # keeps the magnitude part of a bucket positive for every double
-_SPECIAL = 5_000_000  # beyond every finite bucket
-_NULL = -6_000_000  # below all: null values have no rank
+#: Parts that a group is dealt over, and values that each part keeps.
+SHARDS = 512
+POINTS = 8192
 
 
-def _bucket(v: Column) -> Column:
-    size = F.floor(F.log2(F.abs(v)) * _BUCKETS_PER_OCTAVE) + F.lit(_OFFSET)
-    inf = F.lit(float("inf"))
-    return (
-        F.when(F.isnan(v), F.lit(_SPECIAL + 1))
-        .when(v == inf, F.lit(_SPECIAL))
-        .when(v == -inf, F.lit(-_SPECIAL))
-        .when(v == 0, F.lit(0))
-        .when(v > 0, size)
-        .otherwise(-size)
-    ).cast("long")
+def _dealt(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows (``__g``, ``__shard``, ``__v``), one for each row and column, dealt by the first two.
 
-
-def _position(p: float) -> Column:
-    return F.lit(float(p)) * (F.col("__n") - 1)
-
-
-def _holds_a_rank(probs: Sequence[float]) -> Column:
-    """Does the rank interval [__until - __rows, __until) contain a wanted rank?"""
-    start, until = F.col("__until") - F.col("__rows"), F.col("__until")
-    wanted = F.lit(False)
-    for p in probs:
-        for rank in (F.floor(_position(p)), F.ceil(_position(p))):
-            wanted = wanted | ((rank >= start) & (rank < until))
-    return wanted
+    ``__g`` is one struct of the key (``k0``, ``k1``, ...) and the column's number ``c``; it is never null,
+    so plain equality joins it.
+    """
+    keys = [F.col(k).alias(f"k{i}") for i, k in enumerate(by)]
+    if len(columns) == 1:
+        rows = df.select(F.struct(*keys, F.lit(0).alias("c")).alias("__g"), F.col(columns[0]).cast("double").alias("__v"))
+    else:
+        each = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])
+        rows = df.select(*keys, F.explode(each).alias("__e"))
+        rows = rows.selectExpr(f"struct({', '.join([f'k{i}' for i in range(len(by))] + ['__e.c AS c'])}) AS __g", "__e.v AS __v")
+    # A small group's rows stay together where they lie together; all rows as one group are dealt by
+    # value too. The shard is said to be never null, or a join would put a null test below
+    # the shuffle, which then could not be used again.
+    salt = "spark_partition_id()" if by else "xxhash64(__v, spark_partition_id())"
+    shard = f"coalesce(cast(pmod({salt}, {SHARDS}) AS int), 0) AS __shard"
+    return rows.selectExpr("*", shard).repartition("__g", "__shard")
+
+
+def _kept(dealt: DataFrame) -> DataFrame:
+    """The evenly spaced values of each part with the number of rows that they stand for (``__w``).
+
+    ``__last`` of a part's last one: its number of rows, sum, smallest value and widest space less one. It
+    is an array, as all its uses then read one column and so share one shuffle.
+    """
+    # A number first: what is sorted by a struct first compares field by field.
+    part = "OVER (PARTITION BY __p, __g, __shard"
+    rows = dealt.selectExpr("*", "xxhash64(__g, __shard) AS __p").selectExpr(
+        "__g",
+        "__v",
+        f"cast(row_number() {part} ORDER BY __v NULLS LAST) AS bigint) AS __r",
+        f"count(__v) {part}) AS __m",
+        f"array(cast(count(1) {part}) AS double), sum(__v) {part}), min(__v) {part})) AS __whole",
+    )
+    # Kept ranks are the m * j / POINTS, rounded up; all of them if there are no more. A part without
+    # values keeps one row that stands for none.
+    spaces = f"((__r - 1) * {POINTS} DIV greatest(__m, 1))"
+    rows = rows.where(f"__r <= __m AND __r * {POINTS} DIV greatest(__m, 1) > {spaces} OR __m = 0 AND __r = 1")
+    widest = f"cast(greatest((__m + {POINTS - 1}) DIV {POINTS} - 1, 0) AS double)"
+    return rows.selectExpr(
+        "__g",
+        "__v",
+        f"CASE WHEN __m = 0 THEN 0L ELSE __r - ({spaces} * __m + {POINTS - 1}) DIV {POINTS} END AS __w",
+        f"CASE WHEN __r = __m OR __m = 0 THEN concat(__whole, array({widest})) END AS __last",
+    )
 
 
-def _narrowed(
-    df: DataFrame,
-    by: Sequence[str],
-    columns: Sequence[str],
-    probs: Sequence[float],
-) -> DataFrame:
-    """Per group (``__g``) and column (``__g.__c``): the values around every wanted rank, the sums
-    and the counts.
+def _bounded(kept: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """One row per group: the keys, ``c`` and ``__b``, an array of the number of rows and of values, the sum, and for each
+    wanted rank (two for each p) the rank and the values that it lies between (null: none known).
 
-    Groups whose values are all null come back with null values. The group is one struct, which
-    is never null, so plain equality joins it and all steps share its partitioning.
+    It is an array for the same reason as above, and dealt once more, by the keys alone, so that both its
+    uses share that shuffle instead of the work before it.
     """
-    each = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)]))
-    rows = df.select(*by, each.alias("__e")).select(
-        F.struct(*by, F.col("__e.c").alias("__c")).alias("__g"), F.col("__e.v").alias("__v")
+    group = ", ".join([*keys, "c"])
+    rows = kept.selectExpr(*[f"__g.{k}" for k in keys], "__g.c", "__v", "__w", "__last")
+    rows = rows.selectExpr(
+        *keys,
+        "c",
+        "__v",
+        "__w",
+        "__last",
+        f"sum(__w) OVER (PARTITION BY {group} ORDER BY __v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS __until",
+        f"sum(__w) OVER (PARTITION BY {group}) AS __n",
+        f"cast(sum(__last[3]) OVER (PARTITION BY {group}) AS bigint) AS __loose",
     )
-    counts = rows.groupBy("__g", "__v").agg(F.count(F.lit(1)).alias("__rows"))
-    counts = counts.withColumn(
-        "__bucket", F.when(F.col("__v").isNotNull(), _bucket(F.col("__v"))).otherwise(F.lit(_NULL))
+    parts = ["sum(__last[0])", "cast(max(__n) AS double)", "sum(__last[1])"]
+    for p in probs:
+        for rounded in ("floor", "ceil"):
+            rank = f"cast({rounded}({p}D * (__n - 1)) AS bigint)"
+            parts.append(f"cast({rounded}({p}D * (max(__n) - 1)) AS double)")
+            if p in (0.0, 1.0):
+                parts += ["min(__last[2])" if p == 0.0 else "max(__v)"] * 2
+            else:
+                parts.append(f"max(CASE WHEN __until - __w + __loose <= {rank} THEN __v END)")
+                parts.append(f"min(CASE WHEN __until > {rank} THEN __v END)")
+    grouped = rows.groupBy(*keys, "c").agg(F.expr(f"array({', '.join(parts)})").alias("__b"))
+    return grouped.repartition(*(keys or ["c"]))
+
+
+def _settled(dealt: DataFrame, bounded: DataFrame, keys: Sequence[str], n_ranks: int) -> DataFrame:
+    """Rows (keys, ``c``, ``__b``, ``s0``, ``s1``, ...): a group's row of ``bounded`` with the values that are known, and further
+    rows, without ``__b``, with those that had to be looked for. Partitioned by the keys alone."""
+    lo, hi = ([f"__b[{3 + 3 * j + at}]" for j in range(n_ranks)] for at in (1, 2))
+    wanted = ", ".join(
+        f"CASE WHEN NOT ({lo[j]} <=> {hi[j]}) THEN struct({j} AS slot, cast(__b[{3 + 3 * j}] AS bigint) AS rank, {lo[j]} AS lo, {hi[j]} AS hi) END"
+        for j in range(n_ranks)
     )
-    group = ["__g"]
-    whole = W.partitionBy(*group)
-    filled = F.when(F.col("__bucket") != _NULL, F.col("__rows"))
-    running = whole.orderBy("__bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    buckets = (
-        counts.groupBy(*group, "__bucket")
-        .agg(F.sum("__rows").alias("__rows"), F.sum(F.col("__v") * F.col("__rows")).alias("__part"))
-        .withColumns(
-            {
-                "__all": F.sum("__rows").over(whole),
-                "__n": F.coalesce(F.sum(filled).over(whole), F.lit(0)),
-                "__sum": F.sum("__part").over(whole),
-                "__until": F.sum(filled).over(running),
-            }
-        )
-        .where(_holds_a_rank(probs) | (F.col("__n") == 0))
-        .select(*group, "__bucket", "__all", "__n", "__sum", (F.col("__until") - F.col("__rows")).alias("__base"))
+    bounds = bounded.selectExpr(f"struct({', '.join([*keys, 'c'])}) AS __g", f"filter(array({wanted}), x -> x IS NOT NULL) AS __slots")
+    # A test that cannot be moved below the shuffle that both uses of ``bounded`` share.
+    bounds = bounds.where("CASE WHEN spark_partition_id() >= 0 THEN size(__slots) > 0 END").selectExpr("*", f"explode(sequence(0, {SHARDS - 1})) AS __shard")
+    near = dealt.join(bounds, ["__g", "__shard"]).selectExpr("__g", "__shard", "__v", "explode(__slots) AS __s")
+    # Put so that no null test is drawn from it. What lies below the bounds is only counted, under no value.
+    near = near.where("coalesce(__v <= __s.hi, false)").selectExpr(
+        "__g", "__shard", "__s.slot AS __slot", "__s.rank AS __rank", "CASE WHEN coalesce(__v >= __s.lo, true) THEN __v END AS __v"
     )
-    keys = [*group, "__bucket"]
-    found = counts.join(buckets, keys)
-    inside = W.partitionBy(*keys).orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    found = found.withColumn("__until", F.col("__base") + F.sum("__rows").over(inside))
-    return found.where(_holds_a_rank(probs) | (F.col("__n") == 0))
+    near = near.groupBy("__g", "__shard", "__slot", "__rank", "__v").agg(F.count(F.lit(1)).alias("__w"))
+    near = near.selectExpr(*[f"__g.{k}" for k in keys], "__g.c", "__slot", "__rank", "__v", "__w").repartition(*(keys or ["c"]))
+    running = f"PARTITION BY {', '.join([*keys, 'c', '__slot'])} ORDER BY __v NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    near = near.selectExpr(*keys, "c", "__slot", "__rank", "__v", "__w", f"sum(__w) OVER ({running}) AS __until")
+    near = near.where("__until > __rank AND __until - __w <= __rank")
+    found = near.selectExpr(*keys, "c", "cast(NULL AS array<double>) AS __b", *[f"CASE WHEN __slot = {j} THEN __v END AS s{j}" for j in range(n_ranks)])
+    known = bounded.selectExpr(*keys, "c", "__b", *[f"CASE WHEN {lo[j]} <=> {hi[j]} THEN {lo[j]} END AS s{j}" for j in range(n_ranks)])
+    return known.unionAll(found)
 
 
 def summarise(
@@ -132,34 +170,27 @@ def summarise(
         outputs.update({a: F.col(f"__m{i}") for i, a in enumerate(means.values())})
         picked = df.groupBy(*by).agg(*aggs).where("__all > 0")
     else:
-        found = _narrowed(df, by, columns, wanted).select(
-            "*", *[F.col("__g")[k].alias(k) for k in by], F.col("__g.__c").alias("__c")
-        )
-
-        def of(i: int, value: Column) -> Column:
-            return F.max(F.when(F.col("__c") == i, value))
+        keys = [f"k{i}" for i in range(len(by))]
+        dealt = _dealt(df, by, columns)
+        found = _settled(dealt, _bounded(_kept(dealt), keys, wanted), keys, 2 * len(wanted))
 
-        def at(i: int, rank: Column) -> Column:
-            start = F.col("__until") - F.col("__rows")
-            return of(i, F.when((rank >= start) & (rank < F.col("__until")), F.col("__v")))
+        def of(i: int, value: str) -> str:
+            return f"max(CASE WHEN c = {i} THEN {value} END)"
 
-        aggs = [F.max("__all").alias("__all"), of(0, F.col("__n")).alias("__n")]
+        aggs = ["cast(max(__b[0]) AS bigint) AS __all", f"cast({of(0, '__b[1]')} AS bigint) AS __n"]
         for i, name in enumerate(columns):
-            aggs.append(of(i, F.col("__n")).alias(f"__n{i}"))
-            aggs.append(of(i, F.col("__sum") / F.nullif(F.col("__n"), F.lit(0))).alias(f"__m{i}"))
-            for j, p in enumerate(wanted):
-                aggs.append(at(i, F.floor(_position(p))).alias(f"__lo{i}_{j}"))
-                aggs.append(at(i, F.ceil(_position(p))).alias(f"__hi{i}_{j}"))
+            aggs.append(f"{of(i, '__b[2]')} / nullif({of(i, '__b[1]')}, 0D) AS __mean{i}")
             for a, p in percentiles[name].items():
-                j = wanted.index(float(p))
-                lo, hi = F.col(f"__lo{i}_{j}"), F.col(f"__hi{i}_{j}")
-                place = F.lit(float(p)) * (F.col(f"__n{i}") - 1)
-                between = (F.ceil(place) - place) * lo + (place - F.floor(place)) * hi
-                outputs[a] = F.when(lo.eqNullSafe(hi), lo).otherwise(between)
-        outputs.update({a: F.col(f"__m{columns.index(name)}") for name, a in means.items()})
-        picked = found.groupBy(*by).agg(*aggs)
+                j = 2 * wanted.index(float(p))
+                place, lo, hi = f"({float(p)}D * ({of(i, '__b[1]')} - 1))", of(i, f"s{j}"), of(i, f"s{j + 1}")
+                value = f"CASE WHEN {lo} <=> {hi} THEN {lo} ELSE (ceil({place}) - {place}) * {lo} + ({place} - floor({place})) * {hi} END"
+                outputs[a] = F.col(f"__p{len(outputs)}")
+                aggs.append(f"{value} AS __p{len(outputs) - 1}")
+        outputs.update({a: F.col(f"__mean{columns.index(name)}") for name, a in means.items()})
+        picked = found.groupBy(*keys).agg(*[F.expr(x) for x in aggs])
         if not by:
             picked = picked.where("__all IS NOT NULL")
+        picked = picked.withColumnsRenamed(dict(zip(keys, by)))
     extra = [(count_as, "__all"), (values_as, "__n")]
     return picked.select(
         *by, *[F.col(c).alias(a) for a, c in extra if a], *[c.alias(a) for a, c in outputs.items()]

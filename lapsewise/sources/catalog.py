@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import NamedTuple
-from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from lapsewise.sources.manifest import read_manifest
 from lapsewise.sources.schemas import schema_for
 
 CORRUPT_TEXT = "_corrupt_record"
@@ -42,6 +44,10 @@ class Catalog:
     Months are opaque text in the order of ``months``; the position in that list is the
     period number, and the month after is the next entry. A path is a template with
     ``{month}`` in it, below ``base`` if that is given.
+
+    A Parquet template that ends in a folder like ``month={month}`` makes a partitioned table: all
+    its months are one table, which is found and pruned by that column and stored in one job. Any
+    other template is a folder for each month.
     """
 
     spark: SparkSession
@@ -90,26 +96,39 @@ class Catalog:
             raise ValueError(f"no month follows {month!r}")
         return self.months[following]
 
+    def partitioned(self, key: str) -> tuple[str, str] | None:
+        """Root folder and partition column of a partitioned table, else nothing."""
+        found = re.fullmatch(r"(?:(.*)/)?([^/{}=]+)=\{month\}/*", self.parquet_paths.get(key, ""))
+        if not found:
+            return None
+        return self._path({key: found[1] or "."}, key, ""), found[2]
+
     def _stored(self, key: str, months: Sequence[str]) -> DataFrame:
-        """One scan of the folders of some months; which month a row is of is read off its file's
-        path, as text, as ``month``."""
+        """The rows of some months, ``month`` being text as it is in the list of months.
+
+        A partitioned table is one scan of its root, and Spark opens only files of the months wanted.
+        Otherwise it is a scan for each month's folder, so no row's month hangs on how a path is written.
+        """
         # Explicit layout: no footer is read to find it, and a folder without rows is an empty
         # table.
         layout = StructType(list(schema_for(key).fields)).add(CORRUPT_TEXT, StringType())
-        folders = {m: self.parquet_path(key, m) for m in months}
-        rows = self.spark.read.schema(layout).parquet(*folders.values())
-        month = F.lit(None).cast("string")
-        for m, folder in folders.items():
-            place = quote(folder.rstrip("/"), safe="/:=") + "/"
-            month = F.when(F.col("_metadata.file_path").contains(place), m).otherwise(month)
-        return rows.withColumn("month", month)
+        table = self.partitioned(key)
+        if table is None:
+            each = [self.spark.read.schema(layout).parquet(self.parquet_path(key, m)).withColumn("month", F.lit(m)) for m in months]
+            return reduce(DataFrame.unionAll, each)
+        root, column = table
+        # What a month left behind before it became empty is no longer part of it.
+        known = read_manifest(self.spark, root)
+        wanted = [m for m in months if m not in known or known[m]["rows"] + known[m]["quarantined"]]
+        # Without the type given here, a month like "01" would be found as a number.
+        rows = self.spark.read.schema(layout.add(column, StringType())).parquet(root)
+        return rows.where(F.col(column).isin(wanted)).withColumnRenamed(column, "month")
 
     def read(self, key: str, months: str | Sequence[str] | None = None) -> DataFrame:
         """Good rows of a table. With one month as text: the table's own columns. With a list
         (or ``None``: all months) also ``month`` and its ``period`` number.
 
-        Only the folders of the wanted months are listed. Files of other writers, which know
-        no bad rows, count as good.
+        Files of other writers, which know no bad rows, count as good.
         """
         names = schema_for(key).names
         good = F.col(CORRUPT_TEXT).isNull()
@@ -117,11 +136,11 @@ class Catalog:
             self.period(months)
             return self._stored(key, [months]).where(good).select(*names)
         wanted = list(self.months if months is None else months)
-        period = F.lit(None).cast("int")
         for m in wanted:
-            period = F.when(F.col("month") == m, self.period(m)).otherwise(period)
+            self.period(m)
+        period = F.array_position(F.array(*[F.lit(m) for m in self.months]), F.col("month")) - 1
         rows = self._stored(key, wanted).where(good)
-        return rows.select(*names, "month", period.alias("period"))
+        return rows.select(*names, "month", period.cast("int").alias("period"))
 
     def quarantine(self, key: str, months: Sequence[str] | None = None) -> DataFrame:
         """Rows that did not fit the layout: ``month`` and the line as it was read."""

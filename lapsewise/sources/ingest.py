@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lapsewise.sources.catalog import CORRUPT_TEXT, Catalog
+from lapsewise.sources.manifest import clear_months, update_manifest
 from lapsewise.sources.schemas import schema_for
 
 
@@ -88,6 +91,46 @@ def ingest_month(
     return IngestCount(key, month, seen.get["rows"] - seen.get["bad"], seen.get["bad"])
 
 
+def ingest_table(
+    catalog: Catalog, key: str, months: Sequence[str], aliases: Mapping[str, str] | None = None
+) -> list[IngestCount]:
+    """Read, check and store some months of a partitioned table in one job.
+
+    Partitions that get rows are replaced, others are left alone; months that brought none are noted
+    in the table's manifest and cleared. If a month's extract is missing or has a wrong header,
+    nothing is stored. One pass over the text and no shuffle.
+    """
+    root, column = catalog.partitioned(key)
+    extracts = []
+    for month in months:
+        rows = read_csv(catalog, key, month, aliases)
+        validate_schema(rows.drop(CORRUPT_TEXT), schema_for(key))
+        extracts.append(rows.withColumn(column, F.lit(month)))
+    seen, each = Observation(key), []
+    for i, month in enumerate(months):
+        here = F.col(column) == month
+        each += [F.count(F.when(here, 1)).alias(f"rows{i}"), F.count(F.when(here, F.col(CORRUPT_TEXT))).alias(f"bad{i}")]
+    counted = reduce(DataFrame.unionAll, extracts).observe(seen, *each)
+    counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(root)
+    found = seen.get
+    counts = [IngestCount(key, m, found[f"rows{i}"] - found[f"bad{i}"], found[f"bad{i}"]) for i, m in enumerate(months)]
+    update_manifest(catalog.spark, root, {c.month: {"rows": c.rows, "quarantined": c.quarantined} for c in counts})
+    clear_months(catalog.spark, root, column, {c.month for c in counts if not c.rows + c.quarantined})
+    return counts
+
+
+@contextmanager
+def _unsorted_partitions(spark: SparkSession, most: int) -> Iterator[None]:
+    """A task may keep ``most`` partitions' files open, instead of sorting its rows by partition."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def ingest(
     catalog: Catalog,
     keys: Sequence[str] | None = None,
@@ -95,24 +138,31 @@ def ingest(
     aliases: Mapping[str, Mapping[str, str]] | None = None,
     parallel: int = 4,
 ) -> list[IngestCount]:
-    """Store every wanted (table, month), each as a job of its own, ``parallel`` at a time so
-    that small tables do not wait for the last task of a large one.
+    """Store every wanted (table, month): a partitioned table in one job over all its months, any
+    other by a job for each month, ``parallel`` at a time so that small tables do not wait for
+    the last task of a large one.
 
     After a failure no further one is started and the failure is raised; what was stored
     stays, and what was not reached keeps its old state.
     """
-    wanted = [
-        (key, month)
-        for key in (catalog.keys if keys is None else keys)
-        for month in (catalog.months if months is None else months)
-    ]
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        jobs = [
-            pool.submit(ingest_month, catalog, key, month, (aliases or {}).get(key))
-            for key, month in wanted
-        ]
+    wanted = list(catalog.months if months is None else months)
+    units = []
+    for key in catalog.keys if keys is None else keys:
+        known = (aliases or {}).get(key)
+        if catalog.partitioned(key):
+            units.append((ingest_table, key, wanted, known))
+        else:
+            units += [(_one_month, key, [month], known) for month in wanted]
+    with _unsorted_partitions(catalog.spark, 8), ThreadPoolExecutor(max_workers=parallel) as pool:
+        jobs = [pool.submit(way, catalog, key, some, known) for way, key, some, known in units]
         try:
-            return [job.result() for job in jobs]
+            return [count for job in jobs for count in job.result()]
         finally:
             for job in jobs:
                 job.cancel()
+
+
+def _one_month(
+    catalog: Catalog, key: str, months: Sequence[str], aliases: Mapping[str, str] | None
+) -> list[IngestCount]:
+    return [ingest_month(catalog, key, month, aliases) for month in months]

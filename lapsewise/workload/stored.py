@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,10 +108,14 @@ def _tables(d: Domain) -> dict[str, DataFrame]:
 
 
 def extracts(d: Domain, wanted: Mapping[str, Sequence[str]]) -> Catalog:
-    """The wanted months of the wanted tables, written and taken in."""
+    """The wanted months of the wanted tables, written and taken in, one job a table for each."""
     catalog, tables = _catalog(d.spark, list(wanted)), _tables(d)
-    for key, months in wanted.items():
-        rows = tables[key]
-        _write_extracts(catalog, key, rows.where(F.col("month").cast("string").isin(*months)))
-        ingest(catalog, [key], months)
+
+    def write(key: str) -> None:
+        _write_extracts(catalog, key, tables[key].where(F.col("month").cast("string").isin(*wanted[key])))
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(write, wanted))
+    for months in dict.fromkeys(map(tuple, wanted.values())):
+        ingest(catalog, [key for key in wanted if tuple(wanted[key]) == months], months)
     return catalog

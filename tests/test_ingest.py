@@ -1,11 +1,18 @@
 """CSV extracts in temporary folders: headers, bad rows, re-ingest, reading back."""
 
+import contextlib
+import dataclasses
 import datetime as dt
+import io
+import os
+import re
 
 import pytest
 
 from lapsewise import plans
 from lapsewise.sources import SCHEMAS, Catalog, check_header, ingest, read_csv, schema_for, validate_schema
+from lapsewise.sources.ingest import ingest_table
+from lapsewise.sources.manifest import read_manifest, update_manifest
 
 RECHARGE = schema_for("recharge").names
 GOOD = "a,20240101,f,n,12.5,20240105 10:00:00,host,1.0,13.5"
@@ -161,3 +168,127 @@ def test_label_and_training_table_from_storage(catalog):
     assert rows["b"]["CountRecharge"] == 1 and rows["b"]["gender_v"] is None
     # The loan tables are not even looked for when they are not wanted.
     assert len(plans.generate_dataset(catalog, "02", label).columns) == 16
+
+
+# --- partitioned tables ----------------------------------------------------------------------
+
+
+def _partitioned(spark, base, months=("01", "02", "03")):
+    return Catalog(
+        spark,
+        ["recharge"],
+        list(months),
+        csv_paths={k: f"csv/{k}_{{month}}.csv" for k in SCHEMAS},
+        parquet_paths={k: f"parquet/{k}/month={{month}}" for k in SCHEMAS},
+        base=str(base),
+    )
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    (tmp_path / "csv").mkdir()
+    return _partitioned(spark, tmp_path)
+
+
+def _months(catalog):
+    return {r["month"]: r["count"] for r in catalog.read("recharge").groupBy("month").count().collect()}
+
+
+def test_partitioned_months_stay_text(table):
+    _put(table, "recharge", "01", [GOOD, "z,1"])
+    _put(table, "recharge", "02", [GOOD, GOOD])
+    _put(table, "recharge", "03", [])
+    counts = ingest(table)
+    assert [tuple(c) for c in counts] == [("recharge", "01", 1, 1), ("recharge", "02", 2, 0), ("recharge", "03", 0, 0)]
+    assert {(r["month"], r["period"]) for r in table.read("recharge").collect()} == {("01", 0), ("02", 1)}
+    assert table.read("recharge", "01").columns == RECHARGE and table.read("recharge", "03").count() == 0
+    assert [tuple(r) for r in table.quarantine("recharge").collect()] == [("01", "z,1")]
+
+
+def test_a_month_that_became_empty_is_cleared(table, tmp_path):
+    for month in table.months:
+        _put(table, "recharge", month, [GOOD] * 3)
+    ingest(table)
+    _put(table, "recharge", "02", [])
+    _put(table, "recharge", "03", [GOOD])
+    ingest(table, months=["02", "03"])
+    assert _months(table) == {"01": 3, "03": 1}
+    assert not (tmp_path / "parquet/recharge/month=02").exists()
+
+
+def test_an_empty_month_does_not_come_back_from_its_folder(spark, table, tmp_path):
+    """What the manifest notes counts, should the folder have stayed after a crash."""
+    for month in table.months:
+        _put(table, "recharge", month, [GOOD])
+    ingest(table)
+    update_manifest(spark, str(tmp_path / "parquet/recharge"), {"02": {"rows": 0, "quarantined": 0}})
+    assert (tmp_path / "parquet/recharge/month=02").exists()
+    assert _months(table) == {"01": 1, "03": 1}
+    assert read_manifest(spark, str(tmp_path / "parquet/recharge"))["01"] == {"rows": 1, "quarantined": 0}
+
+
+def test_one_write_for_all_months(spark, table):
+    for month in table.months:
+        _put(table, "recharge", month, [GOOD])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("sweep", "sweep")
+    try:
+        ingest_table(table, "recharge", table.months)
+        jobs = tracker.getJobIdsForGroup("sweep")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 4  # a header for each month, and the write
+
+
+def test_nothing_is_stored_if_one_extract_is_missing(table, tmp_path):
+    _put(table, "recharge", "01", [GOOD])
+    with pytest.raises(Exception, match="recharge_02"):
+        ingest(table)
+    assert not (tmp_path / "parquet/recharge/month=01").exists()
+
+
+@pytest.mark.parametrize("name", ["with space", "a=b", "per%cent", "[x]"])
+def test_months_and_folders_with_odd_names(spark, tmp_path, name):
+    base = tmp_path / "some folder"
+    (base / "csv").mkdir(parents=True)
+    catalog = _partitioned(spark, base, [name, "02"])
+    written = catalog
+    for i, month in enumerate(catalog.months):
+        _put(written, "recharge", month, [GOOD] * (i + 1))
+    # Spark reads brackets in an extract's path as a pattern; the stored table has no such trouble.
+    if name == "[x]":
+        catalog = dataclasses.replace(catalog, csv_paths={"recharge": "csv/recharge_?x?.csv"}, months=[name])
+    ingest(catalog)
+    assert _months(catalog)[name] == 1
+    assert catalog.read("recharge", name).count() == 1
+    _put(written, "recharge", name, [])
+    ingest(catalog, months=[name])
+    assert name not in _months(catalog)
+
+
+@pytest.mark.parametrize("parquet", ["parquet/{}/month={{month}}", "parquet/{}_{{month}}.parquet"])
+@pytest.mark.parametrize("base", [".", "./w", "../{}/w", "w/../w"])
+def test_relative_folders(spark, tmp_path, monkeypatch, parquet, base):
+    """As the reference is used: from a folder beside the data."""
+    # Spark resolves such a path against the folder that its JVM was started in.
+    here = os.path.relpath(tmp_path, spark._jvm.java.lang.System.getProperty("user.dir"))
+    folder = os.path.join(here, base.format(tmp_path.name))
+    catalog = Catalog(
+        spark, ["recharge"], ["01", "02"], {"recharge": "csv/{month}.csv"}, {"recharge": parquet.format("recharge")}, folder
+    )
+    rows = spark.createDataFrame([("a", *[None] * 8)], schema_for("recharge"))
+    for i, month in enumerate(catalog.months):
+        rows.unionAll(rows.limit(i)).write.parquet(catalog.parquet_path("recharge", month))
+    found = {(r["month"], r["period"], r["count"]) for r in catalog.read("recharge").groupBy("month", "period").count().collect()}
+    assert found == {("01", 0, 1), ("02", 1, 2)}
+
+
+def test_months_are_pruned_by_the_partition(table):
+    for month in table.months:
+        _put(table, "recharge", month, [GOOD])
+    ingest(table)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        table.read("recharge", ["02"]).explain("formatted")
+    filters = re.search(r"PartitionFilters: \[(.*)\]", out.getvalue())[1]
+    assert "month" in filters and "02" in filters and "CASE" not in out.getvalue()
