@@ -46,13 +46,13 @@ def test_no_query_pairs_all_rows_or_leaves_the_jvm(plan, name):
         ("last_activity", 1),
         ("churn_label", 1),
         ("churn_label_all_periods", 1),
-        # rows dealt and kept values (both read twice, run once), bounds to the parts (twice, as a
-        # side of either join), and what lies between them: four that run, two without large groups
-        ("loan_assign_features", 7),
-        ("recharge_features", 7),
+        # rows dealt and kept values (thrice, run once), a row a group (twice, run once), bounds to the
+        # parts, what lies between them: five that run, three without large groups
+        ("loan_assign_features", 9),
+        ("recharge_features", 9),
         # line items are counted before they meet the part table
         ("count_by_offering", 3),
-        ("package_features", 14),
+        ("package_features", 15),
         ("sum_by_person", 1),
         ("dist_count", 1),
         ("bin_loan_amount", 0),
