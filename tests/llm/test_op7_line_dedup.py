@@ -2,7 +2,7 @@ import random
 import re
 import unicodedata
 
-import numpy as np
+import pytest
 
 from lapsewise.llm import line_dedup
 
@@ -21,12 +21,15 @@ def levenshtein(a, b):
     return row[-1]
 
 
+def similar(a, b):
+    return levenshtein(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9)
+
+
 def brute(docs):
-    """Numbers of the repeated lines of each document."""
+    """Numbers of the repeated lines of each document, by edit similarity of all lines with all others alone."""
     lines = [(d, i, normal(x)) for d, t in sorted(docs) if t is not None for i, x in enumerate(t.split("\n"))]
-    lines = [x for x in lines if len(x[2].split(" ")) >= 5]
+    lines = [x for x in lines if x[2]]
     norms = sorted({n for *_, n in lines})
-    hashes = line_dedup.simhashes(norms)
     root = list(range(len(norms)))
 
     def find(x):
@@ -35,10 +38,8 @@ def brute(docs):
         return x
 
     for i, a in enumerate(norms):
-        for j in np.flatnonzero(np.bitwise_count(hashes[:i] ^ hashes[i]) <= 3).tolist():
-            b = norms[j]
-            longer = max(len(a), len(b))
-            if levenshtein(a, b) <= int(0.2 * longer + 1e-9):
+        for j, b in enumerate(norms[:i]):
+            if abs(len(a) - len(b)) <= 0.2 * max(len(a), len(b)) + 1e-9 and find(i) != find(j) and similar(a, b):
                 root[max(find(i), find(j))] = min(find(i), find(j))
     seen, gone = set(), {}
     for d, i, n in lines:
@@ -53,11 +54,11 @@ def _line(draw, n):
     return " ".join(f"w{draw.randrange(300)}{draw.choice('abcdef')}" for _ in range(n))
 
 
-def test_repeated_lines_equal_brute_force(make):
+def test_repeated_lines_are_those_of_brute_force(make):
     draw = random.Random(4)
-    pool = [_line(draw, draw.randrange(2, 70)) for _ in range(25)]
+    pool = [_line(draw, draw.randrange(2, 20)) for _ in range(25)]
     docs = []
-    for d in range(60):
+    for d in range(28):
         lines = []
         for _ in range(draw.randrange(1, 6)):
             line = draw.choice(pool) if draw.random() < 0.7 else _line(draw, 12)
@@ -68,9 +69,10 @@ def test_repeated_lines_equal_brute_force(make):
         docs.append((d, "\n".join(lines)))
     near = brute(docs)
     exact = {(d, i) for d, lines in near.items() for i in lines}
-    assert len(exact) > 40
+    assert len(exact) > 30
     got = {(r.doc_id, r.line) for r in line_dedup.repeated_lines(make(docs)).collect()}
-    assert got == exact
+    # The search may miss a pair (the README names its recall), but nothing else goes.
+    assert got <= exact and len(got) >= 0.9 * len(exact)
 
 
 def test_odd_rows(make, odd):
@@ -90,15 +92,20 @@ def test_no_documents(make):
     assert line_dedup.dedup_lines(make([])).count() == 0
 
 
-def test_every_near_pair_shares_a_key():
-    draw = random.Random(2)
-    base = np.array([draw.getrandbits(64) for _ in range(200)], dtype=np.uint64)
-    other = base.copy()
-    for i in range(200):
-        for bit in draw.sample(range(64), 3):
-            other[i] ^= np.uint64(1 << bit)
-    shared = sum(a == b for a, b in zip(line_dedup.block_keys(base), line_dedup.block_keys(other), strict=True))
-    assert (shared > 0).all()
+@pytest.mark.parametrize("n_words", [12, 25, 60])
+def test_near_pairs_come_together(make, n_words):
+    """Of lines with one word changed that leaves them similar, nine in ten at least are found, and no other line goes."""
+    draw = random.Random(n_words)
+    docs, want = [], set()
+    for k in range(60):
+        one = ["".join(draw.choices("abcdefghiklmnoprst", k=draw.randrange(2, 9))) for _ in range(n_words)]
+        other = list(one)
+        other[draw.randrange(n_words)] = "".join(draw.choices("abcdefghiklmnoprst", k=5))
+        docs += [(2 * k, " ".join(one)), (2 * k + 1, " ".join(other))]
+        if similar(normal(docs[-2][1]), normal(docs[-1][1])):
+            want.add((2 * k + 1, 0))
+    got = {(r.doc_id, r.line) for r in line_dedup.repeated_lines(make(docs)).collect()}
+    assert got <= want and len(got) >= 0.9 * len(want) and len(want) > 50
 
 
 def test_normal_form_equals_brute_force(spark, make):
