@@ -40,9 +40,11 @@ from lapsewise.operators.features import (
 from lapsewise.operators.profile import (
     count_by,
     preview,
+    preview_sample,
     sum_by,
     sum_by_time_part,
     top_k,
+    top_k_of_many,
     value_counts,
 )
 from lapsewise.operators.quantiles import overall_percentiles, summarise
@@ -82,6 +84,7 @@ __all__ = [
     "prepare_recovery_df",
     "prepare_user_df",
     "preview",
+    "preview_sample",
     "recovery_by_loan",
     "require_unique",
     "subscriber_activity",
@@ -89,6 +92,7 @@ __all__ = [
     "sum_by_time_part",
     "summarise",
     "top_k",
+    "top_k_of_many",
     "value_counts",
     "violin",
 ]

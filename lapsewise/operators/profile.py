@@ -62,6 +62,37 @@ def value_counts(df: DataFrame, col_name: str) -> DataFrame:
     return counted.orderBy(F.desc("count"), F.asc(col_name))
 
 
+def top_k_of_many(df: DataFrame, col_name: str, k: int, slots: int = 1 << 16) -> DataFrame:
+    """As :func:`top_k`, for a column of so many values that counting them all would shuffle most rows.
+
+    Rows are first counted by a hash of the value in ``slots`` slots: a value has no more rows than its slot.
+    The values in the fullest slots are counted exactly, and the k-th count among them is one that
+    the answer must reach; only values in slots that reach it are counted in the end. So what is
+    shuffled by value are candidates, and the result is exact, ties included. The table is read three times.
+    """
+    slot = F.pmod(F.xxhash64(col_name), F.lit(slots)).cast("int")
+    rows = df.select(col_name, slot.alias("__slot"))
+    counts = rows.groupBy("__slot").agg(F.count(F.lit(1)).alias("__rows"))
+
+    def of(chosen: DataFrame) -> DataFrame:
+        # No more rows than slots, so they can be sent to every task.
+        return count_by(rows.join(F.broadcast(chosen.select("__slot")), "__slot", "left_semi"), col_name)
+
+    first = of(counts.orderBy(F.desc("__rows"), "__slot").limit(2 * k)).orderBy(F.desc("count")).limit(k)
+    reach = first.agg(F.when(F.count(F.lit(1)) == k, F.min("count")).otherwise(F.lit(0))).scalar()
+    found = of(counts.where(F.col("__rows") >= reach))
+    return found.orderBy(F.desc("count"), F.asc_nulls_first(col_name)).limit(k)
+
+
+def preview_sample(df: DataFrame, n: int = 20, seed: int = 0) -> DataFrame:
+    """``n`` rows drawn by a hash of their content: the same whatever the order or partitions of ``df``.
+
+    One pass that keeps ``n`` rows a task. Equal rows have equal hashes and come together.
+    """
+    text = F.concat_ws("\x1f", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in df.columns])
+    return df.withColumn("__drawn", F.md5(F.encode(text, "UTF-8"))).orderBy("__drawn").limit(n).drop("__drawn")
+
+
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
     """Any ``n`` rows, to look at."""
     return df.limit(n)

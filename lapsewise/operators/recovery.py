@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapsewise.functions.numbers import percent_of
+from lapsewise.operators.bloom import bloom_filter, possible_members
 
 
 def common_loans(assign: DataFrame, recovery: DataFrame, loan: str = "loan_id") -> DataFrame:
@@ -17,12 +18,18 @@ def common_loans(assign: DataFrame, recovery: DataFrame, loan: str = "loan_id")
     return assign.select(loan).distinct().intersect(recovery.select(loan).distinct())
 
 
-def recovery_by_loan(assign: DataFrame, recovery: DataFrame, loan: str = "loan_id") -> DataFrame:
+def recovery_by_loan(
+    assign: DataFrame, recovery: DataFrame, loan: str = "loan_id", prefilter: bool = False
+) -> DataFrame:
     """Sums of loan amount and recovered amount over each assigned loan's recovery rows.
 
     Sums first, join after: the recovery rows are reduced to one per loan before they meet
-    the assigned ids, whatever share of them one loan holds.
+    the assigned ids, whatever share of them one loan holds. Where few of the recovered loans are assigned ones,
+    ``prefilter`` drops the others by a Bloom filter of the assigned ids before sums are
+    shuffled; the exact join stays.
     """
+    if prefilter:
+        recovery = possible_members(recovery, loan, bloom_filter(assign, loan))
     sums = recovery.groupBy(loan).agg(
         F.sum("loan_amount").alias("sum_of_loan_amount"),
         F.sum("hsdp_recovery").alias("sum_of_recovery"),

@@ -13,9 +13,11 @@ from lapsewise.operators.activity import (
     prepare_churn_label,
 )
 from lapsewise.operators.features import merge_dataframes, prepare_data
+from lapsewise.plans.subscriber_store import SubscriberStore
 from lapsewise.sources.catalog import Catalog
 
 __all__ = [
+    "SubscriberStore",
     "generate_all_churn_labels",
     "generate_all_datasets",
     "generate_churn_label",

@@ -410,4 +410,20 @@ ORACLE_SQL: dict[str, str] = {
     "stored_training_table_with_loans": _stored_training(include_loans=True),
     "stored_training_table_all_periods": _STORED_ALL,
     "ingest_all_tables": _INGESTED,
+    "store_churn_labels": "SELECT * REPLACE (CAST(bib_id AS VARCHAR) AS bib_id) "
+    f"FROM ({_ALL_LABELS})",
+    "store_training_table": _stored_training(include_loans=False),
+    "top_loans": """
+        SELECT l_orderkey AS loan_id, count(*) AS count FROM lineitem
+        GROUP BY 1 ORDER BY count DESC, loan_id LIMIT 20""",
+    "preview_customers": """
+        SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_mktsegment FROM customer
+        ORDER BY md5(concat_ws(chr(31), '0', CAST(c_custkey AS VARCHAR), CAST(c_nationkey AS VARCHAR), c_mktsegment))
+        LIMIT 25""",
+    "ages_today": with_views("subscriber", "SELECT bib_id, true AS same FROM subscriber"),
+    "loan_recovery_prefiltered": """
+        SELECT l_orderkey AS loan_id, round(sum(l_extendedprice), 4) AS sum_of_loan_amount,
+               round(sum(l_extendedprice * (1 - l_discount)), 4) AS sum_of_recovery
+        FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_totalprice > 400000)
+        GROUP BY 1""",
 }

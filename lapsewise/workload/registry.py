@@ -168,6 +168,23 @@ def top_duration_categories(d: Domain) -> DataFrame:
     return ops.top_k(ops.categorize_time_difference(d.package()), "duration_category", 10)
 
 
+def top_loans(d: Domain) -> DataFrame:
+    """Loans with most payments, out of as many values as there are loans."""
+    return ops.top_k_of_many(d.loan_payments(), "loan_id", 20)
+
+
+def preview_customers(d: Domain) -> DataFrame:
+    return ops.preview_sample(d.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment"), 25)
+
+
+def ages_today(d: Domain) -> DataFrame:
+    """Ages without a date given against those on the date that the session calls today."""
+    today = d.spark.sql("SELECT current_date()").first()[0]
+    now = ops.prepare_user_df(d.user()).select("bib_id", F.col("age").alias("age_now"))
+    given = ops.prepare_user_df(d.user(), as_of=today).select("bib_id", "age")
+    return now.join(given, "bib_id").select("bib_id", (F.col("age_now") == F.col("age")).alias("same"))
+
+
 def value_counts(d: Domain) -> DataFrame:
     return ops.value_counts(d.user(), "gender_v")
 
@@ -183,6 +200,12 @@ def loan_recovery_by_loan(d: Domain) -> DataFrame:
     return ops.recovery_by_loan(d.loan_assign(), d.loan_payments())
 
 
+def loan_recovery_prefiltered(d: Domain) -> DataFrame:
+    """Payments of the large loans alone, most others dropped before their sums are shuffled."""
+    large = d.loan_assign().where("loan_amount > 400000")
+    return ops.recovery_by_loan(large, d.loan_payments(), prefilter=True)
+
+
 def loan_recovery_ratio(d: Domain) -> DataFrame:
     return ops.loan_recovery_ratio(d.loan_assign(), d.loan_payments())
 
@@ -296,6 +319,19 @@ def stored_training_table_all_periods(d: Domain) -> DataFrame:
     return plans.generate_all_datasets(catalog, AS_OF, THRESHOLD_DAYS)
 
 
+def store_churn_labels(d: Domain) -> DataFrame:
+    """Every label from the rows that a subscriber store keeps of each month."""
+    store = stored.subscribers(d, {"package": stored.MONTHS, "recharge": stored.MONTHS}, features=False)
+    return store.churn_labels(len(stored.MONTHS), THRESHOLD_DAYS)
+
+
+def store_training_table(d: Domain) -> DataFrame:
+    """The training table of the first month from bucketed tables."""
+    both = ["0", "1"]
+    store = stored.subscribers(d, {"package": both, "recharge": both, "user": both}, features=True)
+    return store.training_table(0, AS_OF, THRESHOLD_DAYS)
+
+
 def ingest_all_tables(d: Domain) -> DataFrame:
     """Good rows of every stored table and month, and the sum of their first amount."""
     catalog = stored.extracts(d, {key: stored.MONTHS for key in SCHEMAS})
@@ -322,6 +358,7 @@ _DIGITS = {
     "stored_training_table": 6,
     "stored_training_table_with_loans": 6,
     "stored_training_table_all_periods": 6,
+    "store_training_table": 6,
     "ingest_all_tables": 2,
     "dist_line": 6,
     "dist_kde": 8,
@@ -350,9 +387,13 @@ _BUILDERS = [
     count_by_offering,
     top_offerings,
     top_duration_categories,
+    top_loans,
+    preview_customers,
+    ages_today,
     value_counts,
     common_loans,
     loan_recovery_by_loan,
+    loan_recovery_prefiltered,
     loan_recovery_ratio,
     loan_recovery_ratio_of_assigned,
     dist_count,
@@ -375,6 +416,8 @@ _BUILDERS = [
     stored_training_table,
     stored_training_table_with_loans,
     stored_training_table_all_periods,
+    store_churn_labels,
+    store_training_table,
     ingest_all_tables,
 ]
 

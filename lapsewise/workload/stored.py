@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise.functions import LONG_FORMAT
+from lapsewise.plans.subscriber_store import SubscriberStore
 from lapsewise.sources import Catalog, ingest, schema_for
 from lapsewise.workload.domain import FIRST_DAY, PERIOD_DAYS, Domain
 
@@ -119,3 +120,12 @@ def extracts(d: Domain, wanted: Mapping[str, Sequence[str]]) -> Catalog:
     for months in dict.fromkeys(map(tuple, wanted.values())):
         ingest(catalog, [key for key in wanted if tuple(wanted[key]) == months], months)
     return catalog
+
+
+def subscribers(d: Domain, wanted: Mapping[str, Sequence[str]], features: bool) -> SubscriberStore:
+    """A subscriber store into which the wanted months were folded one after the other."""
+    catalog = extracts(d, wanted)
+    store = SubscriberStore(d.spark, f"{catalog.base}/subscribers", buckets=8)
+    for month in sorted(set().union(*wanted.values()), key=catalog.period):
+        store.fold(catalog, month, features)
+    return store
