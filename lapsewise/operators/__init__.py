@@ -50,6 +50,7 @@ from lapsewise.operators.profile import (
 from lapsewise.operators.quantiles import overall_percentiles, summarise
 from lapsewise.operators.recovery import common_loans, loan_recovery_ratio, recovery_by_loan
 from lapsewise.operators.skew import left_join_many
+from lapsewise.operators.sketches import merge_sketches, sketch_by, summarise_sketches
 
 __all__ = [
     "Bins",
@@ -90,7 +91,10 @@ __all__ = [
     "subscriber_activity",
     "sum_by",
     "sum_by_time_part",
+    "sketch_by",
+    "merge_sketches",
     "summarise",
+    "summarise_sketches",
     "top_k",
     "top_k_of_many",
     "value_counts",

@@ -25,6 +25,7 @@ from lapsewise.operators.features import (
     prepare_recharge_df,
     prepare_user_df,
 )
+from lapsewise.operators.sketches import merge_sketches, sketch_by, summarise_sketches
 from lapsewise.sources.catalog import Catalog
 
 _KEY = "bib_id"
@@ -36,7 +37,12 @@ _LAYOUTS = {
     "recharge": "bib_id string, AverageRechargeAmount double, MedianRechargeAmount double, CountRecharge bigint",
     "user": "bib_id string, contract_type_v string, gender_v string, registration_date_d string, "
     "date_of_birth_d string, ability_status string, account_balance double",
+    "recharge_sketch": "bib_id string, rows bigint, n_recharge_value_amt bigint, sum_recharge_value_amt double, "
+    "sketch_recharge_value_amt binary",
+    "package_sketch": "bib_id string, rows bigint, n_offer_amount bigint, sum_offer_amount double, sketch_offer_amount binary",
 }
+#: Of each kind of sketch: the amount that it is of, and what its features are called.
+_SKETCHES = {"recharge_sketch": ("recharge_value_amt", "Recharge"), "package_sketch": ("offer_amount", "Package")}
 
 
 @dataclass(frozen=True)
@@ -89,6 +95,8 @@ class SubscriberStore:
             self._keep("package", period, prepare_package_df(package))
             self._keep("recharge", period, prepare_recharge_df(recharge))
             self._keep("user", period, catalog.read("user", month))
+            for kind, rows in (("recharge_sketch", recharge), ("package_sketch", package)):
+                self._keep(kind, period, sketch_by(rows, _KEY, [_SKETCHES[kind][0]]))
 
     def churn_label(self, period: int, threshold_days: int = CHURN_AFTER_DAYS) -> DataFrame:
         """``(bib_id, label)`` of a period, judged by the one after it; no shuffle."""
@@ -111,3 +119,18 @@ class SubscriberStore:
         user = prepare_user_df(self.table("user", period), as_of)
         features = Features(None, None, self.table("package", period), self.table("recharge", period), user)
         return merge_dataframes(features, self.churn_label(period, threshold_days))
+
+    def features_over(self, kind: str, periods: list[int]) -> DataFrame:
+        """Mean, approximate median and number of a subscriber's recharges (``recharge_sketch``) or packages
+        (``package_sketch``) over some periods, from what was kept of each."""
+        amount, name = _SKETCHES[kind]
+        # Read as files: a union of bucketed tables counts as dealt by the subscriber already, and Spark 4.1
+        # then leaves out both the shuffle and the bucket-wise reading, which parts a subscriber's rows.
+        each = self.spark.read.schema(_LAYOUTS[kind]).parquet(*[self._path(kind, p) for p in periods])
+        return summarise_sketches(
+            merge_sketches(each, _KEY, [amount]),
+            _KEY,
+            {amount: {f"Median{name}Amount": 0.5}},
+            {amount: f"Average{name}Amount"},
+            f"Count{name}",
+        )

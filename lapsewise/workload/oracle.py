@@ -412,6 +412,9 @@ ORACLE_SQL: dict[str, str] = {
     "ingest_all_tables": _INGESTED,
     "store_churn_labels": "SELECT * REPLACE (CAST(bib_id AS VARCHAR) AS bib_id) "
     f"FROM ({_ALL_LABELS})",
+    "sketched_counts": """
+        SELECT user_id, count(*) AS n_rows, count(value) AS n_values, round(sum(value), 4) AS total
+        FROM events GROUP BY user_id""",
     "store_training_table": _stored_training(include_loans=False),
     "top_loans": """
         SELECT l_orderkey AS loan_id, count(*) AS count FROM lineitem

@@ -325,6 +325,14 @@ def store_churn_labels(d: Domain) -> DataFrame:
     return store.churn_labels(len(stored.MONTHS), THRESHOLD_DAYS)
 
 
+def sketched_counts(d: Domain) -> DataFrame:
+    """Purchases of each subscriber from sketches of each period, merged."""
+    each = ops.sketch_by(d.table("events").withColumn("period", F.month("ts")), ["user_id", "period"], ["value"])
+    merged = ops.merge_sketches(each, "user_id", ["value"])
+    n = F.expr("kll_sketch_get_n_double(sketch_value)")
+    return merged.select("user_id", F.col("rows").alias("n_rows"), n.cast("bigint").alias("n_values"), F.col("sum_value").alias("total"))
+
+
 def store_training_table(d: Domain) -> DataFrame:
     """The training table of the first month from bucketed tables."""
     both = ["0", "1"]
@@ -416,6 +424,7 @@ _BUILDERS = [
     stored_training_table,
     stored_training_table_with_loans,
     stored_training_table_all_periods,
+    sketched_counts,
     store_churn_labels,
     store_training_table,
     ingest_all_tables,

@@ -10,7 +10,7 @@ import __spark_entry__ as contract
 from lapsewise.workload.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-NAMES = [n for n in QUERIES if not n.startswith(("ingest", "stored"))]
+NAMES = [n for n in QUERIES if not n.startswith(("ingest", "store"))]
 
 
 @pytest.fixture(scope="module")
