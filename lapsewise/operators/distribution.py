@@ -21,9 +21,9 @@ from lapsewise.operators.quantiles import overall_percentiles, summarise
 _QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 # Cells of a density for each bandwidth, moments kept of each, and how many bandwidths a kernel reaches.
-_CELLS = 2
+_CELLS = 32
 _MOMENTS = 12
-_REACH = 9.0
+_REACH = 39.0
 
 
 def _values(
@@ -249,13 +249,13 @@ def _density(
 ) -> DataFrame:
     """Gaussian density on an even grid per group: ``by``, ``grid``, ``x``, ``density``.
 
-    A fast Gauss transform. Values are put into cells of half a bandwidth, and a cell keeps the sums of its
-    values' powers, up to ``_MOMENTS``, around its middle; these combine on the map side. Only cells
+    A fast Gauss transform. Values are put into cells of a 32nd of a bandwidth, and a cell keeps the sums of its
+    values' powers, below ``_MOMENTS``, around its middle; these combine on the map side. Only cells
     meet the grid: with t and u the distances of a grid point and of a value from the
     middle, in bandwidths, the kernel exp(-(t - u)^2 / 2) is exp(-t^2 / 2) times the sum of He_k(t) u^k / k!.
-    As |u| <= 1/4 and |He_k(t)| <= 1.09 sqrt(k!) exp(t^2 / 4), what is cut off is below 1.09 * sum of (1/4)^k / sqrt(k!)
-    over k >= 12, 4e-12 of the kernel's peak; grid points further than ``_REACH`` bandwidths off, where the
-    kernel is below 1e-17, are left out. So a row costs a dozen products, whatever the grid, and
+    As |u| <= 1/64 and |He_k(t)| <= (|t| + sqrt(k))^k, what is cut off is below the sum of ((39 + sqrt(k)) / 64)^k / k!
+    over k >= 12 at any t, 2e-11 of the first term: the far tails keep ten digits too, up to ``_REACH`` bandwidths,
+    where the kernel underflows to zero. So a row costs a dozen products, whatever the grid, and
     no value is shuffled. Groups of one value or without spread have no density.
     """
     spread = rows.groupBy(*by).agg(

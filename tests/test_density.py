@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from lapsewise import operators as ops
-from lapsewise.operators.distribution import _CELLS, _MOMENTS, _hermite
+from lapsewise.operators.distribution import _CELLS, _MOMENTS, _REACH, _hermite
 
 
 def _direct(values, gridsize, cut):
@@ -40,8 +40,8 @@ def test_error_is_below_the_bound(spark, kind):
 
 
 def test_series_is_cut_where_the_docstring_says():
-    left = 1.09 * sum(0.25**k / math.sqrt(math.factorial(k)) for k in range(_MOMENTS, 60))
-    assert left < 4e-12 and 1 / (2 * _CELLS) == 0.25
+    left = sum(((_REACH + math.sqrt(k)) / (2 * _CELLS)) ** k / math.factorial(k) for k in range(_MOMENTS, 60))
+    assert left < 2e-11 and 2 * _CELLS == 64
     assert _hermite(5) == [[1], [0, 1], [-1, 0, 1], [0, -3, 0, 1], [3, 0, -6, 0, 1]]
 
 
