@@ -13,13 +13,14 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -30,28 +31,31 @@ BLOCK_TOKENS = 1 << 20
 #: Documents that the dictionary is trained on (those with the smallest id hashes), bytes taken of
 #: each, and the dictionary's size.
 DICTIONARY_ROWS, DICTIONARY_SAMPLE, DICTIONARY_BYTES = 1000, 4096, 64 << 10
-#: Units of text and plain words whose ids a worker keeps, about 200 bytes each. Units are put
-#: together from words again without the library.
-KNOWN_UNITS, KNOWN_WORDS = 400_000, 1_500_000
+#: Plain words, and other units of text, whose ids a worker keeps, about 200 bytes each.
+KNOWN_UNITS, KNOWN_WORDS = 400_000, 1_000_000
+#: Bytes of text encoded at a time; a longer single text is one batch of its own.
+BATCH_BYTES = 4 << 20
 
 _BLOCKS = (
     "shard int, start bigint, n_tokens bigint, dictionary string, doc_ids array<bigint>, "
     "tokens array<bigint>, offsets array<bigint>, frames binary"
 )
-_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|]*)")
+_WORD = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,;:!?|]*)$"
 
 
 class Encoder:
     """Ids of texts by a ``tokenizers`` file; what was met before is looked up.
 
     Where a tokenizer drops white space, a text's ids are those of its space-separated units in a
-    row, so the library is asked only for units not met before. Units of plain letters, perhaps
-    with marks behind, are taken apart once more, and their words go to the library many at a time:
-    the ids of a word end where an id has the end-of-word suffix. A tokenizer of another kind gets
-    whole texts.
+    row. Arrow finds the distinct units of many texts; those of plain letters, perhaps with marks
+    behind, are a word and its marks, and what was not met before goes to the library, words many
+    at a time: the ids of a word end where an id has the end-of-word suffix. numpy lays the parts'
+    ids end to end again. A tokenizer of another kind gets whole texts.
     """
 
     def __init__(self, path: str, most: int = KNOWN_UNITS, most_words: int = KNOWN_WORDS) -> None:
+        # A task has one core: the library's threads would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -68,37 +72,67 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """All ids as little-endian unsigned 32-bit integers."""
+        return next(self.encode_all(pa.array([text], pa.string())))
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text in turn; a null one has none."""
+        texts = texts.fill_null("")
         if not self.by_unit:
-            return self._library([text])[0]
-        units = text.replace("\n", " ").split(" ")
-        missing = set(units).difference(self.known)
-        if missing:
-            if len(self.known) + len(missing) > self.most:
-                self.known.clear()
-                missing = set(units)
-            self._learn(missing)
-        return b"".join(map(self.known.__getitem__, units))
+            for text in texts:
+                yield self._library([text.as_py()])[0]
+            return
+        sizes = pc.binary_length(texts).to_numpy().astype(np.int64)
+        for batch in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(np.cumsum(sizes) // BATCH_BYTES)) + 1):
+            if len(batch):
+                yield from self._encode(texts.slice(batch[0], len(batch)))
+
+    def _encode(self, texts: pa.Array) -> Iterator[bytes]:
+        units = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        borders = units.offsets.to_numpy() - units.offsets[0].as_py()
+        coded = units.flatten().dictionary_encode()
+        flat, starts, lengths, parts = self._parts(coded.dictionary)
+        chosen = parts[coded.indices.to_numpy()].reshape(-1)
+        size = lengths[chosen]
+        ends = np.zeros(len(chosen) + 1, dtype=np.int64)
+        np.cumsum(size, out=ends[1:])
+        ids = flat[np.repeat(starts[chosen] - ends[:-1], size) + np.arange(ends[-1])]
+        borders = ends[2 * borders]
+        for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
+            yield ids[a:b].tobytes()
+
+    def _parts(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all parts of some units end to end, where each begins, how many it has, and two parts for each unit."""
+        found = pc.extract_regex(units, _WORD)
+        split = found.is_valid().to_numpy(zero_copy_only=False)
+        word, marks = (c.dictionary_encode() for c in found.filter(found.is_valid()).flatten())
+        lower = pc.utf8_lower(word.dictionary).dictionary_encode()
+        others = units.filter(found.is_null()).to_pylist()
+        words, signs = lower.dictionary.to_pylist(), marks.dictionary.to_pylist()
+        plain = self._looked_up(self.words, words + signs, self.most_words, self._learn_words)
+        ids = [*plain, *self._looked_up(self.known, others, self.most, self._learn_units), b""]
+        parts = np.full((len(units), 2), len(ids) - 1, dtype=np.int64)
+        parts[split, 0] = lower.indices.to_numpy()[word.indices.to_numpy()]
+        parts[split, 1] = len(words) + marks.indices.to_numpy()
+        parts[~split, 0] = len(plain) + np.arange(len(others))
+        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        return np.frombuffer(b"".join(ids), dtype="<u4"), np.cumsum(lengths) - lengths, lengths, parts
+
+    @staticmethod
+    def _looked_up(met: dict[str, bytes], wanted: list[str], most: int, learn) -> list[bytes]:
+        found = list(map(met.get, wanted))
+        new = [x for x, ids in zip(wanted, found, strict=True) if ids is None]
+        if len(met) + len(new) > most:
+            met.clear()
+            new = wanted
+        learn(new)
+        return [met[x] if ids is None else ids for x, ids in zip(wanted, found, strict=True)]
 
     def _library(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in got]
 
-    def _learn(self, units: set[str]) -> None:
-        split, whole = {}, []
-        for unit in units:
-            if (found := _WORD.fullmatch(unit)) is not None:
-                split[unit] = (found[1].lower(), found[2])
-            else:
-                whole.append(unit)
-        self.known.update(zip(whole, self._library(whole), strict=True))
-        parts = {part for both in split.values() for part in both if part}
-        new = parts.difference(self.words)
-        if len(self.words) + len(new) > self.most_words:
-            self.words.clear()
-            new = parts
-        self._learn_words(list(new))
-        for unit, (word, marks) in split.items():
-            self.known[unit] = self.words[word] + self.words[marks] if marks else self.words[word]
+    def _learn_units(self, units: list[str]) -> None:
+        self.known.update(zip(units, self._library(units), strict=True))
 
     def _learn_words(self, words: list[str]) -> None:
         for at in range(0, len(words), 256):
@@ -140,7 +174,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, rows: int = DICTIONARY_ROW
     def serialize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         for batch in batches:
-            ids = [encoder.encode(t or "")[:DICTIONARY_SAMPLE] for t in batch.column("text").to_pylist()]
+            ids = [raw[:DICTIONARY_SAMPLE] for raw in encoder.encode_all(batch.column("text"))]
             yield pa.record_batch([pa.array(ids, pa.binary())], names=["ids"])
 
     chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
@@ -177,8 +211,8 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int) ->
             return pa.RecordBatch.from_pylist([dict(zip(_NAMES, row, strict=True))], schema=_SCHEMA)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                raw = encoder.encode(text.as_py() or "") + end
+            for doc_id, raw in zip(batch.column("doc_id").to_pylist(), encoder.encode_all(batch.column("text")), strict=True):
+                raw += end
                 ids.append(doc_id)
                 sizes.append(len(raw) // 4)
                 frames.append(pack.compress(raw))

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -60,3 +61,16 @@ def test_files_read_back_in_order(spark, make, odd, prose, library, tmp_path, mo
 def test_no_documents(spark, make, tmp_path):
     token_output.write_token_ids(make([]), str(tmp_path / "none"), PATH, 1)
     assert token_output.read_token_ids(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_batch_is_looked_up_at_once(library, monkeypatch):
+    """Each distinct word goes to the library once, however many texts hold it; nulls and borders of batches included."""
+    texts = ["Pearl, Pearl pearl.", None, "", "no\npearl ### !", "pearl no, ###"] * 50
+    encoder = token_output.Encoder(PATH)
+    asked, learn = [], encoder._learn_words
+    monkeypatch.setattr(encoder, "_learn_words", lambda words: (asked.extend(words), learn(words)))
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for size in (8 << 20, 40):
+        monkeypatch.setattr(token_output, "BATCH_BYTES", size)
+        assert [np.frombuffer(raw, "<u4").tolist() for raw in encoder.encode_all(pa.array(texts))] == want
+    assert sorted(asked) == sorted({"pearl", "no", "", ",", "."})
