@@ -53,11 +53,12 @@ def link(
 
     ``members`` (key, id, rank; each id once under a key): ids that share a key may be linked. ``confirm`` takes pairs (a, b),
     a < b, and returns those that are; in
-    the last round they have ``common``, the number of keys that both have. In a key's group every id is first paired with one leader
-    only, the one of the smallest rank; further rounds pair those that are not yet in the group's
+    the last round they have ``common``, the number of keys that both have. A key's group is led by the id of the
+    smallest rank, and every id is first paired with one leader only, the one of the smallest rank
+    among those of all its keys; further rounds pair, key by key, those that are not yet in the group's
     largest component with other leaders out of it. What then still lies in different components is
-    paired in full, so every link between components is found, while a group that hangs together
-    costs a pair for each member and not for each two of them. Where members have a ``mark``,
+    paired in full, so every link between components is found, while ids that hang together
+    cost a pair each, whatever number of keys they share. Where members have a ``mark``,
     ``alike`` says of two marks whether their ids can be linked at all.
     """
     marks = [] if alike is None else [F.col("mark").alias("mark2")]
@@ -65,7 +66,8 @@ def link(
     sizes = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = written(members.join(sizes, "key").drop("n"), "shared-keys")
     leaders = members.groupBy("key").agg(F.min(F.struct("rank", "id")).alias("lead"))
-    tried = written(_ordered(members.join(leaders, "key"), "id", "lead.id"), "pairs")
+    led = members.join(leaders, "key").groupBy("id").agg(F.min("lead").alias("lead"))
+    tried = written(_ordered(led, "id", "lead.id"), "pairs")
     labels = components(written(confirm(tried), "links"))
     for turn in range(rounds + 1):
         labels = written(labels, "labels")

@@ -4,9 +4,9 @@ A document's set is its distinct five-word shingles. Shingles have one global or
 first (document frequency, then hash), and that order is cut into vertical fragments by hash:
 every fragment counts for itself.
 
-1. Documents are hashed once and send each fragment its part of their sets, packed. A fragment
-   thereby knows in how many documents each of its shingles occurs, and returns to each document
-   those that others have too. Most shingles occur once; they stay behind.
+1. Documents are hashed once, some megabytes at a time, and a batch sends each fragment its part of
+   their sets, packed. A fragment thereby knows in how many documents each of its shingles occurs,
+   and returns to each batch those that others have too. Most shingles occur once; they stay behind.
 2. Two sets with a Jaccard index of at least t must share one of the first n - ceil(t * n) + 1
    shingles in the global order (of n). Documents whose first shingles are all their own are done.
    The others' first shared shingles are the keys by which candidates meet.
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,9 @@ FRAGMENT_SHINGLES = 1_000_000
 #: Bytes of a shingle's hash within its fragment.
 _HASH_BYTES = 5
 _RARITY_STEP = 8.0
+#: A class's mark has so many words of 64 bits: sets of some hundred shingles are told apart by them.
+_MARK_WORDS = 4
+_WORDS = [f"w{i}" for i in range(_MARK_WORDS)]
 
 
 def _packed(hashes: np.ndarray) -> np.ndarray:
@@ -58,20 +62,22 @@ def _set_digest(unique: np.ndarray) -> int:
 
 
 def split_sets(docs: DataFrame, fragments: int, width: int = words.WIDTH) -> DataFrame:
-    """Each batch's sets by fragment, packed: classes, sizes there and hashes; and, spread over the
-    fragments, each document's id, size and class."""
+    """Each batch's sets by fragment, packed: classes, sizes there and hashes; and, in one of a
+    batch's fragments, each document's id, size and class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no = TaskContext.get().partitionId() << 32
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             for part in words.batches(texts, 4 * words.BATCH_BYTES):
-                yield _split(ids[part], texts[part], fragments, width)
+                yield _split(no, ids[part], texts[part], fragments, width)
+                no += 1
 
-    schema = "fragment int, classes binary, counts binary, hashes binary, sizes binary"
+    schema = "batch bigint, fragment int, classes binary, counts binary, hashes binary, sizes binary"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _split(ids, texts, fragments: int, width: int) -> pa.RecordBatch:
+def _split(no: int, ids, texts, fragments: int, width: int) -> pa.RecordBatch:
     sets = [u for part in words.batches(texts) for u in map(np.unique, words.shingle_lists(texts[part], width))]
     lengths = np.array([len(u) for u in sets], dtype=np.int64)
     digests = np.array([_set_digest(u) for u in sets], dtype=np.int64)
@@ -83,64 +89,103 @@ def _split(ids, texts, fragments: int, width: int) -> pa.RecordBatch:
     fragment = ((flat >> np.uint64(40)) % np.uint64(fragments)).astype(np.int64)
     order = np.argsort(fragment, kind="stable")
     flat, owner, fragment = flat[order], owner[order], fragment[order]
-    doc_ids = np.array(ids, dtype=np.int64)
-    home = (words.mix(doc_ids.view(np.uint64)) % np.uint64(fragments)).astype(np.int64)
-    sizes = np.stack([doc_ids, lengths, digests], axis=1)
+    sizes = np.stack([np.array(ids, dtype=np.int64), lengths, digests], axis=1).tobytes()
     rows = []
-    present = np.unique(np.concatenate([fragment, home]))
+    present = np.unique(fragment) if len(fragment) else np.array([no % fragments])
+    home = present[no % len(present)]
     for f, a, b in zip(present.tolist(), np.searchsorted(fragment, present), np.searchsorted(fragment, present, "right"), strict=True):
         who, counts = np.unique(owner[a:b], return_counts=True)
-        blobs = (digests[who], counts.astype("<u4"), _packed(flat[a:b]), sizes[home == f])
-        rows.append((f, *(x.tobytes() for x in blobs)))
-    fragment_no, *columns = zip(*rows, strict=True) if rows else ((),) * 5
-    return pa.record_batch(
-        [pa.array(fragment_no, pa.int32()), *(pa.array(c, pa.binary()) for c in columns)],
-        names=["fragment", "classes", "counts", "hashes", "sizes"],
-    )
+        blobs = (digests[who], counts.astype("<u4"), _packed(flat[a:b]))
+        rows.append((no, f, *(x.tobytes() for x in blobs), sizes if f == home else b""))
+    return _table(rows, _SPLIT).to_batches()[0]
+
+
+_SPLIT = pa.schema(
+    [("batch", pa.int64()), ("fragment", pa.int32()), *((c, pa.binary()) for c in ("classes", "counts", "hashes", "sizes"))]
+)
+_COUNTED = _SPLIT.append(pa.field("rarity", pa.binary()))
+
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
 
+def _joined(group: pa.Table, column: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(group[column].to_pylist()), kind)
 
-def shared_parts(split: DataFrame) -> DataFrame:
-    """By fragment, each class's shingles that others have; and each document's size and class.
 
-    Rows of the first kind have hashes and rarity (a number that grows with the number of classes
-    that have a shingle), sorted by both; those of the second kind have doc_id and n.
+def shared_parts(split: DataFrame, percent: int) -> DataFrame:
+    """Each document's id, size and class; and the shared shingles of each class that can link.
+
+    A fragment counts the classes that have a shingle and returns to each batch, in one row, which
+    of its shingles others have, with a rarity (a number that grows with that count). Batches put
+    their classes together: rows of the second kind have fragments (places), hashes and rarity.
+    There are as many rows as documents and classes, however many fragments there are.
     """
 
-    def run(group: pa.Table) -> pa.Table:
+    def count(group: pa.Table) -> pa.Table:
+        # Copies met in several batches are one class: that of the first batch, in every fragment.
+        group = group.sort_by("batch")
         f = group["fragment"][0].as_py()
-        classes, counts, sizes = (
-            np.frombuffer(b"".join(group[c].to_pylist()), kind) for c, kind in (("classes", np.int64), ("counts", "<u4"), ("sizes", np.int64))
-        )
+        classes, counts = _joined(group, "classes", np.int64), _joined(group, "counts", "<u4")
         hashes = _unpacked(b"".join(group["hashes"].to_pylist()))
-        # Copies met in other batches: a class counts once.
-        whole, first = np.unique(classes, return_index=True)
+        place = np.repeat(np.arange(len(group)), [len(c) // 8 for c in group["classes"].to_pylist()])
         chosen = np.zeros(len(classes), dtype=bool)
-        chosen[first] = True
+        chosen[np.unique(classes, return_index=True)[1]] = True
         hashes = hashes[np.repeat(chosen, counts)]
-        owner = np.repeat(np.searchsorted(whole, classes[chosen]), counts[chosen])
-        _, place, df = np.unique(hashes, return_inverse=True, return_counts=True)
-        keep = np.flatnonzero(df[place] > 1)
-        rarity = np.minimum(255, np.round(_RARITY_STEP * np.log2(df))).astype(np.uint8)[place[keep]]
-        owner, hashes = owner[keep], hashes[keep]
-        order = np.lexsort((hashes, rarity, owner))
-        owner, raw, rarity = owner[order], _packed(hashes[order]), rarity[order]
-        who, starts = np.unique(owner, return_index=True)
-        spans = list(zip(starts.tolist(), [*starts[1:].tolist(), len(owner)], strict=True)) if len(who) else []
-        sizes = sizes.reshape(-1, 3)
-        n, m = len(who), len(sizes)
-        return pa.table(
-            {
-                "class": pa.array(np.concatenate([whole[who], sizes[:, 2]]), pa.int64()),
-                "doc_id": pa.array([None] * n + sizes[:, 0].tolist(), pa.int64()),
-                "n": pa.array([None] * n + sizes[:, 1].tolist(), pa.int64()),
-                "fragment": pa.array([f] * (n + m), pa.int32()),
-                "hashes": pa.array([raw[a:b].tobytes() for a, b in spans] + [None] * m, pa.binary()),
-                "rarity": pa.array([rarity[a:b].tobytes() for a, b in spans] + [None] * m, pa.binary()),
-            }
-        )
-
-    schema = "class bigint, doc_id bigint, n bigint, fragment int, hashes binary, rarity binary"
-    return split.groupBy("fragment").applyInArrow(run, schema)
+        owner = np.repeat(np.flatnonzero(chosen), counts[chosen])
+        _, which, df = np.unique(hashes, return_inverse=True, return_counts=True)
+        keep = np.flatnonzero(df[which] > 1)
+        rarity = np.minimum(255, np.round(_RARITY_STEP * np.log2(df))).astype(np.uint8)[which[keep]]
+        who, kept = np.unique(owner[keep], return_counts=True)
+        raw, ends = _packed(hashes[keep]), np.cumsum(kept)
+        edges = np.searchsorted(place[who], np.arange(len(group) + 1))
+        at = np.append(0, ends)[edges]
+        rows = []
+        for i, (no, sizes) in enumerate(zip(group["batch"].to_pylist(), group["sizes"].to_pylist(), strict=True)):
+            if edges[i] < edges[i + 1] or sizes:
+                mine, here = slice(edges[i], edges[i + 1]), slice(at[i], at[i + 1])
+                blobs = (classes[who[mine]], kept[mine].astype("<u4"), raw[here])
+                rows.append((no, f, *(x.tobytes() for x in blobs), sizes, rarity[here].tobytes()))
+        return _table(rows, _COUNTED)
+
+    def put_together(group: pa.Table) -> pa.Table:
+        docs = _joined(group, "sizes", np.int64).reshape(-1, 3)
+        group = group.sort_by("fragment")
+        classes, counts = _joined(group, "classes", np.int64), _joined(group, "counts", "<u4").astype(np.int64)
+        held = [len(c) // 8 for c in group["classes"].to_pylist()]
+        fragment = np.repeat(group["fragment"].to_numpy(), held)
+        raw = _joined(group, "hashes", np.uint8).reshape(-1, _HASH_BYTES)
+        rarity = _joined(group, "rarity", np.uint8)
+        # Segments of a class one behind the other, by fragment.
+        order = np.argsort(classes, kind="stable")
+        sizes = counts[order]
+        ends = np.cumsum(sizes)
+        moved = np.repeat((np.cumsum(counts) - counts)[order] - ends + sizes, sizes) + np.arange(len(raw))
+        raw, rarity = raw[moved], rarity[moved]
+        places = np.stack([fragment[order], sizes], axis=1).astype("<u4")
+        who, starts = np.unique(classes[order], return_index=True)
+        stops = np.append(starts, len(classes))[1:]
+        known, first = np.unique(docs[:, 2], return_index=True)
+        n = docs[first, 1][np.searchsorted(known, who)]
+        edges = np.append(0, ends)
+        rows = [(c, i, m, None, None, None) for i, m, c in docs.tolist()]
+        for c, m, a, b in zip(who.tolist(), n.tolist(), starts.tolist(), stops.tolist(), strict=True):
+            x, y = edges[a], edges[b]
+            if m - (y - x) < _first(m, percent):
+                rows.append((c, None, m, places[a:b].tobytes(), raw[x:y].tobytes(), rarity[x:y].tobytes()))
+        return _table(rows, _PARTS)
+
+    counted = ", ".join(f"{f.name} {_SQL[f.type]}" for f in _COUNTED)
+    parts = ", ".join(f"{f.name} {_SQL[f.type]}" for f in _PARTS)
+    return split.groupBy("fragment").applyInArrow(count, counted).groupBy("batch").applyInArrow(put_together, parts)
+
+
+_PARTS = pa.schema(
+    [*((c, pa.int64()) for c in ("class", "doc_id", "n")), *((c, pa.binary()) for c in ("fragments", "hashes", "rarity"))]
+)
+_SQL = {pa.int64(): "bigint", pa.int32(): "int", pa.binary(): "binary"}
 
 
 def _first(n: int, percent: int) -> int:
@@ -154,56 +199,62 @@ def _whole(fragments: bytes, hashes: bytes) -> np.ndarray:
     return (np.repeat(places[:, 0], places[:, 1]).astype(np.uint64) << np.uint64(8 * _HASH_BYTES)) | _unpacked(hashes)
 
 
-def _put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A class's parts one behind the other, with the number of shingles in each fragment."""
-    for batch in batches:
-        rows = []
-        for parts in batch.column("parts").to_pylist():
-            parts.sort(key=lambda p: p["fragment"])
-            places = np.array([(p["fragment"], len(p["rarity"])) for p in parts], dtype="<u4")
-            rows.append((places.tobytes(), *(b"".join(p[c] for p in parts) for c in ("hashes", "rarity"))))
-        columns = zip(*rows, strict=True) if rows else ((), (), ())
-        yield pa.record_batch(
-            [batch.column("id"), batch.column("n"), *(pa.array(c, pa.binary()) for c in columns)],
-            names=["id", "n", "fragments", "hashes", "rarity"],
-        )
+def _parity(names: np.ndarray) -> np.ndarray:
+    """Of a set's hashes, dealt to as many places as there are bits, whether each place has an odd number."""
+    places = (words.mix(names) % np.uint64(64 * _MARK_WORDS)).astype(np.int64)
+    odd = np.bincount(places, minlength=64 * _MARK_WORDS).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view("<i8")
 
 
 def candidate_keys(sets: DataFrame, percent: int) -> DataFrame:
     """key, id, rank and mark of classes: the shared ones among their first shingles.
 
     A class ranks first that has most of what others have: what they were copied from. The mark
-    holds its size and how many of its shingles others have.
+    holds its size, how many of its shingles others have, and the parity of those.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, ids, ranks, marks = [], [], [], []
+            keys, ranks, marks, sizes = [np.zeros(0, np.int64)], [], [], []
             for row in batch.to_pylist():
                 names = _whole(row["fragments"], row["hashes"])
                 own = row["n"] - len(names)
                 rarity = np.frombuffer(row["rarity"], np.uint8)
                 order = np.lexsort((names, rarity))[: _first(row["n"], percent) - own]
                 keys.append(words.mix(names[order]).view(np.int64))
-                ids.append(np.full(len(order), row["id"]))
-                ranks.append(np.full(len(order), -float(rarity.sum(dtype=np.int64))))
-                marks.append(np.full(len(order), row["n"] << 31 | len(names)))
-            key, own_id, rank, mark = (np.concatenate(x) if x else np.zeros(0) for x in (keys, ids, ranks, marks))
+                ranks.append(-float(rarity.sum(dtype=np.int64)))
+                marks.append(np.concatenate([[row["n"], len(names)], _parity(names)]))
+                sizes.append(len(order))
+            at = np.repeat(np.arange(len(sizes)), sizes)
+            mark = np.array(marks, dtype=np.int64).reshape(-1, 2 + _MARK_WORDS)[at]
+            columns = [pa.array(c) for c in mark.T.copy()]
             yield pa.record_batch(
-                [*(pa.array(x.astype(np.int64)) for x in (key, own_id)), pa.array(rank.astype(np.float64)), pa.array(mark.astype(np.int64))],
+                [
+                    pa.array(np.concatenate(keys)),
+                    batch.column("id").take(pa.array(at)),
+                    pa.array(np.array(ranks, dtype=np.float64)[at]),
+                    pa.StructArray.from_arrays(columns, ["n", "s", *_WORDS]),
+                ],
                 names=["key", "id", "rank", "mark"],
             )
 
-    return sets.mapInArrow(run, "key bigint, id bigint, rank double, mark bigint")
+    mark = ", ".join(f"{c}: bigint" for c in ("n", "s", *_WORDS))
+    return sets.mapInArrow(run, f"key bigint, id bigint, rank double, mark struct<{mark}>")
 
 
 def _can_link(percent: int):
-    """Whether two classes can link by their sizes and by how much of them others have."""
+    """Whether two classes can link by their sizes, by how much of them others have, and by parities.
+
+    Shingles that no other class has lie outside the overlap, and so does at least one for each place whose parities differ.
+    """
 
     def alike(a: Column, b: Column) -> Column:
-        (n_a, s_a), (n_b, s_b) = ((F.shiftright(x, 31), x.bitwiseAND(F.lit(2**31 - 1))) for x in (a, b))
-        sizes = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
-        return sizes & ((100 + percent) * F.least(s_a, s_b) >= percent * (n_a + n_b))
+        sizes = 100 * F.least(a["n"], b["n"]) >= percent * F.greatest(a["n"], b["n"])
+        shared = (100 + percent) * F.least(a["s"], b["s"]) >= percent * (a["n"] + b["n"])
+        apart = a["n"] - a["s"] + b["n"] - b["s"]
+        for c in _WORDS:
+            apart = apart + F.bit_count(a[c].bitwiseXOR(b[c]))
+        return sizes & shared & ((100 + percent) * (a["n"] + b["n"] - apart) >= 2 * percent * (a["n"] + b["n"]))
 
     return alike
 
@@ -250,22 +301,9 @@ def jaccard_components(docs: DataFrame, percent: int = THRESHOLD_PERCENT, width:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     length = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     fragments = max(16, length // 7 // FRAGMENT_SHINGLES)
-    parts = written(shared_parts(split_sets(texts, fragments, width)), "shared-shingles")
-    sizes = parts.where("n IS NOT NULL").select("doc_id", "n", "class")
-    first = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
-    sets = written(
-        parts.where("hashes IS NOT NULL")
-        .groupBy(F.col("class").alias("id"))
-        .agg(
-            F.sum(F.octet_length("rarity")).alias("shared"),
-            F.collect_list(F.struct("fragment", "hashes", "rarity")).alias("parts"),
-        )
-        .join(sizes.groupBy(F.col("class").alias("id")).agg(F.max("n").alias("n")), "id")
-        .where(F.col("n") - F.col("shared") < first)
-        .select("id", "n", "parts")
-        .mapInArrow(_put_together, "id bigint, n bigint, fragments binary, hashes binary, rarity binary"),
-        "candidates",
-    )
+    parts = written(shared_parts(split_sets(texts, fragments, width), percent), "shared-shingles")
+    sizes = parts.where("fragments IS NULL").select("doc_id", "n", "class")
+    sets = parts.where("fragments IS NOT NULL").select(F.col("class").alias("id"), "n", "fragments", "hashes", "rarity")
     labels = link(
         candidate_keys(sets, percent), lambda pairs: _overlaps(pairs, sets, percent), alike=_can_link(percent)
     )

@@ -128,3 +128,32 @@ def test_nothing_on_either_side(spark, make):
     one = spark.createDataFrame([(1, "a b c")], "item_id bigint, text string")
     assert decontamination.find_contamination(make([]), one).where(F.col("containment") > 0).count() == 0
     assert decontamination.drop_contaminated(make([]), one).count() == 0
+
+
+def test_rows_do_not_grow_with_the_number_of_fragments(make, prose):
+    """A document comes back as one row, and its shared shingles as another, from any number of fragments."""
+    docs = make([(i, prose(i // 3, 200)) for i in range(90)] + [(90 + i, f"{prose(i, 190)} end{i}") for i in range(30)])
+    parts = {}
+    for fragments in (2, 150):
+        rows = jaccard.shared_parts(jaccard.split_sets(docs, fragments), 80).collect()
+        assert len(rows) == 120 + 60  # classes: 30 texts, each with one near copy
+        parts[fragments] = {(r["class"], r.n, len(r.hashes) // 5) for r in rows if r.fragments is not None}
+    assert parts[2] == parts[150]
+
+
+def test_a_family_is_not_compared_in_full(make, prose, monkeypatch):
+    """Copies of one text, most with too many edits to link with each other, share keys; marks tell nearly all pairs apart."""
+    draw = random.Random(5)
+    base = prose(11, 150, 4000)
+    rows = [(i, _edited(draw, base, draw.choice((1, 3, 5, 6)))) for i in range(200)]
+    rows += [(500 + i, _edited(draw, t, 1)) for i, t in rows[:40]]
+    compared, real = [], jaccard._overlaps
+
+    def spy(pairs, *rest):
+        compared.append(pairs.count())
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "_overlaps", spy)
+    got = jaccard.jaccard_components(make(rows))
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in got.collect()} == brute_components(rows)
+    assert sum(compared) < 6 * len(rows)
