@@ -35,6 +35,9 @@ from lapsewise.llm.language import logistic
 #: Labelled documents that the lexicon and the regression are fitted on, at most.
 TRAINING_ROWS = 20_000
 STEMS = (8, 7, 6, 5, 4, 3)
+#: Rows whose texts a task holds as Python strings and sends on at a time, and words whose weight it
+#: remembers, about 100 bytes each: a batch of Spark's may have 10,000 rows of any length.
+SLICE_ROWS, KNOWN_WORDS = 512, 200_000
 
 #: Words that the grammar knows beside what it learns.
 THREATS = frozenset(
@@ -108,7 +111,7 @@ class ToxicityModel:
         if found is None:
             keys = (word, *(word[:n] + "*" for n in STEMS if len(word) > n))
             found = next((self.lexicon[k] for k in keys if k in self.lexicon), 0.0)
-            if len(self._known) > 500_000:
+            if len(self._known) >= KNOWN_WORDS:
                 self._known.clear()
             self._known[word] = found
         return found
@@ -155,6 +158,12 @@ def _kind(word: str) -> str:
     return "report" if word in REPORTS else "other"
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def _entries(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in STEMS if len(word) > n)]
 
@@ -191,7 +200,7 @@ def train_model(
     sc = sample.sparkSession.sparkContext
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             found = set()
             for text in batch.column("text").to_pylist():
                 words = _WORD.findall(text.lower())
@@ -213,7 +222,7 @@ def train_model(
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[str, bool], int] = {}
-        for batch in batches:
+        for batch in _slices(batches):
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
                 found = {e for w in set(_WORD.findall(text.lower())) for e in _entries(w) if e in wanted.value}
                 for e in (*found, ""):  # "" counts documents
@@ -237,7 +246,7 @@ def train_model(
     shared = sc.broadcast(model)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             made = [shared.value.features(t) for t in batch.column("text").to_pylist()]
             yield pa.record_batch([pa.array(made, pa.list_(pa.float64())), batch.column("toxic")], names=["x", "toxic"])
 
@@ -261,7 +270,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             yield pa.record_batch([batch.column("doc_id"), _scores(shared.value, batch)], names=["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -273,7 +282,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) ->
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             yield batch.filter(pc.less(_scores(shared.value, batch), threshold))
 
     return docs.mapInArrow(clean, docs.schema)

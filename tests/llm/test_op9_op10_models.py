@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,3 +133,15 @@ def test_held_out_documents_are_right(spark, name, folds, out):
     both = got.join(truth, "doc_id").collect()
     right = sum(r.lang_pred == r.lang if folds == 3 else r.predicted == r.toxic for r in both)
     assert len(both) > 50 and right / len(both) > 0.93
+
+
+def test_texts_are_scored_and_sent_on_in_slices(monkeypatch):
+    """A batch of ten thousand long texts is never a task's Python strings at once; remembered words are bounded."""
+    batch = pa.record_batch([pa.array(range(2000)), pa.array(["a bad word", None] * 1000)], names=["doc_id", "text"])
+    parts = list(toxicity._slices(iter([batch, batch.slice(0, 3)])))
+    assert max(p.num_rows for p in parts) <= 512
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch, batch.slice(0, 3)]))
+    monkeypatch.setattr(toxicity, "KNOWN_WORDS", 2)
+    model = toxicity.ToxicityModel({"bad": 2.0, "wor*": 1.0})
+    assert [model.weight(w) for w in ("a", "bad", "words", "wordy", "bad", "b")] == [0.0, 2.0, 1.0, 1.0, 2.0, 0.0]
+    assert len(model._known) <= 2
