@@ -56,6 +56,8 @@ _EVEN_BITS = 0x5555555555555555
 #: A packed key: key, id, sketch and length.
 _ENTRY = np.dtype([("key", "<u8"), ("id", "<i8"), ("s0", "<u8"), ("s1", "<u8"), ("n", "<u4")])
 _MARK = "struct<n:int,s0:bigint,s1:bigint>"
+#: Keys in a fragment, about: 18 MB, of which a task holds some copies.
+_FRAGMENT_KEYS = 500_000
 
 
 def normal_form(line: Column) -> Column:
@@ -180,6 +182,11 @@ def near_members(lines: DataFrame, fragments: int) -> DataFrame:
     return packed.groupBy("fragment").applyInArrow(find, f"key bigint, id bigint, mark {_MARK}")
 
 
+def _fragments(lines: int) -> int:
+    """How many fragments the keys of so many lines, some 20 each, are dealt to."""
+    return max(8, lines * 20 // _FRAGMENT_KEYS)
+
+
 def _has_neighbour(data: np.ndarray) -> np.ndarray:
     """Whether each of some entries, sorted by length, has another of fitting length and sketch."""
     n = data["n"].astype(np.int64)
@@ -232,7 +239,11 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         mark_a, mark_b = (F.get(f"marks_{x}", F.lit(family)) for x in "ab")
         near = near | F.coalesce(_near(mark_a, mark_b), F.lit(False))
     most = _most(F.length("norm_a"), F.length("norm_b"))
-    return both.where(near).where(F.call_function("levenshtein", "norm_a", "norm_b", most) >= 0).select("a", "b")
+    # The work grows with the most edits that are looked for, and copies as a rule have few.
+    very_few, few, enough = (
+        F.call_function("levenshtein", "norm_a", "norm_b", x) >= 0 for x in (F.shiftright(most, 6), F.shiftright(most, 3), most)
+    )
+    return both.where(near).where(very_few | few | enough).select("a", "b")
 
 
 def _marked(texts: DataFrame) -> DataFrame:
@@ -265,8 +276,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         "lines",
     )
     lines = distinct.count()
-    # A fragment gets some 20 keys of 36 bytes for each of its lines: some 2 million of them, 72 MB.
-    near = near_members(lines_of(docs).select("id", "norm"), fragments=max(8, lines * 20 // 2_000_000))
+    near = near_members(lines_of(docs).select("id", "norm"), _fragments(lines))
     members = written(near.withColumn("rank", F.lit(0)), "near-lines")
     ids = members.select("id").distinct()
     texts = written(_marked(_fetched(docs, ids)), "line-texts")

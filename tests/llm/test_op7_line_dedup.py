@@ -113,3 +113,11 @@ def test_normal_form_equals_brute_force(spark, make):
     df = spark.createDataFrame([(x,) for x in lines], "raw string")
     got = [r[0] for r in df.select(line_dedup.normal_form(df.raw)).collect()]
     assert [re.sub("̇", "", g) for g in got] == [re.sub(" ̇?", " ", normal(x)).replace("̇", "") for x in lines]
+
+
+def test_a_fragment_of_keys_stays_small():
+    """What one task sorts has some 20 MB, whatever the number of lines."""
+    for lines in (0, 1000, 1_800_000, 100_000_000):
+        n = line_dedup._fragments(lines)
+        assert n >= 8
+        assert lines * 20 / n * line_dedup._ENTRY.itemsize < 20e6

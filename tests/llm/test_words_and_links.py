@@ -73,3 +73,18 @@ def test_link_loses_no_link_between_members(spark):
 
     got = {r.id: r.component for r in link(members, confirm).collect()}
     assert got == _brute(edges)
+
+
+def test_ids_that_hang_together_cost_a_pair_each(spark):
+    """Every two neighbours share a key of their own with others in between; one leader is enough for each id."""
+    rows = [(key, i, 0.0) for key in range(0, 100, 2) for i in range(key, min(key + 40, 100))]
+    members = spark.createDataFrame(rows, "key bigint, id bigint, rank double")
+    counts = []
+
+    def confirm(pairs):
+        counts.append(pairs.count())
+        return pairs.where("true")
+
+    got = {r.id: r.component for r in link(members, confirm).collect()}
+    assert got == dict.fromkeys(range(100), 0)
+    assert sum(counts) < 2 * 100
