@@ -69,7 +69,7 @@ def split_sets(docs: DataFrame, fragments: int, width: int = words.WIDTH) -> Dat
         no = TaskContext.get().partitionId() << 32
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for part in words.batches(texts, 4 * words.BATCH_BYTES):
+            for part in words.batches(texts, 8 * words.BATCH_BYTES):
                 yield _split(no, ids[part], texts[part], fragments, width)
                 no += 1
 

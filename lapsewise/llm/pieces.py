@@ -32,7 +32,7 @@ from lapsewise.llm.store import written
 
 CHUNK = 1 << 15
 #: Distinct units whose ids a worker keeps, about 150 bytes each.
-KEPT = 400_000
+KEPT = 150_000
 
 #: A boundary state: the piece (or UNKNOWN, or START) that reaches over a cut, and by how much.
 State = tuple[int, int]

@@ -16,7 +16,7 @@ import numpy as np
 #: Words in a shingle, unless a caller says otherwise.
 WIDTH = 5
 #: Bytes of text hashed at a time; a longer single text is one batch of its own.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
