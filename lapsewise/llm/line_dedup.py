@@ -17,29 +17,30 @@ some (the README names its recall):
 * Every three hashes are a key, so each such family gives ``_BANDS`` keys; they travel as packed
   bytes with a sketch of two bits of every hash, and only what has a neighbour of fitting length
   and sketch under the same key goes on.
-* Linking (``components.link``) pairs a group's members with leaders first, and lists pairs only
-  between what has not come together.
-* Texts are fetched only of the lines that are to be compared: a Bloom filter of a fixed size
-  picks them out of a second reading.
+* Every pair that shares a key, and whose lengths and sketches fit, is compared (``edits.within``) once, where
+  the first key that both have lies, unless what was found there before connects it. Lines travel there only
+  with keys that are the first common one of some pair. Pairs of lines of more than ``_LONG`` characters
+  are linked by ``components.link`` and Spark's ``levenshtein``.
+* Normal forms are made of batches of texts in numpy, by a table of what Spark makes of each code
+  point; documents are read twice (and once more to count lines): once for the keys, once for the lines, which are kept.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import words
-from lapsewise.llm.components import link
+from lapsewise.llm import edits, words
+from lapsewise.llm.components import components, link
 from lapsewise.llm.store import written
-from lapsewise.llm.urls import bloom_filter, possible_hits
 
 SIMILARITY = 0.8
-#: 16 Mbit: some 10 bits for each of 1.6 million lines; with more, more lines are fetched in vain.
-_BLOCKS = 1 << 16
 _HASHES = 64
 _ROWS = 3
 _BANDS = 16
@@ -52,35 +53,114 @@ _LONG_WORDS = 12
 _ODD = np.random.default_rng(7).integers(0, 1 << 62, _HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Ids that a task remembers, so as to pack a line once.
 _MET = 300_000
+_KIND = np.uint64(5)
 _EVEN_BITS = 0x5555555555555555
 #: A packed key: key, id, sketch and length.
 _ENTRY = np.dtype([("key", "<u8"), ("id", "<i8"), ("s0", "<u8"), ("s1", "<u8"), ("n", "<u4")])
 _MARK = "struct<n:int,s0:bigint,s1:bigint>"
 #: Keys in a fragment, about: 18 MB, of which a task holds some copies.
 _FRAGMENT_KEYS = 500_000
+#: Bytes of lines and their keys that are compared in one fragment, about, and pairs that are compared at a time.
+_FRAGMENT_BYTES = 6_000_000
+_PAIRS = 100_000
+#: Two lines of more characters are compared by Spark's own function, which costs less where they are few.
+_LONG = 1024
 
 
 def normal_form(line: Column) -> Column:
-    spaced = F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " ")
+    return _plain(F.lower(line))
+
+
+def _plain(lower: Column) -> Column:
+    spaced = F.regexp_replace(lower, r"[^\p{L}\p{N}]+", " ")
     return F.trim(F.regexp_replace(spaced, r"\p{Nd}", "0"))
 
 
+@functools.lru_cache(maxsize=4)
+def _kept_points(spark: SparkSession) -> tuple[np.ndarray, np.ndarray]:
+    """The code points that a normal form keeps, and those that it makes a 0, as Spark has them."""
+    points = spark.range(0x110000).where("id < 55296 OR id > 57343")
+    char = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    made = points.select("id", _plain(char).alias("norm")).where("norm <> ''").select("id", (F.col("norm") == "0").alias("zero")).toArrow()
+    kept, zero = made["id"].to_numpy(), made["zero"].to_numpy()
+    return kept[~zero].astype(np.int32), kept[zero].astype(np.int32)
+
+
+def _classes(kept: np.ndarray, zero: np.ndarray) -> np.ndarray:
+    """What becomes of each code point of a text in lower case: itself, a 0, a space, or the end of a line."""
+    out = np.full(0x110000, 32, dtype=np.uint32)
+    out[kept], out[zero], out[10] = kept, 48, 10
+    return out
+
+
+def normal_forms(texts: list[str], classes: np.ndarray) -> list[str]:
+    """The normal forms of all lines of some texts in lower case, one after the other."""
+    points = classes[np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), dtype="<u4")]
+    gap = points <= 32
+    # One space for each run, none at the beginning of a line, and then none at its end.
+    points = points[~((points == 32) & np.append(True, gap[:-1]))]
+    points = points[~((points == 32) & np.append(points[1:] == 10, True))]
+    return points.tobytes().decode("utf-32-le", "surrogatepass").split("\n")[:-1]
+
+
+def _readings(docs: DataFrame) -> tuple[DataFrame, Callable[[pa.RecordBatch], Iterator[tuple]]]:
+    """doc_id, row (a hash of the whole text) and the text in lower case of the documents that have one, and a
+    function that yields of a batch of them lists of documents (their place in the batch), line numbers and normal forms."""
+    kept, zero = _kept_points(docs.sparkSession)
+    table: list[np.ndarray] = []
+
+    def lines(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
+        if not table:
+            table.append(_classes(kept, zero))
+        texts = batch.column("text").to_pylist()
+        for part in words.batches(texts, 1 << 19):
+            some = texts[part]
+            norms = normal_forms(some, table[0])
+            counts = np.array([t.count("\n") + 1 for t in some])
+            number = np.arange(len(norms)) - np.repeat(np.cumsum(counts) - counts, counts)
+            taken = np.array([i for i, norm in enumerate(norms) if norm], dtype=np.int64)
+            yield np.repeat(np.arange(part.start, part.stop), counts)[taken], number[taken], [norms[i] for i in taken.tolist()]
+
+    rows = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("row"), F.lower("text").alias("text"))
+    return rows, lines
+
+
+def _ids(norms: list[str]) -> np.ndarray:
+    """A hash of each normal form."""
+    hashes = b"".join(blake2b(n.encode("utf-8", "surrogatepass"), digest_size=8).digest() for n in norms)
+    return np.frombuffer(hashes, dtype="<i8")
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, row (a hash of the whole text), line (from 0), norm and id (its hash) of the lines that take part."""
-    rows = docs.select("doc_id", F.xxhash64("text").alias("row"), "text")
-    lines = rows.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    lines = lines.select("doc_id", "row", "line", normal_form(F.col("raw")).alias("norm"))
-    return lines.where("norm <> ''").withColumn("id", F.xxhash64("norm"))
+    rows, lines = _readings(docs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for owner, number, norms in lines(batch):
+                doc = [batch.column(c).take(pa.array(owner)) for c in ("doc_id", "row")]
+                made = [pa.array(number, pa.int32()), pa.array(norms, pa.string()), pa.array(_ids(norms))]
+                yield pa.record_batch([*doc, *made], names=["doc_id", "row", "line", "norm", "id"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, row bigint, line int, norm string, id bigint")
 
 
 def _min_hashes(features: np.ndarray, weights: np.ndarray, first: np.ndarray) -> np.ndarray:
     """The weighted MinHashes of sets laid end to end, none of them empty; a row for each set."""
-    out = np.empty((len(first), _HASHES), dtype=np.uint32)
+    out = np.empty((_HASHES, len(first)), dtype=np.float32)
     share = (1 / weights).astype(np.float32)
+    product, drawn = np.empty(len(features), dtype=np.uint64), np.empty(len(features), dtype=np.float32)
+    high = product.view(np.uint32)[1::2]
+    whole = np.empty(len(features), dtype=np.uint32)
     for k, odd in enumerate(_ODD):
-        drawn = ((features * odd) >> np.uint64(40)).astype(np.float32) + np.float32(0.5)
-        out[:, k] = np.minimum.reduceat(drawn * share, first).view(np.uint32)
-    return out
+        np.multiply(features, odd, out=product)
+        np.right_shift(high, np.uint32(8), out=whole)
+        np.copyto(drawn, whole.view(np.int32), casting="unsafe")
+        drawn += np.float32(0.5)
+        drawn *= share
+        np.minimum.reduceat(drawn, first, out=out[k])
+    return np.ascontiguousarray(out.T).view(np.uint32)
 
 
 def by_words(norms: list[str]) -> np.ndarray:
@@ -135,85 +215,177 @@ def entries(norms: list[str], ids: np.ndarray) -> np.ndarray:
         for family, (at, hashes) in enumerate(_families(norms[part])):
             made = np.empty((len(at), _BANDS), dtype=_ENTRY)
             sketch = sketches(hashes)
-            made["key"] = words.mix(band_keys(hashes) + np.uint64(family))
+            # The last five bits say which of a line's keys it is.
+            made["key"] = words.mix(band_keys(hashes) + np.uint64(family)) >> _KIND << _KIND | (np.arange(_BANDS) + family * _BANDS).astype(np.uint64)
             made["id"], made["n"] = ids[part][at, None], lengths[part][at, None]
             made["s0"], made["s1"] = sketch[:, :1], sketch[:, 1:]
             out.append(made.reshape(-1))
     return np.concatenate(out)
 
 
-def near_members(lines: DataFrame, fragments: int) -> DataFrame:
-    """key, id and mark (length and sketch) of the lines (id, norm) that have another near under the same key.
+def near_members(docs: DataFrame, fragments: int) -> DataFrame:
+    """key, id and mark (length and sketch) of the lines of some documents that have another near under the same key.
 
-    A line may be there more than once.
+    A line has ``_BANDS`` keys of each family at most; their last bits are the family and a number.
     """
+    rows, lines = _readings(docs)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
         for batch in batches:
-            new = {i: norm for i, norm in zip(batch.column("id").to_pylist(), batch.column("norm").to_pylist(), strict=True) if i not in met}
-            if len(met) > _MET:
-                met.clear()
-            met.update(new)
-            made = entries(list(new.values()), np.array(list(new), dtype=np.int64))
-            part = (made["key"] % np.uint64(fragments)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            found, starts = np.unique(part[order], return_index=True)
-            data = [made[idx].tobytes() for idx in np.split(order, starts[1:])] if len(found) else []
-            yield pa.record_batch([pa.array(found, pa.int32()), pa.array(data, pa.binary())], names=["fragment", "data"])
+            for _, _, norms in lines(batch):
+                new = {i: norm for i, norm in zip(_ids(norms).tolist(), norms, strict=True) if i not in met}
+                if len(met) > _MET:
+                    met.clear()
+                met.update(new)
+                made = entries(list(new.values()), np.array(list(new), dtype=np.int64))
+                part = ((made["key"] >> _KIND) % np.uint64(fragments)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                found, starts = np.unique(part[order], return_index=True)
+                data = [made[idx].tobytes() for idx in np.split(order, starts[1:])] if len(found) else []
+                yield pa.record_batch([pa.array(found, pa.int32()), pa.array(data, pa.binary())], names=["fragment", "data"])
 
     def find(group: pa.Table) -> pa.Table:
         data = np.frombuffer(b"".join(group["data"].to_pylist()), dtype=_ENTRY)
+        # Most keys are there once.
+        order = np.argsort(data["key"])
+        same = np.diff(data["key"][order]) == 0
+        data = data[order[np.append(False, same) | np.append(same, False)]]
         data = data[np.lexsort((data["id"], data["n"], data["key"]))]
         # The same line from several tasks is one.
         again = (data["key"][1:] == data["key"][:-1]) & (data["id"][1:] == data["id"][:-1])
-        data = data[np.append(True, ~again)]
-        edges = np.flatnonzero(np.diff(data["key"], prepend=~data["key"][:1], append=~data["key"][-1:]))
-        sizes = np.diff(edges)
+        data = data[np.append(True, ~again)[: len(data)]]
         near = np.zeros(len(data), dtype=bool)
-        for a, b in zip(edges[:-1][sizes > 1].tolist(), edges[1:][sizes > 1].tolist(), strict=True):
-            near[a:b] = _has_neighbour(data[a:b])
+        for a, b in _alike_pairs(data, lambda a, b: ~(near[a] & near[b])):
+            near[a] = near[b] = True
         data = data[near]
         mark = [pa.array(data["n"].astype(np.int32)), *(pa.array(data[c].view(np.int64)) for c in ("s0", "s1"))]
         mark = pa.StructArray.from_arrays(mark, ["n", "s0", "s1"])
         return pa.table({"key": pa.array(data["key"].view(np.int64)), "id": pa.array(data["id"]), "mark": mark})
 
-    packed = lines.select("id", "norm").mapInArrow(pack, "fragment int, data binary")
+    packed = rows.select("text").mapInArrow(pack, "fragment int, data binary")
     return packed.groupBy("fragment").applyInArrow(find, f"key bigint, id bigint, mark {_MARK}")
 
 
+def _alike_pairs(data: np.ndarray, wanted: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs with the same key and fitting lengths and sketches, some at a time; ``data`` is sorted by key and length.
+
+    Each is held against the next of its key, then the one after it, and so on; ``wanted`` says for which pairs that is of use by then.
+    """
+    key, n = data["key"].copy(), data["n"].astype(np.int64)
+    s0, s1 = (np.ascontiguousarray(data[c]) for c in ("s0", "s1"))
+    most = np.floor((1 - SIMILARITY) * n + 1e-9).astype(np.int64)
+    active, step = np.arange(len(data)), 0
+    while len(active):
+        step += 1
+        active = active[: np.searchsorted(active, len(data) - step)]
+        # Lines further on are longer still.
+        active = active[(key[active] == key[active + step]) & (n[active + step] - n[active] <= most[active + step])]
+        for at in range(0, len(active), 1 << 16):
+            a = active[at : at + (1 << 16)]
+            a = a[wanted(a, a + step)]
+            differ = np.zeros(len(a), dtype=np.uint8)
+            for s in (s0, s1):
+                x = s[a] ^ s[a + step]
+                differ += np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(_EVEN_BITS))
+            a = a[differ <= _APART]
+            yield a, a + step
+
+
 def _fragments(lines: int) -> int:
     """How many fragments the keys of so many lines, some 20 each, are dealt to."""
     return max(8, lines * 20 // _FRAGMENT_KEYS)
 
 
-def _has_neighbour(data: np.ndarray) -> np.ndarray:
-    """Whether each of some entries, sorted by length, has another of fitting length and sketch."""
-    n = data["n"].astype(np.int64)
-    s0, s1 = (np.ascontiguousarray(data[c]) for c in ("s0", "s1"))
-    most = np.floor((1 - SIMILARITY) * n + 1e-9)
-    from_ = np.searchsorted(n, n - most)
-    near = np.zeros(len(data), dtype=bool)
-    for at in range(0, len(data), 256):
-        end = min(at + 256, len(data))
-        # Each is compared with those before it that are long enough; both of a near pair are marked.
-        low = int(from_[at:end].min())
-        differ = np.zeros((end - at, end - low), dtype=np.uint8)
-        for s in (s0, s1):
-            x = s[at:end, None] ^ s[None, low:end]
-            differ += np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(_EVEN_BITS))
-        place = np.arange(low, end)
-        pair = (differ <= _APART) & (place[None] >= from_[at:end, None]) & (place[None] < np.arange(at, end)[:, None])
-        near[at:end] |= pair.any(axis=1)
-        near[low:end] |= pair.any(axis=0)
-    return near
-
-
-def _fetched(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """id and normal form of the lines with the given ids."""
-    bloom = bloom_filter(ids, "id", _BLOCKS)
-    hits = possible_hits(lines_of(docs).select("id", "norm"), bloom, "id", _BLOCKS).distinct()
-    return hits.join(ids, "id", "left_semi")
+def _compared(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between lines that share a key (``near_members``), one of them at least of ``_LONG`` characters or fewer.
+
+    A pair is compared where the first of the keys that both have lies, unless what was found there before has connected it.
+    """
+    family = F.col("key").bitwiseAND(1 << 4)
+    lines = members.groupBy("id", family.alias("family")).agg(F.first("mark").alias("mark"), F.collect_list("key").alias("keys"))
+
+    def dealt(rows: DataFrame, fragments: int) -> DataFrame:
+        fragment = F.pmod(F.shiftrightunsigned("key", int(_KIND)), F.lit(fragments))
+        return rows.withColumn("fragment", fragment).groupBy("fragment")
+
+    def first(group: pa.Table) -> pa.Table:
+        data, first_shared = _sorted_rows(group)
+        used = np.zeros(len(data), dtype=bool)
+        for a, b in _alike_pairs(data, lambda a, b: ~(used[a] & used[b])):
+            here = first_shared(a, b)
+            used[a[here]] = used[b[here]] = True
+        rows = group.select(["key", "id", "n", "s0", "s1", "keys"]).take(pa.array(data["row"][used]))
+        return rows.set_column(5, "keys", rows["keys"].cast(pa.list_(pa.int64())))
+
+    kind = "key bigint, id bigint, n int, s0 bigint, s1 bigint, keys array<bigint>"
+    rows = lines.select("id", "mark.*", "keys", F.explode("keys").alias("key"))
+    # A line goes on only under those of its keys that are the first common one of a pair.
+    rows = written(dealt(rows, _fragments(members.count() // 20)).applyInArrow(first, kind), "compared-lines")
+    size = rows.agg(F.sum(F.lit(150) + F.col("n")).alias("size")).head().size or 0
+
+    def compare(group: pa.Table) -> pa.Table:
+        data, first_shared = _sorted_rows(group)
+        ids, at, line = np.unique(data["id"], return_index=True, return_inverse=True)
+        lines = edits.Lines(group["norm"].take(pa.array(data["row"][at])).to_pylist())
+        n = data["n"].astype(np.int64)
+        root = np.arange(len(ids))
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def wanted(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            return (root[line[a]] != root[line[b]]) & ((n[a] <= _LONG) | (n[b] <= _LONG))
+
+        def judge() -> None:
+            a, b = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            most = np.floor((1 - SIMILARITY) * np.maximum(n[a], n[b]) + 1e-9).astype(np.int64)
+            near = edits.within(lines, line[a], line[b], most)
+            _unite(root, line[a[near]], line[b[near]])
+
+        for a, b in _alike_pairs(data, wanted):
+            here = first_shared(a, b)
+            if here.any():
+                held.append((a[here], b[here]))
+                if sum(len(x) for x, _ in held) >= _PAIRS:
+                    judge()
+        if held:
+            judge()
+        linked = np.flatnonzero(root != np.arange(len(ids)))
+        return pa.table({"a": pa.array(ids[linked]), "b": pa.array(ids[root[linked]])})
+
+    return dealt(rows.join(texts, "id"), max(8, size // _FRAGMENT_BYTES)).applyInArrow(compare, "a bigint, b bigint")
+
+
+def _sorted_rows(group: pa.Table) -> tuple[np.ndarray, Callable[[np.ndarray, np.ndarray], np.ndarray]]:
+    """Rows as ``_alike_pairs`` needs them, with their places in ``group``, and a function that says of pairs
+    whether the key under which they are found is the first that both have."""
+    data = np.empty(group.num_rows, dtype=[*_ENTRY.descr, ("row", "<i8")])
+    for c in ("key", "s0", "s1"):
+        data[c] = group[c].to_numpy().view(np.uint64)
+    data["id"], data["n"], data["row"] = group["id"].to_numpy(), group["n"].to_numpy(), np.arange(len(data))
+    keys = np.zeros((len(data), _BANDS), dtype=np.uint64)
+    listed = group["keys"].combine_chunks()
+    flat = listed.flatten().to_numpy().view(np.uint64)
+    keys[np.repeat(np.arange(len(data)), listed.value_lengths().to_numpy(zero_copy_only=False)), flat % np.uint64(_BANDS)] = flat
+    data = data[np.lexsort((data["id"], data["n"], data["key"]))]
+    row, band = data["row"].copy(), (data["key"] % np.uint64(_BANDS)).astype(np.int64)
+
+    def first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        common = (keys[row[a]] == keys[row[b]]) & (keys[row[a]] != 0)
+        return common.argmax(axis=1) == band[a]
+
+    return data, first_shared
+
+
+def _unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Let ``root`` hold the smallest number that each is connected with, now also by links from ``a`` to ``b``."""
+    while True:
+        x, y = root[a], root[b]
+        if (x == y).all():
+            return
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root != root[root]).any():
+            root[:] = root[root]
 
 
 def _near(a: Column, b: Column) -> Column:
@@ -269,31 +441,24 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     Null and empty texts have no lines that take part. Rows with the same doc_id and text are one
     document; those with the same doc_id, or none, and different texts are not.
     """
-    distinct = written(
-        lines_of(docs)
-        .groupBy("id")
-        .agg(F.min(F.struct("doc_id", "line", "row")).alias("first"), F.count("*").alias("n")),
-        "lines",
-    )
-    lines = distinct.count()
-    near = near_members(lines_of(docs).select("id", "norm"), _fragments(lines))
-    members = written(near.withColumn("rank", F.lit(0)), "near-lines")
-    ids = members.select("id").distinct()
-    texts = written(_marked(_fetched(docs, ids)), "line-texts")
-    labels = link(members, lambda pairs: _confirmed(pairs, texts), alike=_near)
-    grouped = distinct.join(labels, "id", "left").withColumn("group", F.coalesce("component", "id"))
-    kept = grouped.where(F.col("component").isNotNull()).groupBy("group").agg(F.min("first").alias("kept"))
-    decided = written(
-        grouped.where((F.col("n") > 1) | F.col("component").isNotNull())
-        .join(kept, "group", "left")
-        .select("id", F.coalesce("kept", "first").alias("kept")),
-        "decided-lines",
-    )
-    occurrences = possible_hits(
-        lines_of(docs).select("doc_id", "row", "line", "id"), bloom_filter(decided, "id", _BLOCKS), "id", _BLOCKS
-    )
+    count = docs.agg(F.sum(F.size(F.split("text", "\n"))).alias("n")).head().n or 0
+    members = written(near_members(docs, _fragments(count)), "near-lines")
+    lines = written(lines_of(docs), "lines")
+    texts = written(lines.select("id", "norm").join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "line-texts")
+    links = written(_compared(members, texts), "line-links")
+    long = members.where(F.col("mark.n") > _LONG)
+    if not long.isEmpty():
+        marked = written(_marked(texts.where(F.length("norm") > _LONG)), "long-lines")
+        both = link(long.withColumn("rank", F.lit(0)), lambda pairs: _confirmed(pairs, marked), alike=_near)
+        links = links.unionAll(both.select(F.col("id").alias("a"), F.col("component").alias("b")))
+    labels = written(components(links), "line-labels")
+    distinct = lines.groupBy("id").agg(F.min(F.struct("doc_id", "line", "row")).alias("first"), F.count("*").alias("n"))
+    grouped = written(distinct.join(labels, "id", "left").where("n > 1 OR component IS NOT NULL"), "repeated-lines")
+    kept = grouped.groupBy(F.coalesce("component", "id").alias("group")).agg(F.min("first").alias("kept"))
+    decided = grouped.withColumn("group", F.coalesce("component", "id")).join(kept, "group").select("id", "kept")
     here = F.struct("doc_id", "line", "row")
-    return occurrences.join(decided, "id").where(~here.eqNullSafe(F.col("kept"))).select("doc_id", "row", "line").distinct()
+    occurrences = lines.select("doc_id", "row", "line", "id").join(decided, "id")
+    return occurrences.where(~here.eqNullSafe(F.col("kept"))).select("doc_id", "row", "line").distinct()
 
 
 def mark_repeats(docs: DataFrame) -> DataFrame:

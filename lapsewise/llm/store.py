@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``, else the warehouse: both can be reached from every executor."""
@@ -24,7 +26,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, kept as a table: what follows starts from files that outlive executors."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    # Nothing reads the shuffles of this job again: their files go with its end, not when the driver next collects garbage.
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
