@@ -1,20 +1,29 @@
 """Which of many pairs of lines are similar by edit distance, in numpy.
 
-All pairs are taken at once. What a pair has in common at both ends is cut off first, which changes
-no distance. Characters are then counted: an edit changes one single character and two pairs of
-neighbours, so counts that differ by more than the most edits could do rule a pair out. For the rest
-the distance itself is computed by Myers' bit vectors (64 rows of the table in a number), a column of
-all pairs of like length at a time.
+All pairs are taken at once. Characters are counted first: an edit changes one single character and
+two pairs of neighbours, so counts that differ by more than the most edits could do rule a pair out.
+Of longer lines, edits are then allowed one by one: of every diagonal of the table is kept how far so
+many edits lead on it (Ukkonen), so a copy with few edits costs the square of its distance instead of
+that of its length. Pairs that need more than half of the most edits are left to Myers' bit vectors
+(64 rows of the table in a number), a column of all pairs of like length at a time.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+#: Characters that are counted at a time.
+_COUNTED = 1 << 19
+#: Diagonals of the pairs compared at a time.
+_DIAGONALS = 1 << 16
 #: Numbers in the table of where each character lies in each line, for the pairs compared at a time.
-_TABLE = 1 << 19
-#: Characters of both lines of the pairs whose ends are compared at a time.
-_ENDS = 1 << 19
+_TABLE = 1 << 20
+#: Different characters of a line, about, and numbers in the table of the places of all characters.
+_ALPHABET, _CODES = 64, 1 << 22
+#: Fewer pairs of like length than this cost less by diagonals, however many edits they need.
+_FEW = 40
+#: Lines of no more characters have bit vectors at once.
+_BRIEF = 128
 _SINGLE, _PAIRED = 32, 64
 _ONE = np.uint64(1)
 _LAST = np.uint64(63)
@@ -36,7 +45,7 @@ class Lines:
         ends = self.starts + self.sizes
         first = 0
         while first < len(lines):
-            last = max(first + 1, int(np.searchsorted(ends, self.starts[first] + _ENDS)))
+            last = max(first + 1, int(np.searchsorted(ends, self.starts[first] + _COUNTED)))
             codes = self.codes[self.starts[first] : ends[last - 1]].astype(np.int64)
             owner = np.repeat(np.arange(last - first), self.sizes[first:last])
             self.single[first:last] = _counts(owner, codes, _SINGLE, last - first)
@@ -44,6 +53,13 @@ class Lines:
             pairs = (codes[:-1] * 0x9E3779B1 + codes[1:] * 0x85EBCA77) >> 7
             self.paired[first:last] = _counts(owner[1:][inside], pairs[inside], _PAIRED, last - first)
             first = last
+        # As many characters from each place on as a number holds, also where the line ends before.
+        self.bits = 16 if self.letters <= 1 << 16 else 32
+        self.ahead = np.zeros(len(points) + 1, dtype=np.uint64)
+        self.ahead[:-1] = self.codes
+        for shift in (s for s in (32, 16) if s >= self.bits):
+            by = shift // self.bits
+            self.ahead[:-by] |= self.ahead[by:] << np.uint64(shift)
 
     def padded(self, at: np.ndarray, width: int) -> np.ndarray:
         """So many characters from each of some places on, a row each, also where the line is shorter."""
@@ -52,14 +68,21 @@ class Lines:
 
 
 def _counts(owner: np.ndarray, what: np.ndarray, kinds: int, n: int) -> np.ndarray:
-    """How often each line has each kind of character (more than 255 times counts as 255 times)."""
+    """How often each line has each kind of character (more than 32,767 times counts as that)."""
     out = np.bincount(owner * kinds + what % kinds, minlength=n * kinds)
-    return np.minimum(out, 255).astype(np.int16).reshape(n, kinds)
+    return np.minimum(out, 32767).astype(np.int16).reshape(n, kinds)
 
 
 def within(lines: Lines, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
     """Whether the lines numbered ``a`` and ``b`` are at most ``most`` edits apart, pair by pair."""
-    out = np.zeros(len(a), dtype=bool)
+    out, unsure = soon(lines, a, b, most)
+    out[unsure] = settled(lines, a[unsure], b[unsure], most[unsure])
+    return out
+
+
+def soon(lines: Lines, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs are found with little work to be within ``most`` edits, and the places of those not yet known (for ``settled``)."""
+    out, unsure = np.zeros(len(a), dtype=bool), [np.zeros(0, dtype=np.int64)]
     for at in range(0, len(a), 1 << 14):
         some = slice(at, at + (1 << 14))
         x, y, k = a[some], b[some], most[some]
@@ -69,68 +92,120 @@ def within(lines: Lines, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.n
         left = np.flatnonzero(possible)
         apart = np.abs(lines.paired[x[left]] - lines.paired[y[left]]).sum(axis=1)
         left = left[apart <= 4 * k[left]]
-        out[at + left] = _near(lines, x[left], y[left], k[left])
+        x, y, k = x[left], y[left], k[left]
+        size = np.maximum(lines.sizes[x], lines.sizes[y])
+        # Putting all of the other line in the place of one takes as many edits as the longer has characters.
+        near = size <= k
+        long = np.flatnonzero(~near & (size > _BRIEF))
+        near[long] = _few_edits(lines, x[long], y[long], k[long] >> 1)
+        out[at + left] = near
+        unsure.append(at + left[~near])
+    return out, np.concatenate(unsure)
+
+
+def _few_edits(lines: Lines, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Which pairs are at most ``most`` edits apart, fewer than the longer line has characters."""
+    swap = lines.sizes[a] > lines.sizes[b]
+    a, b = np.where(swap, b, a), np.where(swap, a, b)
+    m, n = lines.sizes[a], lines.sizes[b]
+    out = np.zeros(len(a), dtype=bool)
+    rest = np.flatnonzero(n - m <= most)
+    rest = rest[np.argsort(most[rest], kind="stable")]
+    for at in range(0, len(rest), _DIAGONALS >> 4):
+        pairs = rest[at : at + (_DIAGONALS >> 4)]
+        start = _equal(lines, lines.starts[a[pairs]], lines.starts[b[pairs]], m[pairs])
+        # Pairs, the edits allowed, the first diagonal (place in b less place in a) and how far in a each leads.
+        todo = [(pairs, 0, 0, start[:, None])]
+        while todo:
+            pairs, edits, low, reach = todo.pop()
+            while len(pairs):
+                more = n[pairs] - m[pairs]
+                end = reach[np.arange(len(pairs)), np.clip(more - low, 0, reach.shape[1] - 1)]
+                there = (end == m[pairs]) & (more >= low) & (more < low + reach.shape[1])
+                out[pairs[there]] = True
+                going = ~there & (edits < most[pairs])
+                if not going.all():
+                    pairs, reach = pairs[going], reach[going]
+                    if not len(pairs):
+                        break
+                if reach.size > _DIAGONALS and len(pairs) > 1:
+                    half = len(pairs) // 2
+                    todo.append((pairs[half:], edits, low, reach[half:]))
+                    pairs, reach = pairs[:half], reach[:half]
+                edits += 1
+                low, reach = _one_more(lines, a[pairs], b[pairs], most[pairs] - edits, low, reach)
     return out
 
 
-def _near(lines: Lines, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """As :func:`within`, by distance alone."""
+def _one_more(lines: Lines, a: np.ndarray, b: np.ndarray, left: np.ndarray, low: int, reach: np.ndarray) -> tuple[int, np.ndarray]:
+    """The first diagonal and how far each is reached with one edit more; ``left`` are the edits allowed after that."""
+    count, width = reach.shape
+    m, n = lines.sizes[a], lines.sizes[b]
+    out = np.full((count, width + 2), -1, dtype=reach.dtype)
+    out[:, 2:] = reach
+    np.maximum(out[:, 1:-1], reach + 1, out=out[:, 1:-1])
+    np.maximum(out[:, :-2], reach + 1, out=out[:, :-2])
+    # The end is on diagonal n - m, and every step to another diagonal is an edit.
+    first = max(low - 1, int((n - m - left).min()))
+    last = min(low + width, int((n - m + left).max()))
+    out = out[:, first - low + 1 : last - low + 2]
+    diagonal = np.arange(first, last + 1)
+    np.minimum(out, np.minimum(m[:, None], n[:, None] - diagonal), out=out)
+    at_b = out + diagonal
+    room = np.minimum(m[:, None] - out, n[:, None] - at_b)
+    place = lines.starts[a][:, None] + out, lines.starts[b][:, None] + np.maximum(at_b, 0)
+    out += _equal(lines, place[0].ravel(), place[1].ravel(), room.ravel()).reshape(out.shape)
+    return first, out
+
+
+def _equal(lines: Lines, a: np.ndarray, b: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """How many characters from two places on are the same, ``room`` at most."""
+    each, shift = 64 // lines.bits, np.uint8(lines.bits.bit_length() - 1)
+    differ = lines.ahead[a] ^ lines.ahead[b]
+    out = (np.bitwise_count((differ & (~differ + _ONE)) - _ONE) >> shift).astype(np.int64)
+    on = np.flatnonzero((differ == 0) & (room > each))
+    while len(on):
+        differ = lines.ahead[a[on] + out[on]] ^ lines.ahead[b[on] + out[on]]
+        step = (np.bitwise_count((differ & (~differ + _ONE)) - _ONE) >> shift).astype(np.int64)
+        out[on] += step
+        on = on[(step == each) & (out[on] < room[on])]
+    return np.minimum(out, room)
+
+
+def settled(lines: Lines, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """As :func:`within`, by the distance itself; better of many pairs at a time."""
     swap = lines.sizes[a] > lines.sizes[b]
     a, b = np.where(swap, b, a), np.where(swap, a, b)
     m, n = lines.sizes[a], lines.sizes[b]
-    at_a, at_b = lines.starts[a].copy(), lines.starts[b].copy()
-    order = np.argsort(n, kind="stable")
-    for some in _parts(order, n, 2, _ENDS):
-        short, width = m[some], int(m[some].max(initial=0))
-        same = lines.padded(at_a[some], width) == lines.padded(at_b[some], width)
-        inside = np.arange(width) < short[:, None]
-        front = np.where(same & inside, 0, 1)
-        front = np.where(front.any(axis=1), front.argmax(axis=1), short) if width else short
-        back_a = lines.codes[np.maximum((at_a + m)[some, None] - 1 - np.arange(width), 0)]
-        back_b = lines.codes[np.maximum((at_b + n)[some, None] - 1 - np.arange(width), 0)]
-        back = np.where((back_a == back_b) & inside, 0, 1)
-        back = np.where(back.any(axis=1), back.argmax(axis=1), short) if width else short
-        back = np.minimum(back, short - front)
-        at_a[some] += front
-        at_b[some] += front
-        m[some] -= front + back
-        n[some] -= front + back
-    out = np.zeros(len(a), dtype=bool)
-    # One line within the other: what else there is has been put in.
-    none = m == 0
-    out[none] = n[none] <= most[none]
-    rest = np.flatnonzero(~none)
+    out = n <= most
     words = (m + 63) >> 6
-    for count in np.unique(words[rest]).tolist():
-        mine = rest[words[rest] == count]
+    # Of an empty line that was all there is to say.
+    for count in np.unique(words[m > 0]).tolist():
+        mine = np.flatnonzero(words == count)
         mine = mine[np.argsort(n[mine], kind="stable")]
-        step = max(1, _TABLE // (count * lines.letters))
+        step = max(1, min(_TABLE // (count * _ALPHABET), _CODES // lines.letters))
+        if count > 2 and min(step, len(mine)) < _FEW:
+            out[mine] = _few_edits(lines, a[mine], b[mine], most[mine])
+            continue
         for i in range(0, len(mine), step):
             some = mine[i : i + step]
             band = int(most[some].max())
-            out[some] = _distances(lines, at_a[some], m[some], at_b[some], n[some], count, band) <= most[some]
+            far = _distances(lines, lines.starts[a[some]], m[some], lines.starts[b[some]], n[some], count, band)
+            out[some] = far <= most[some]
     return out
 
 
-def _parts(order: np.ndarray, sizes: np.ndarray, each: int, most: int):
-    """Some numbers in a given order, in parts whose longest size times their number stays bounded."""
-    at = 0
-    while at < len(order):
-        step = max(1, most // (each * max(1, int(sizes[order[at]]))))
-        some = order[at : at + step]
-        step = max(1, most // (each * max(1, int(sizes[some[-1]]))))
-        yield some[:step]
-        at += min(step, len(some))
-
-
 def _places(lines: Lines, at: np.ndarray, sizes: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bits that say where each character lies in some lines, words first, and where a line's characters begin in it."""
-    table = np.zeros((words, len(at) * lines.letters), dtype=np.uint64)
-    row = np.arange(len(at)) * lines.letters
-    for i, place in enumerate(lines.padded(at, int(sizes.max())).T):
-        here = sizes > i
-        table[i >> 6, (row + place)[here]] |= np.uint64(1 << (i & 63))
-    return table, row
+    """Bits that say where each character lies in some lines, words first, and for each line and character its place there (0: none)."""
+    codes = lines.padded(at, int(sizes.max())) + (np.arange(len(at)) * lines.letters)[:, None]
+    inside = np.arange(codes.shape[1]) < sizes[:, None]
+    there = np.zeros(len(at) * lines.letters, dtype=bool)
+    there[codes[inside]] = True
+    number = np.where(there, np.cumsum(there, dtype=np.int32), 0)
+    table = np.zeros((words, int(there.sum()) + 1), dtype=np.uint64)
+    for i, place in enumerate(number[codes].T):
+        table[i >> 6, place[inside[:, i]]] |= np.uint64(1 << (i & 63))
+    return table, number
 
 
 def _distances(
@@ -141,8 +216,9 @@ def _distances(
     Only words with a row less than ``band`` from the diagonal are looked at; a distance above ``band`` may come out larger.
     """
     count = len(m)
-    table, row = _places(lines, at_a, m, words)
-    text = lines.padded(at_b, int(n[-1])).T
+    table, number = _places(lines, at_a, m, words)
+    text = lines.padded(at_b, int(n[-1])) + (np.arange(count) * lines.letters)[:, None]
+    text = np.ascontiguousarray(number[text].T)
     up = [np.full(count, ~np.uint64(0)) for _ in range(words)]
     down = [np.zeros(count, dtype=np.uint64) for _ in range(words)]
     end = ((m - 1) & 63).astype(np.uint64)
@@ -153,7 +229,7 @@ def _distances(
         while low < min(words - 1, (j + band) >> 6):
             low += 1
             score += 64 if low < words - 1 else m - 64 * low
-        place = row[first:] + text[j, first:]
+        place = text[j, first:]
         up_in, down_in = _ONE, np.uint64(0)
         for w in range(max(0, (j - band) >> 6), low + 1):
             pv, mv, eq = up[w][first:], down[w][first:], table[w][place]

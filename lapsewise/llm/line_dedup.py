@@ -19,8 +19,7 @@ some (the README names its recall):
   and sketch under the same key goes on.
 * Every pair that shares a key, and whose lengths and sketches fit, is compared (``edits.within``) once, where
   the first key that both have lies, unless what was found there before connects it. Lines travel there only
-  with keys that are the first common one of some pair. Pairs of lines of more than ``_LONG`` characters
-  are linked by ``components.link`` and Spark's ``levenshtein``.
+  with keys that are the first common one of some pair.
 * Normal forms are made of batches of texts in numpy, by a table of what Spark makes of each code
   point; documents are read twice (and once more to count lines): once for the keys, once for the lines, which are kept.
 """
@@ -37,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise.llm import edits, words
-from lapsewise.llm.components import components, link
+from lapsewise.llm.components import components
 from lapsewise.llm.store import written
 
 SIMILARITY = 0.8
@@ -51,6 +50,8 @@ _APART = 32
 _SHORT = 48
 _LONG_WORDS = 12
 _ODD = np.random.default_rng(7).integers(0, 1 << 62, _HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Texts that a worker has as strings at a time.
+_TEXTS = 512
 #: Ids that a task remembers, so as to pack a line once.
 _MET = 300_000
 _KIND = np.uint64(5)
@@ -62,9 +63,9 @@ _MARK = "struct<n:int,s0:bigint,s1:bigint>"
 _FRAGMENT_KEYS = 500_000
 #: Bytes of lines and their keys that are compared in one fragment, about, and pairs that are compared at a time.
 _FRAGMENT_BYTES = 6_000_000
-_PAIRS = 100_000
-#: Two lines of more characters are compared by Spark's own function, which costs less where they are few.
-_LONG = 1024
+_PAIRS = 2_000
+#: Pairs whose distances are computed at a time: those that are not found to be near with little work.
+_LATE = 20_000
 
 
 def normal_form(line: Column) -> Column:
@@ -112,14 +113,16 @@ def _readings(docs: DataFrame) -> tuple[DataFrame, Callable[[pa.RecordBatch], It
     def lines(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
         if not table:
             table.append(_classes(kept, zero))
-        texts = batch.column("text").to_pylist()
-        for part in words.batches(texts, 1 << 19):
-            some = texts[part]
-            norms = normal_forms(some, table[0])
-            counts = np.array([t.count("\n") + 1 for t in some])
-            number = np.arange(len(norms)) - np.repeat(np.cumsum(counts) - counts, counts)
-            taken = np.array([i for i, norm in enumerate(norms) if norm], dtype=np.int64)
-            yield np.repeat(np.arange(part.start, part.stop), counts)[taken], number[taken], [norms[i] for i in taken.tolist()]
+        for start in range(0, batch.num_rows, _TEXTS):
+            texts = batch.column("text").slice(start, _TEXTS).to_pylist()
+            for part in words.batches(texts, 1 << 19):
+                some = texts[part]
+                norms = normal_forms(some, table[0])
+                counts = np.array([t.count("\n") + 1 for t in some])
+                number = np.arange(len(norms)) - np.repeat(np.cumsum(counts) - counts, counts)
+                taken = np.array([i for i, norm in enumerate(norms) if norm], dtype=np.int64)
+                owner = np.repeat(np.arange(start + part.start, start + part.stop), counts)
+                yield owner[taken], number[taken], [norms[i] for i in taken.tolist()]
 
     rows = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("row"), F.lower("text").alias("text"))
     return rows, lines
@@ -298,7 +301,7 @@ def _fragments(lines: int) -> int:
 
 
 def _compared(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) between lines that share a key (``near_members``), one of them at least of ``_LONG`` characters or fewer.
+    """Links (a, b) between lines that share a key (``near_members``).
 
     A pair is compared where the first of the keys that both have lies, unless what was found there before has connected it.
     """
@@ -331,15 +334,28 @@ def _compared(members: DataFrame, texts: DataFrame) -> DataFrame:
         n = data["n"].astype(np.int64)
         root = np.arange(len(ids))
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        late: list[tuple[np.ndarray, np.ndarray]] = []
 
         def wanted(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            return (root[line[a]] != root[line[b]]) & ((n[a] <= _LONG) | (n[b] <= _LONG))
+            return root[line[a]] != root[line[b]]
+
+        def most(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            return np.floor((1 - SIMILARITY) * np.maximum(n[a], n[b]) + 1e-9).astype(np.int64)
 
         def judge() -> None:
             a, b = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
-            most = np.floor((1 - SIMILARITY) * np.maximum(n[a], n[b]) + 1e-9).astype(np.int64)
-            near = edits.within(lines, line[a], line[b], most)
+            near, unsure = edits.soon(lines, line[a], line[b], most(a, b))
+            _unite(root, line[a[near]], line[b[near]])
+            late.append((a[unsure], b[unsure]))
+
+        def settle() -> None:
+            a, b = (np.concatenate(x) for x in zip(*late, strict=True))
+            late.clear()
+            # What has been connected since needs no answer.
+            here = wanted(a, b)
+            a, b = a[here], b[here]
+            near = edits.settled(lines, line[a], line[b], most(a, b))
             _unite(root, line[a[near]], line[b[near]])
 
         for a, b in _alike_pairs(data, wanted):
@@ -348,8 +364,12 @@ def _compared(members: DataFrame, texts: DataFrame) -> DataFrame:
                 held.append((a[here], b[here]))
                 if sum(len(x) for x, _ in held) >= _PAIRS:
                     judge()
+                    if sum(len(x) for x, _ in late) >= _LATE:
+                        settle()
         if held:
             judge()
+        if late:
+            settle()
         linked = np.flatnonzero(root != np.arange(len(ids)))
         return pa.table({"a": pa.array(ids[linked]), "b": pa.array(ids[root[linked]])})
 
@@ -388,53 +408,6 @@ def _unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             root[:] = root[root]
 
 
-def _near(a: Column, b: Column) -> Column:
-    """Whether two marks leave room for an edit similarity of ``SIMILARITY``."""
-    differ = F.lit(0)
-    for c in ("s0", "s1"):
-        x = a[c].bitwiseXOR(b[c])
-        differ = differ + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(_EVEN_BITS)))
-    return (differ <= _APART) & (F.greatest(a["n"], b["n"]) - F.least(a["n"], b["n"]) <= _most(a["n"], b["n"]))
-
-
-def _most(a: Column, b: Column) -> Column:
-    """The most edits between two similar lines of these lengths."""
-    return F.floor((1 - F.lit(SIMILARITY)) * F.greatest(a, b) + 1e-9).cast("int")
-
-
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    a, b = (texts.select(F.col("id").alias(x), F.col("norm").alias(f"norm_{x}"), F.col("marks").alias(f"marks_{x}")) for x in "ab")
-    both = pairs.join(a, "a").join(b, "b")
-    # A family's marks meet only each other.
-    near = F.lit(False)
-    for family in range(2):
-        mark_a, mark_b = (F.get(f"marks_{x}", F.lit(family)) for x in "ab")
-        near = near | F.coalesce(_near(mark_a, mark_b), F.lit(False))
-    most = _most(F.length("norm_a"), F.length("norm_b"))
-    # The work grows with the most edits that are looked for, and copies as a rule have few.
-    very_few, few, enough = (
-        F.call_function("levenshtein", "norm_a", "norm_b", x) >= 0 for x in (F.shiftright(most, 6), F.shiftright(most, 3), most)
-    )
-    return both.where(near).where(very_few | few | enough).select("a", "b")
-
-
-def _marked(texts: DataFrame) -> DataFrame:
-    """id, norm and marks (by words, and by characters where there are such keys)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            norms = batch.column("norm").to_pylist()
-            marks: list[list[dict]] = [[] for _ in norms]
-            for part in words.batches(norms, 1 << 18):
-                for at, hashes in _families(norms[part]):
-                    for i, (s0, s1) in zip((at + part.start).tolist(), sketches(hashes).view(np.int64).tolist(), strict=True):
-                        marks[i].append({"n": len(norms[i]), "s0": s0, "s1": s1})
-            kind = pa.list_(pa.struct([("n", pa.int32()), ("s0", pa.int64()), ("s1", pa.int64())]))
-            yield pa.record_batch([batch.column("id"), batch.column("norm"), pa.array(marks, kind)], names=["id", "norm", "marks"])
-
-    return texts.select("id", "norm").mapInArrow(run, f"id bigint, norm string, marks array<{_MARK}>")
-
-
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """doc_id, row and line of every line that repeats an earlier one, exactly or nearly.
 
@@ -446,11 +419,6 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     lines = written(lines_of(docs), "lines")
     texts = written(lines.select("id", "norm").join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "line-texts")
     links = written(_compared(members, texts), "line-links")
-    long = members.where(F.col("mark.n") > _LONG)
-    if not long.isEmpty():
-        marked = written(_marked(texts.where(F.length("norm") > _LONG)), "long-lines")
-        both = link(long.withColumn("rank", F.lit(0)), lambda pairs: _confirmed(pairs, marked), alike=_near)
-        links = links.unionAll(both.select(F.col("id").alias("a"), F.col("component").alias("b")))
     labels = written(components(links), "line-labels")
     distinct = lines.groupBy("id").agg(F.min(F.struct("doc_id", "line", "row")).alias("first"), F.count("*").alias("n"))
     grouped = written(distinct.join(labels, "id", "left").where("n > 1 OR component IS NOT NULL"), "repeated-lines")

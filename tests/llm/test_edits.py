@@ -24,3 +24,41 @@ def test_pairs_within_so_many_edits_are_those_of_the_recurrence():
     made = edits.Lines(lines)
     for most in (want, np.maximum(want - 1, 0), np.full(len(a), 12)):
         assert (edits.within(made, a, b, most) == (want <= most)).all()
+
+
+def test_long_copies_with_few_edits_need_no_bit_vectors():
+    """The work for copies grows with their edits: lines of 30,000 characters are answered at once."""
+    draw = random.Random(5)
+    one = "".join(draw.choices("abcdefgh 漢", k=30_000))
+    other = list(one)
+    for at in draw.sample(range(0, 30_000, 2), 40):
+        other[at] = draw.choice(["", "z"])
+    cut = one[:1000] + one[1020:4000] + one[4010:]
+    apart = "".join(draw.choices("abcdefgh 漢", k=30_000))
+    made = edits.Lines([one, "".join(other), cut, apart])
+    first, second = np.array([0, 0, 1]), np.array([1, 2, 2])
+    near, unsure = edits.soon(made, first, second, np.array([6000, 6000, 6000]))
+    assert near.all() and not len(unsure)
+    assert edits.within(made, first, second, np.array([40, 30, 70])).all()
+    assert list(edits.within(made, first[:2], second[:2], np.array([39, 29]))) == [False, False]
+    assert not edits.within(made, np.array([0]), np.array([3]), np.array([500])).any()
+
+
+def test_pairs_of_many_lengths_and_distances(monkeypatch):
+    """Also where many pairs share a table, and where few do."""
+    draw = random.Random(6)
+    lines = []
+    for _ in range(120):
+        one = "".join(draw.choices("abcdefghij", k=draw.choice([129, 150, 200, 260])))
+        other = list(one)
+        for at in draw.sample(range(len(one)), draw.randrange(len(one) // 3)):
+            other[at] = draw.choice(["", "k", "ab"])
+        lines += [one, "".join(other)]
+    a, b = np.arange(0, 240, 2), np.arange(1, 240, 2)
+    want = np.array([levenshtein(lines[i], lines[j]) for i, j in zip(a, b, strict=True)])
+    made = edits.Lines(lines)
+    for few in (0, 40, 1000):
+        monkeypatch.setattr(edits, "_FEW", few)
+        for most in (want, np.maximum(want - 1, 0), np.maximum(made.sizes[a], made.sizes[b]) // 5):
+            assert (edits.within(made, a, b, most) == (want <= most)).all()
+            assert (edits.settled(made, a, b, most) == (want <= most)).all()
