@@ -62,7 +62,7 @@ _MARK = "struct<n:int,s0:bigint,s1:bigint>"
 #: Keys in a fragment, about: 18 MB, of which a task holds some copies.
 _FRAGMENT_KEYS = 500_000
 #: Bytes of lines and their keys that are compared in one fragment, about, and pairs that are compared at a time.
-_FRAGMENT_BYTES = 6_000_000
+_FRAGMENT_BYTES = 3_000_000
 _PAIRS = 2_000
 #: Pairs whose distances are computed at a time: those that are not found to be near with little work.
 _LATE = 20_000
