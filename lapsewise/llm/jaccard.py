@@ -38,6 +38,8 @@ THRESHOLD_PERCENT = 80
 FRAGMENT_SHINGLES = 1_000_000
 #: Bytes of a shingle's hash within its fragment.
 _HASH_BYTES = 5
+#: Texts that a worker has as strings at a time, and bytes of text whose sets travel together, about.
+_TEXTS, _SPLIT_BYTES = 512, 8 * words.BATCH_BYTES
 _RARITY_STEP = 8.0
 #: A class's mark has so many words of 64 bits: sets of some hundred shingles are told apart by them.
 _MARK_WORDS = 4
@@ -68,27 +70,46 @@ def split_sets(docs: DataFrame, fragments: int, width: int = words.WIDTH) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         no = TaskContext.get().partitionId() << 32
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for part in words.batches(texts, 8 * words.BATCH_BYTES):
-                yield _split(no, ids[part], texts[part], fragments, width)
+            for ids, sets in _sets(batch, width):
+                yield _split(no, ids, sets, fragments)
                 no += 1
 
     schema = "batch bigint, fragment int, classes binary, counts binary, hashes binary, sizes binary"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _split(no: int, ids, texts, fragments: int, width: int) -> pa.RecordBatch:
-    sets = [u for part in words.batches(texts) for u in map(np.unique, words.shingle_lists(texts[part], width))]
+def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """Ids and sets of the documents of a batch, those of some 8 MB of text at a time; few texts are strings at once."""
+    ids, sets, size = [], [], 0
+    for start in range(0, batch.num_rows, _TEXTS):
+        rows = batch.slice(start, _TEXTS)
+        texts = rows.column("text").to_pylist()
+        for part in words.batches(texts):
+            ids += rows.column("doc_id").slice(part.start, part.stop - part.start).to_pylist()
+            sets += map(np.unique, words.shingle_lists(texts[part], width))
+            size += sum(len(t or "") + 1 for t in texts[part])
+            if size >= _SPLIT_BYTES:
+                yield ids, sets
+                ids, sets, size = [], [], 0
+    if ids:
+        yield ids, sets
+
+
+def _split(no: int, ids: list, sets: list[np.ndarray], fragments: int) -> pa.RecordBatch:
+    """One batch of ``split_sets``; the list of sets is emptied, so that they are held once."""
     lengths = np.array([len(u) for u in sets], dtype=np.int64)
     digests = np.array([_set_digest(u) for u in sets], dtype=np.int64)
     _, first = np.unique(digests, return_index=True)
     first = np.sort(first[lengths[first] > 0])
     flat = np.concatenate([sets[i] for i in first]) if len(first) else np.zeros(0, np.uint64)
-    owner = np.repeat(first, lengths[first])
+    sets.clear()
+    owner = np.repeat(first.astype(np.int32), lengths[first])
     # Higher bits choose the fragment, the lowest five bytes name the shingle in it.
-    fragment = ((flat >> np.uint64(40)) % np.uint64(fragments)).astype(np.int64)
+    fragment = ((flat >> np.uint64(40)) % np.uint64(fragments)).astype(np.int32)
     order = np.argsort(fragment, kind="stable")
-    flat, owner, fragment = flat[order], owner[order], fragment[order]
+    flat, owner = flat[order], owner[order]
+    fragment = fragment[order]
+    del order
     sizes = np.stack([np.array(ids, dtype=np.int64), lengths, digests], axis=1).tobytes()
     rows = []
     present = np.unique(fragment) if len(fragment) else np.array([no % fragments])

@@ -59,10 +59,12 @@ _EVEN_BITS = 0x5555555555555555
 #: A packed key: key, id, sketch and length.
 _ENTRY = np.dtype([("key", "<u8"), ("id", "<i8"), ("s0", "<u8"), ("s1", "<u8"), ("n", "<u4")])
 _MARK = "struct<n:int,s0:bigint,s1:bigint>"
-#: Keys in a fragment, about: 18 MB, of which a task holds some copies.
-_FRAGMENT_KEYS = 500_000
+#: Keys in a fragment, about: 9 MB, of which a task holds some copies.
+_FRAGMENT_KEYS = 250_000
 #: Bytes of lines and their keys that are compared in one fragment, about, and pairs that are compared at a time.
 _FRAGMENT_BYTES = 3_000_000
+#: Bytes of a line's mark and all its keys, about, which travel with each of them.
+_KEYED_BYTES = 200
 _PAIRS = 2_000
 #: Pairs whose distances are computed at a time: those that are not found to be near with little work.
 _LATE = 20_000
@@ -249,7 +251,9 @@ def near_members(docs: DataFrame, fragments: int) -> DataFrame:
                 yield pa.record_batch([pa.array(found, pa.int32()), pa.array(data, pa.binary())], names=["fragment", "data"])
 
     def find(group: pa.Table) -> pa.Table:
-        data = np.frombuffer(b"".join(group["data"].to_pylist()), dtype=_ENTRY)
+        packed = group["data"].combine_chunks()
+        ends = np.frombuffer(packed.buffers()[1], dtype="<i4")[packed.offset :][[0, len(packed)]].tolist()
+        data = np.frombuffer(packed.buffers()[2], dtype=np.uint8)[slice(*ends)].view(_ENTRY)
         # Most keys are there once.
         order = np.argsort(data["key"])
         same = np.diff(data["key"][order]) == 0
@@ -300,6 +304,11 @@ def _fragments(lines: int) -> int:
     return max(8, lines * 20 // _FRAGMENT_KEYS)
 
 
+def _keyed_fragments(members: int) -> int:
+    """How many fragments so many keys are dealt to, each with all other keys of its line."""
+    return max(8, members * _KEYED_BYTES // _FRAGMENT_BYTES)
+
+
 def _compared(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) between lines that share a key (``near_members``).
 
@@ -324,7 +333,7 @@ def _compared(members: DataFrame, texts: DataFrame) -> DataFrame:
     kind = "key bigint, id bigint, n int, s0 bigint, s1 bigint, keys array<bigint>"
     rows = lines.select("id", "mark.*", "keys", F.explode("keys").alias("key"))
     # A line goes on only under those of its keys that are the first common one of a pair.
-    rows = written(dealt(rows, _fragments(members.count() // 20)).applyInArrow(first, kind), "compared-lines")
+    rows = written(dealt(rows, _keyed_fragments(members.count())).applyInArrow(first, kind), "compared-lines")
     size = rows.agg(F.sum(F.lit(150) + F.col("n")).alias("size")).head().size or 0
 
     def compare(group: pa.Table) -> pa.Table:

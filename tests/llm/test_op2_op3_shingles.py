@@ -1,9 +1,11 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lapsewise.llm import decontamination, jaccard
+from lapsewise.llm import decontamination, jaccard, words
 
 
 def shingles(text, width=5):
@@ -157,3 +159,18 @@ def test_a_family_is_not_compared_in_full(make, prose, monkeypatch):
     got = jaccard.jaccard_components(make(rows))
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in got.collect()} == brute_components(rows)
     assert sum(compared) < 6 * len(rows)
+
+
+def test_few_texts_are_strings_at_a_time(monkeypatch):
+    """Sets travel together by size of text, and come to the same ids and sets as one document after the other."""
+    texts = [None, "", *(f"w{i} " * (i % 5) + "of one document" for i in range(1500))]
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    asked = []
+    lists = words.shingle_lists
+    monkeypatch.setattr(words, "shingle_lists", lambda t, width: asked.append(len(t)) or lists(t, width))
+    monkeypatch.setattr(jaccard, "_SPLIT_BYTES", 5000)
+    got = list(jaccard._sets(batch, 5))
+    assert max(asked) <= jaccard._TEXTS and len(got) > 2
+    assert [i for ids, _ in got for i in ids] == list(range(len(texts)))
+    want = [np.unique(s) for s in lists(texts, 5)]
+    assert all(np.array_equal(a, b) for a, b in zip((s for _, sets in got for s in sets), want, strict=True))

@@ -121,3 +121,11 @@ def test_a_fragment_of_keys_stays_small():
         n = line_dedup._fragments(lines)
         assert n >= 8
         assert lines * 20 / n * line_dedup._ENTRY.itemsize < 20e6
+
+
+def test_a_fragment_of_keyed_lines_stays_small():
+    """Nor has a task more of them where each key travels with all keys of its line."""
+    for members in (0, 1000, 2_500_000, 150_000_000):
+        n = line_dedup._keyed_fragments(members)
+        assert n >= 8
+        assert members / n * (line_dedup._ENTRY.itemsize + 8 * line_dedup._BANDS) < 4e6
