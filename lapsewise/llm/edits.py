@@ -4,8 +4,8 @@ All pairs are taken at once. Characters are counted first: an edit changes one s
 two pairs of neighbours, so counts that differ by more than the most edits could do rule a pair out.
 Of longer lines, edits are then allowed one by one: of every diagonal of the table is kept how far so
 many edits lead on it (Ukkonen), so a copy with few edits costs the square of its distance instead of
-that of its length. Pairs that need more than half of the most edits are left to Myers' bit vectors
-(64 rows of the table in a number), a column of all pairs of like length at a time.
+that of its length. Pairs that need more than an eighth of the most edits are left to Myers' bit vectors
+(64 rows of the table in a number): all pairs of like length at a time and, one column apart, all their numbers.
 """
 
 from __future__ import annotations
@@ -17,11 +17,11 @@ _COUNTED = 1 << 19
 #: Diagonals of the pairs compared at a time.
 _DIAGONALS = 1 << 16
 #: Numbers in the table of where each character lies in each line, for the pairs compared at a time.
-_TABLE = 1 << 20
+_TABLE = 1 << 19
 #: Different characters of a line, about, and numbers in the table of the places of all characters.
-_ALPHABET, _CODES = 64, 1 << 22
-#: Fewer pairs of like length than this cost less by diagonals, however many edits they need.
-_FEW = 40
+_ALPHABET, _CODES = 64, 1 << 21
+#: Fewer pairs of like length than this cost less one by one.
+_FEW = 12
 #: Lines of no more characters have bit vectors at once.
 _BRIEF = 128
 _SINGLE, _PAIRED = 32, 64
@@ -97,7 +97,7 @@ def soon(lines: Lines, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> tuple[
         # Putting all of the other line in the place of one takes as many edits as the longer has characters.
         near = size <= k
         long = np.flatnonzero(~near & (size > _BRIEF))
-        near[long] = _few_edits(lines, x[long], y[long], k[long] >> 1)
+        near[long] = _few_edits(lines, x[long], y[long], k[long] >> 3)
         out[at + left] = near
         unsure.append(at + left[~near])
     return out, np.concatenate(unsure)
@@ -178,23 +178,48 @@ def settled(lines: Lines, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.
     a, b = np.where(swap, b, a), np.where(swap, a, b)
     m, n = lines.sizes[a], lines.sizes[b]
     out = n <= most
-    words = (m + 63) >> 6
     # Of an empty line that was all there is to say.
-    for count in np.unique(words[m > 0]).tolist():
-        mine = np.flatnonzero(words == count)
-        mine = mine[np.argsort(n[mine], kind="stable")]
-        step = max(1, min(_TABLE // (count * _ALPHABET), _CODES // lines.letters))
-        if count > 2 and min(step, len(mine)) < _FEW:
-            out[mine] = _few_edits(lines, a[mine], b[mine], most[mine])
-            continue
-        for i in range(0, len(mine), step):
-            some = mine[i : i + step]
-            band = int(most[some].max())
-            far = _distances(lines, lines.starts[a[some]], m[some], lines.starts[b[some]], n[some], count, band)
-            out[some] = far <= most[some]
+    rest = np.flatnonzero(~out & (m > 0) & (n - m <= most))
+    rest = rest[np.argsort(n[rest] + (m[rest] - 1 >> 6), kind="stable")]
+    while len(rest):
+        # Lines of like length, as many as the tables have room for.
+        step = max(1, min(_TABLE // (((int(n[rest[0]]) >> 6) + 1) * _ALPHABET), _CODES // lines.letters))
+        some = rest[: min(step, int(np.searchsorted(n[rest], 2 * n[rest[0]], side="right")) or 1)]
+        rest = rest[len(some) :]
+        if len(some) < _FEW:
+            out[some] = [_reached(lines, *pair) for pair in zip(a[some].tolist(), b[some].tolist(), most[some].tolist(), strict=True)]
+        else:
+            out[some] = _distances(lines, lines.starts[a[some]], m[some], lines.starts[b[some]], n[some], int(most[some].max())) <= most[some]
     return out
 
 
+def _reached(lines: Lines, a: int, b: int, most: int) -> bool:
+    """Whether a line is within so many edits of one that is no shorter: all rows of the table in one whole number."""
+    one, other = (lines.codes[lines.starts[x] : lines.starts[x] + lines.sizes[x]] for x in (a, b))
+    places = {c: int.from_bytes(np.packbits(one == c, bitorder="little").tobytes(), "little") for c in np.unique(one).tolist()}
+    m, left = len(one), len(other)
+    full, last = (1 << m) - 1, 1 << (m - 1)
+    up, down, score = full, 0, m
+    for c in other.tolist():
+        eq = places.get(c, 0)
+        xv = eq | down
+        xh = (((eq & up) + up) ^ up) | eq
+        ph = down | (full & ~(xh | up))
+        mh = up & xh
+        if ph & last:
+            score += 1
+        elif mh & last:
+            score -= 1
+        ph = ((ph << 1) | 1) & full
+        up = ((mh << 1) & full) | (full & ~(xv | ph))
+        down = ph & xv
+        left -= 1
+        # Every character that is left brings one less at most.
+        if score - left > most:
+            return False
+    return True
+
+
 def _places(lines: Lines, at: np.ndarray, sizes: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Bits that say where each character lies in some lines, words first, and for each line and character its place there (0: none)."""
     codes = lines.padded(at, int(sizes.max())) + (np.arange(len(at)) * lines.letters)[:, None]
@@ -203,49 +228,70 @@ def _places(lines: Lines, at: np.ndarray, sizes: np.ndarray, words: int) -> tupl
     there[codes[inside]] = True
     number = np.where(there, np.cumsum(there, dtype=np.int32), 0)
     table = np.zeros((words, int(there.sum()) + 1), dtype=np.uint64)
-    for i, place in enumerate(number[codes].T):
-        table[i >> 6, place[inside[:, i]]] |= np.uint64(1 << (i & 63))
+    # What lies behind a line's end counts as place 0, which is emptied.
+    for i, place in enumerate(np.where(inside, number[codes], 0).T):
+        table[i >> 6, place] |= np.uint64(1 << (i & 63))
+    table[:, 0] = 0
     return table, number
 
 
-def _distances(
-    lines: Lines, at_a: np.ndarray, m: np.ndarray, at_b: np.ndarray, n: np.ndarray, words: int, band: int
-) -> np.ndarray:
-    """Edit distances of pairs sorted by ``n``, whose ``m`` all take so many ``words`` of 64 bits.
+def _distances(lines: Lines, at_a: np.ndarray, m: np.ndarray, at_b: np.ndarray, n: np.ndarray, band: int) -> np.ndarray:
+    """Edit distances of pairs, sorted by ``n`` and the number of words of 64 bits that ``m`` takes together.
 
-    Only words with a row less than ``band`` from the diagonal are looked at; a distance above ``band`` may come out larger.
+    In a step, each word takes the column after that of the word below, so that what goes from one to the next is known by then.
+    Only words with a row no more than ``band`` from the diagonal are looked at; a distance above ``band`` may come out larger.
     """
-    count = len(m)
+    count, band = len(m), max(1, band)
+    end = (m - 1) >> 6
+    words = int(end.max()) + 1
     table, number = _places(lines, at_a, m, words)
-    text = lines.padded(at_b, int(n[-1])) + (np.arange(count) * lines.letters)[:, None]
-    text = np.ascontiguousarray(number[text].T)
-    up = [np.full(count, ~np.uint64(0)) for _ in range(words)]
-    down = [np.zeros(count, dtype=np.uint64) for _ in range(words)]
-    end = ((m - 1) & 63).astype(np.uint64)
-    firsts = np.searchsorted(n, np.arange(len(text)), side="right")
-    # The distance at the lowest row that is looked at.
-    score, low = np.zeros(count, dtype=np.int64), -1
-    for j, first in enumerate(firsts.tolist()):
-        while low < min(words - 1, (j + band) >> 6):
-            low += 1
-            score += 64 if low < words - 1 else m - 64 * low
-        place = text[j, first:]
-        up_in, down_in = _ONE, np.uint64(0)
-        for w in range(max(0, (j - band) >> 6), low + 1):
-            pv, mv, eq = up[w][first:], down[w][first:], table[w][place]
-            xv = eq | mv
-            eq |= down_in
-            xh = (((eq & pv) + pv) ^ pv) | eq
-            ph = mv | ~(xh | pv)
-            mh = pv & xh
-            if w == low:
-                last = end[first:] if w == words - 1 else _LAST
-                score[first:] += ((ph >> last) & _ONE).view(np.int64)
-                score[first:] -= ((mh >> last) & _ONE).view(np.int64)
-            up_out, down_out = ph >> _LAST, mh >> _LAST
-            ph = (ph << _ONE) | up_in
-            mh = (mh << _ONE) | down_in
-            up_in, down_in = up_out, down_out
-            up[w][first:] = mh | ~(xv | ph)
-            down[w][first:] = ph & xv
-    return score
+    text = np.zeros((int(n.max()) + words, count), dtype=np.int32)
+    text[:-words] = number[lines.padded(at_b, len(text) - words) + (np.arange(count) * lines.letters)[:, None]].T
+    flat, offset = table.ravel(), (np.arange(words) * table.shape[1])[:, None]
+    up, down = np.full((words, count), ~np.uint64(0)), np.zeros((words, count), dtype=np.uint64)
+    # What each word gets from the one before (more, less), and the distance at its lowest row.
+    into, score = np.zeros((2, words + 1, count), dtype=np.uint64), np.zeros((words, count), dtype=np.uint64)
+    lowest, pairs = np.full((words, count), _LAST), np.arange(count)
+    lowest[end, pairs] = (m - 1) & 63
+    out, done, entered, lowered = np.zeros(count, dtype=np.int64), n - 1 + end, -1, 0
+    firsts = np.searchsorted(done, np.arange(int(done[-1]) + 2)).tolist()
+    for t, first in enumerate(firsts[:-1]):
+        low, high = max(0, (t - band - 64) // 65 + 1), min(words - 1, t, (t + band) // 65)
+        if high > entered:
+            score[high, first:] = score[high - 1, first:] - into[0, high, first:] + into[1, high, first:] if high else 0
+            score[high, first:] += lowest[high, first:] + _ONE
+            entered = high
+        if low == lowered:
+            into[0, low], into[1, low] = 1, 0
+        # The word that is left out from now on has still had this column.
+        lowered = low
+        pv, mv, given = up[low : high + 1, first:], down[low : high + 1, first:], into[:, low : high + 1, first:]
+        place = text[t - high : t - low + 1, first:][::-1] + offset[low : high + 1]
+        eq = flat.take(place)
+        xv = eq | mv
+        eq |= given[1]
+        xh = eq & pv
+        xh += pv
+        xh ^= pv
+        xh |= eq
+        step = np.empty((2, *eq.shape), dtype=np.uint64)
+        ph, mh = step
+        np.bitwise_or(xh, pv, out=ph)
+        np.invert(ph, out=ph)
+        ph |= mv
+        np.bitwise_and(pv, xh, out=mh)
+        passed = step >> lowest[low : high + 1, first:]
+        passed &= _ONE
+        at_end = score[low : high + 1, first:]
+        at_end += passed[0]
+        at_end -= passed[1]
+        step <<= _ONE
+        step |= given
+        np.bitwise_and(ph, xv, out=mv)
+        xv |= ph
+        np.invert(xv, out=xv)
+        np.bitwise_or(mh, xv, out=pv)
+        into[:, low + 1 : high + 2, first:] = passed
+        over = slice(first, firsts[t + 1])
+        out[over] = score[end[over], pairs[over]].view(np.int64)
+    return out

@@ -68,6 +68,8 @@ _KEYED_BYTES = 200
 _PAIRS = 2_000
 #: Pairs whose distances are computed at a time: those that are not found to be near with little work.
 _LATE = 20_000
+#: Times that they are asked of one pair of each line before they are asked of all that are left.
+_TURNS = 2
 
 
 def normal_form(line: Column) -> Column:
@@ -361,11 +363,16 @@ def _compared(members: DataFrame, texts: DataFrame) -> DataFrame:
         def settle() -> None:
             a, b = (np.concatenate(x) for x in zip(*late, strict=True))
             late.clear()
-            # What has been connected since needs no answer.
-            here = wanted(a, b)
-            a, b = a[here], b[here]
-            near = edits.settled(lines, line[a], line[b], most(a, b))
-            _unite(root, line[a[near]], line[b[near]])
+            for turn in range(_TURNS + 1):
+                # What has been connected since needs no answer.
+                here = wanted(a, b)
+                a, b = a[here], b[here]
+                # Of each line one pair at first: most lines of a group are connected by that.
+                some = np.unique(line[(a, b)[turn % 2]], return_index=True)[1] if turn < _TURNS else np.arange(len(a))
+                x, y = a[some], b[some]
+                near = edits.settled(lines, line[x], line[y], most(x, y))
+                _unite(root, line[x[near]], line[y[near]])
+                a, b = np.delete(a, some), np.delete(b, some)
 
         for a, b in _alike_pairs(data, wanted):
             here = first_shared(a, b)

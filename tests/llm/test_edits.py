@@ -62,3 +62,34 @@ def test_pairs_of_many_lengths_and_distances(monkeypatch):
         for most in (want, np.maximum(want - 1, 0), np.maximum(made.sizes[a], made.sizes[b]) // 5):
             assert (edits.within(made, a, b, most) == (want <= most)).all()
             assert (edits.settled(made, a, b, most) == (want <= most)).all()
+
+
+def test_lengths_that_differ_by_all_edits_allowed(monkeypatch):
+    """A path along the very edge of what is looked at is found, and what is one edit beyond it is not."""
+    draw = random.Random(8)
+    monkeypatch.setattr(edits, "_FEW", 0)
+    lines = []
+    for size in (63, 64, 65, 69, 100, 127, 128, 129, 132, 190, 260) * 4:
+        one = draw.choices("abcdefghij", k=size)
+        other = list(one)
+        at = draw.choice([0, size // 2, size])
+        other[at:at] = draw.choices("klm", k=size // 4)
+        lines += ["".join(one), "".join(other)]
+    made = edits.Lines(lines)
+    a, b = np.arange(0, len(lines), 2), np.arange(1, len(lines), 2)
+    most = made.sizes[b] - made.sizes[a]
+    assert edits.settled(made, a, b, most).all() and edits.settled(made, b, a, most).all()
+    assert not edits.settled(made, a, b, most - 1).any()
+
+
+def test_one_pair_is_answered_as_many_are(monkeypatch):
+    draw = random.Random(9)
+    one = draw.choices("abcdefgh é漢", k=700)
+    lines = ["".join(one)] + ["".join(c if draw.random() > share else draw.choice("xyz") * draw.randrange(3) for c in one) for share in (0.05, 0.1, 0.2, 0.3, 1)]
+    made = edits.Lines(lines)
+    a, b = np.zeros(5, dtype=np.int64), np.arange(1, 6)
+    want = np.array([levenshtein(lines[0], x) for x in lines[1:]])
+    for few in (0, 1000):
+        monkeypatch.setattr(edits, "_FEW", few)
+        for off in (-1, 0, 60):
+            assert (edits.settled(made, a, b, want + off) == (off >= 0)).all()
