@@ -58,6 +58,18 @@ def _unpacked(data: bytes) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
+def _repeats(hashes: np.ndarray) -> np.ndarray:
+    """How often each hash is among them; half the memory of ``np.unique`` with its inverse."""
+    order = np.argsort(hashes)
+    ranked = hashes[order]
+    starts = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])[: len(ranked)])
+    del ranked
+    sizes = np.diff(np.append(starts, len(hashes))).astype(np.int32)
+    out = np.empty(len(hashes), dtype=np.int32)
+    out[order] = np.repeat(sizes, sizes)
+    return out
+
+
 def _set_digest(unique: np.ndarray) -> int:
     """A 64-bit digest of a set of hashes: its mixed sum."""
     return int(words.mix(unique ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).astype(np.int64)) if len(unique) else 0
@@ -156,9 +168,9 @@ def shared_parts(split: DataFrame, percent: int) -> DataFrame:
         chosen[np.unique(classes, return_index=True)[1]] = True
         hashes = hashes[np.repeat(chosen, counts)]
         owner = np.repeat(np.flatnonzero(chosen), counts[chosen])
-        _, which, df = np.unique(hashes, return_inverse=True, return_counts=True)
-        keep = np.flatnonzero(df[which] > 1)
-        rarity = np.minimum(255, np.round(_RARITY_STEP * np.log2(df))).astype(np.uint8)[which[keep]]
+        df = _repeats(hashes)
+        keep = np.flatnonzero(df > 1)
+        rarity = np.minimum(255, np.round(_RARITY_STEP * np.log2(df[keep]))).astype(np.uint8)
         who, kept = np.unique(owner[keep], return_counts=True)
         raw, ends = _packed(hashes[keep]), np.cumsum(kept)
         edges = np.searchsorted(place[who], np.arange(len(group) + 1))

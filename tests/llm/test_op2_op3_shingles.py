@@ -174,3 +174,10 @@ def test_few_texts_are_strings_at_a_time(monkeypatch):
     assert [i for ids, _ in got for i in ids] == list(range(len(texts)))
     want = [np.unique(s) for s in lists(texts, 5)]
     assert all(np.array_equal(a, b) for a, b in zip((s for _, sets in got for s in sets), want, strict=True))
+
+
+def test_repeats_are_counted_in_place():
+    for n, kinds in ((0, 1), (1, 1), (1000, 50), (1000, 10**6)):
+        hashes = np.random.default_rng(n).integers(0, kinds, n, dtype=np.uint64)
+        _, which, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+        assert np.array_equal(jaccard._repeats(hashes), counts[which])
